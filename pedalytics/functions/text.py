@@ -43,6 +43,17 @@ def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def below(path: Column, folder: str) -> Column:
+    """Path relative to a folder that it contains."""
+    base = folder.rstrip("/") + "/"
+    return F.substr(path, F.instr(path, F.lit(base)) + len(base))
+
+
+def decoded(uri: Column) -> Column:
+    """Percent-encoded file address as a plain path; a plus sign stands for itself."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def extension(name: Column) -> Column:
     dotted = F.lower(F.element_at(F.split(name, r"\."), -1))
     return F.when(name.contains("."), dotted).otherwise("unknown")
@@ -91,7 +102,8 @@ def header_columns(line: Column) -> Column:
 
 
 def normalized_header(columns: Column) -> Column:
-    return F.concat_ws("|", F.transform(columns, lambda c: F.lower(F.trim(c))))
+    """Lower-cased, trimmed column names joined by '|'; null where there is no header."""
+    return F.array_join(F.transform(columns, lambda c: F.lower(F.trim(c))), "|")
 
 
 def header_fingerprint(columns: Column) -> Column:

@@ -21,6 +21,26 @@ def with_dense_rank(df: DataFrame, count: str, out: str) -> DataFrame:
     return df.join(F.broadcast(ranks), count)
 
 
+def with_position(df: DataFrame, count: str, tie: str, out: str) -> DataFrame:
+    """Row number by a count column, largest first, ties by ``tie``.
+
+    Rows are only sorted among those of equal count; how many rows have a larger count is summed
+    over the distinct counts, of which there are few (see ``with_dense_rank``).
+    """
+    larger = W.orderBy(F.desc(count)).rowsBetween(W.unboundedPreceding, -1)
+    before = (
+        df.groupBy(count)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(count, F.coalesce(F.sum("_rows").over(larger), F.lit(0)).alias("_before"))
+    )
+    within = F.row_number().over(W.partitionBy(count).orderBy(tie))
+    return (
+        df.join(F.broadcast(before), count)
+        .withColumn(out, F.col("_before") + within)
+        .drop("_before")
+    )
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
     """The row with the greatest ``order`` columns per key; combines map-side, no sort of the log."""
     newest = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row")

@@ -40,6 +40,27 @@ LAYOUT_SCHEMA = {
     ),
 }
 
+# Header lines of the raw files, by which a layout is recognised.
+RAW_HEADER = {
+    MODERN: (
+        "ride_id", "rideable_type", "started_at", "ended_at", "start_station_name",
+        "start_station_id", "end_station_name", "end_station_id", "start_lat", "start_lng",
+        "end_lat", "end_lng", "member_casual",
+    ),
+    LEGACY_V1: (
+        "tripduration", "starttime", "stoptime", "start station id", "start station name",
+        "start station latitude", "start station longitude", "end station id", "end station name",
+        "end station latitude", "end station longitude", "bikeid", "usertype", "birth year",
+        "gender",
+    ),
+    LEGACY_V2: (
+        "Trip Duration", "Start Time", "Stop Time", "Start Station ID", "Start Station Name",
+        "Start Station Latitude", "Start Station Longitude", "End Station ID", "End Station Name",
+        "End Station Latitude", "End Station Longitude", "Bike ID", "User Type", "Birth Year",
+        "Gender",
+    ),
+}
+
 LINEAGE = ("_source_file", "_source_row_number")
 
 STAGING_META = _struct(("_source_file", _S), ("_source_row_number", _L), ("_loaded_at", _TS))

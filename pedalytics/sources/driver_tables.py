@@ -47,7 +47,7 @@ def station_lng(no: Column, row: Column) -> Column:
 
 def _lineage(region: Region, layout: str) -> list[Column]:
     key = next(k for k, v in LAYOUT_OF_KEY.items() if v == layout)
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.parquet$", "")
+    stem = F.replace(F.col("_metadata.file_name"), F.lit(".parquet"), F.lit(""))
     return [
         F.concat(F.lit(f"{region.name}_{key}_part-"), stem, F.lit(".csv.gz")).alias("_source_file"),
         (F.col("_metadata.row_index") + 1).alias("_source_row_number"),
@@ -56,7 +56,7 @@ def _lineage(region: Region, layout: str) -> list[Column]:
 
 
 def _later(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return ts + F.expr("INTERVAL '1' SECOND") * seconds
 
 
 def modern_staging(spark: SparkSession, sf_dir: str, region: Region = NYC) -> DataFrame:
@@ -151,3 +151,134 @@ def staging(spark: SparkSession, sf_dir: str, region: Region = NYC) -> dict[str,
         LEGACY_V1: legacy_v1_staging(spark, sf_dir, region),
         LEGACY_V2: legacy_v2_staging(spark, sf_dir, region),
     }
+
+
+# ---- manifest, log, index and inventory frames for the audit queries ----------------------------
+
+
+def _cents(c: Column) -> Column:
+    return F.round(c * 100).cast("long")
+
+
+def _part_columns() -> dict[str, Column]:
+    """The part an order belongs to: one per month, status and priority of the orders."""
+    priority = F.left("o_orderpriority", F.lit(1))
+    region = (
+        F.when(priority.isin("1", "2"), "jersey_city").when(priority == "5", "uptown").otherwise("nyc")
+    )
+    key = (
+        F.when(priority == "4", "ffffffffffff")
+        .when(F.col("o_orderstatus") == "F", "dc497b4333c4")
+        .when(F.col("o_orderstatus") == "O", "473144999085")
+        .otherwise("e24ee8457e0e")
+    )
+    month = F.date_format("o_orderdate", "yyyyMM")
+    name = F.concat(region, F.lit("_"), key, F.lit("_part"), month, priority, "o_orderstatus")
+    return {
+        "region": region,
+        "schema_key": key,
+        "output_file": F.concat(region, F.lit("/"), key, F.lit("/"), name, F.lit(".csv.gz")),
+    }
+
+
+def part_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part manifest with one entry per order month, status and priority."""
+    orders = read(spark, sf_dir, "orders").withColumns(_part_columns())
+    return orders.groupBy("output_file", "region", "schema_key").agg(
+        F.sum(_cents(F.col("o_totalprice"))).alias("gzip_size_bytes"),
+        F.array_repeat(F.lit("x.csv"), (F.count(F.lit(1)) % 4).cast("int")).alias("source_files"),
+    )
+
+
+def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load log with one attempt per order; some parts have none."""
+    customer, order = F.col("o_custkey"), F.col("o_orderkey")
+    status = (
+        F.when(customer % 4 == 0, "FAILED").when(customer % 9 == 1, "DRY_RUN").otherwise("SUCCESS")
+    )
+    unlogged = (F.left("o_orderpriority", F.lit(1)) == "3") & (F.month("o_orderdate") % 4 == 0)
+    key, region = F.col("schema_key"), F.col("region")
+    layout = F.when(key == "dc497b4333c4", "TRIPS_MODERN").when(key == "473144999085", "TRIPS_LEGACY_V1")
+    return (
+        read(spark, sf_dir, "orders")
+        .filter(~unlogged)
+        .withColumns(_part_columns())
+        .select(
+            order.alias("log_id"),
+            "output_file",
+            "region",
+            "schema_key",
+            F.when(region == "jersey_city", "STAGING_JC").otherwise("STAGING_NYC").alias("sf_schema"),
+            layout.when(key == "e24ee8457e0e", "TRIPS_LEGACY_V2").alias("sf_table"),
+            (_cents(F.col("o_totalprice")) / 1024.0).alias("gzip_size_mb"),
+            (1 + order % 5).cast("int").alias("attempt"),
+            _later(F.col("o_orderdate"), order).alias("ended_at_utc"),
+            status.alias("status"),
+            customer.alias("rows_loaded"),
+            F.when(customer % 6 != 5, order % 4).alias("errors_seen"),
+            F.concat_ws("|", status, F.col("o_orderstatus")).alias("copy_status_raw"),
+            F.when(status == "FAILED", F.concat(F.lit("error "), customer.cast("string"))).alias(
+                "error_message"
+            ),
+            (customer % 3 == 0).alias("stage_verified"),
+        )
+    )
+
+
+def _zip_name() -> Column:
+    return F.concat(F.col("o_orderkey").cast("string"), F.lit("-trips.zip")).alias("file_name")
+
+
+def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of archives, one per order."""
+    return read(spark, sf_dir, "orders").select(
+        _zip_name(), _cents(F.col("o_totalprice")).alias("file_size_bytes")
+    )
+
+
+def local_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes found on disk: some archives are missing or of another size."""
+    size, customer = _cents(F.col("o_totalprice")), F.col("o_custkey")
+    off = F.when(customer % 5 == 0, 1000).when(customer % 7 == 0, 5000).otherwise(0)
+    return (
+        read(spark, sf_dir, "orders")
+        .filter(customer % 11 != 0)
+        .select(_zip_name(), (size + off).alias("local_size"))
+    )
+
+
+def download_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last download entry per archive: some are missing, failed or of another size."""
+    size, customer = _cents(F.col("o_totalprice")), F.col("o_custkey")
+    status = F.when(F.col("o_orderstatus") == "P", "FAILED").otherwise("SUCCESS")
+    logged = F.when(customer % 17 == 0, None).when(customer % 19 == 0, size + 3).otherwise(size)
+    return (
+        read(spark, sf_dir, "orders")
+        .filter(customer % 13 != 0)
+        .select(_zip_name(), status.alias("download_status"), logged.alias("file_size_bytes"))
+    )
+
+
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files as an inventory scan finds them, one per part: path, size and header."""
+    size, key = F.col("p_size"), F.col("p_partkey")
+    folder = F.when(size % 4 == 0, F.concat(F.lit("jc-"), "p_brand")).otherwise(F.col("p_brand"))
+    is_zip = (size % 3 == 0) | F.col("p_brand").endswith("1")
+    prefix = F.when(size % 5 == 0, "JC-").otherwise("")
+    path = F.concat(
+        folder,
+        F.lit("/"),
+        F.replace(F.col("p_name"), F.lit(" "), F.lit("/")),
+        F.lit("/"),
+        prefix,
+        key.cast("string"),
+        F.when(is_zip, ".zip").otherwise(".CSV"),
+    )
+    header = F.array(
+        F.lit("Trip Id"), F.concat(F.lit(" "), F.upper("p_name")), F.col("p_type"), F.lit("station ")
+    )
+    return read(spark, sf_dir, "part").select(
+        path.alias("relative_path"),
+        _cents(F.col("p_retailprice")).alias("size_bytes"),
+        F.when(~is_zip, header).alias("columns"),
+    )
