@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 BUCKETS = 1 << 16
+SALTS = 64
 COUNT = "_n"
 
 
@@ -63,8 +64,11 @@ def narrow_to_median(
         .when(F.col("_bucket") > F.col("_last"), float("inf"))
         .otherwise(F.col(value))
     )
+    # A hot group keeps many values: it is spread over the salts, each of which gets the target.
+    salts = middle.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = tagged.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
     return (
-        tagged.join(middle, list(keys))
+        salted.join(salts, [*keys, "_salt"])
         .groupBy(*keys, folded.alias(value))
         .agg(F.sum(COUNT).alias(COUNT))
     )

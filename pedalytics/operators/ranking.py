@@ -9,23 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
-def with_dense_rank(df: DataFrame, count: str, out: str) -> DataFrame:
-    """Dense rank over a count column, largest first, with no partition keys.
+def with_dense_ranks(df: DataFrame, **ranks: str) -> DataFrame:
+    """Dense ranks over count columns, largest first, with no partition keys: ``rank=count, ...``.
 
     A dense rank depends on the distinct counts only. Counts of N rows summed over groups take at
     most about sqrt(2 N) different values, so just those are ranked in one task and broadcast back:
-    1.4 million of them for 10**12 rows.
+    1.4 million of them for 10**12 rows. ``df`` is read once per rank and once more; stage it first
+    where it is not a stored table.
     """
-    order = W.orderBy(F.desc(count))
-    ranks = df.select(count).distinct().select(count, F.dense_rank().over(order).alias(out))
-    return df.join(F.broadcast(ranks), count)
+    out = df
+    for rank, count in ranks.items():
+        order = W.orderBy(F.desc(count))
+        table = df.select(count).distinct().select(count, F.dense_rank().over(order).alias(rank))
+        out = out.join(F.broadcast(table), count)
+    return out
 
 
 def with_position(df: DataFrame, count: str, tie: str, out: str) -> DataFrame:
     """Row number by a count column, largest first, ties by ``tie``.
 
     Rows are only sorted among those of equal count; how many rows have a larger count is summed
-    over the distinct counts, of which there are few (see ``with_dense_rank``).
+    over the distinct counts, of which there are few (see ``with_dense_ranks``).
     """
     larger = W.orderBy(F.desc(count)).rowsBetween(W.unboundedPreceding, -1)
     before = (

@@ -12,42 +12,30 @@ from pedalytics.config import LEGACY_V1, LEGACY_V2, MODERN
 from pedalytics.functions import text, time
 from pedalytics.schemas import TRIPS_ALL
 
-# Source column of each unified column, where a plain rename is all it takes.
-_LEGACY_COMMON = {
-    "start_station_name": "start_station_name",
-    "end_station_name": "end_station_name",
-    "start_lat": "start_station_latitude",
-    "start_lng": "start_station_longitude",
-    "end_lat": "end_station_latitude",
-    "end_lng": "end_station_longitude",
-    "birth_year": "birth_year",
-    "gender": "gender",
+# Unified name of each staging column that goes by another name there.
+_LEGACY_NAMES = {
+    "start_station_latitude": "start_lat",
+    "start_station_longitude": "start_lng",
+    "end_station_latitude": "end_lat",
+    "end_station_longitude": "end_lng",
 }
 _RENAMED = {
-    MODERN: {
-        c: c
-        for c in (
-            "ride_id", "rideable_type", "started_at", "ended_at", "start_station_name",
-            "start_station_id", "end_station_name", "end_station_id", "start_lat", "start_lng",
-            "end_lat", "end_lng", "member_casual",
-        )
-    },
+    MODERN: {},
     LEGACY_V1: {
-        **_LEGACY_COMMON,
-        "bikeid": "bikeid",
-        "started_at": "starttime",
-        "ended_at": "stoptime",
-        "trip_duration": "tripduration",
+        **_LEGACY_NAMES,
+        "starttime": "started_at",
+        "stoptime": "ended_at",
+        "tripduration": "trip_duration",
+        "usertype": "member_casual",
     },
     LEGACY_V2: {
-        **_LEGACY_COMMON,
-        "bikeid": "bike_id",
-        "started_at": "start_time",
-        "ended_at": "stop_time",
-        "trip_duration": "trip_duration",
+        **_LEGACY_NAMES,
+        "start_time": "started_at",
+        "stop_time": "ended_at",
+        "bike_id": "bikeid",
+        "user_type": "member_casual",
     },
 }
-_USER_TYPE = {LEGACY_V1: "usertype", LEGACY_V2: "user_type"}
 
 
 def _derived(layout: str) -> dict[str, Column]:
@@ -56,22 +44,17 @@ def _derived(layout: str) -> dict[str, Column]:
     return {
         "start_station_id": F.col("start_station_id").cast("string"),
         "end_station_id": F.col("end_station_id").cast("string"),
-        "member_casual": text.rider_type_of_user_type(F.col(_USER_TYPE[layout])),
+        "member_casual": text.rider_type_of_user_type(F.col("member_casual")),
     }
 
 
 def to_unified(staging: DataFrame, layout: str) -> DataFrame:
     """Rename, derive and reorder one layout; columns a layout lacks become typed nulls."""
-    exprs = {out: F.col(src) for out, src in _RENAMED[layout].items()}
-    exprs |= _derived(layout)
-    exprs |= {c: F.col(c) for c in ("_source_file", "_source_row_number", "_loaded_at")}
-    exprs["_loaded_at_tbl"] = time.now()
-    return staging.select(
-        *[
-            exprs.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in TRIPS_ALL.fields
-        ]
-    )
+    renamed = staging.withColumnsRenamed(_RENAMED[layout])
+    new = _derived(layout) | {"_loaded_at_tbl": time.now()}
+    have = {*renamed.columns, *new}
+    new |= {f.name: F.lit(None).cast(f.dataType) for f in TRIPS_ALL.fields if f.name not in have}
+    return renamed.withColumns(new).select(*TRIPS_ALL.fieldNames())
 
 
 def union_layouts(staging: Mapping[str, DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window as W
 from pedalytics.config import NYC, Region
 from pedalytics.functions import ride
 from pedalytics.operators import quantile, ranking
+from pedalytics.session import stage
 
 _DURATION = "trip_duration_min"
 
@@ -83,7 +84,10 @@ def station_activity(fact: DataFrame) -> DataFrame:
 
 
 def top_stations(fact: DataFrame, stations: DataFrame) -> DataFrame:
-    """Which stations are the hubs? One row per station, also those without rides."""
+    """Which stations are the hubs? One row per station, also those without rides.
+
+    The fact is scanned once: the flows, one row per station, are staged before they are ranked.
+    """
     zero = F.lit(0)
     flows = (
         stations.select("station_sk", "station_name", "station_lat", "station_lng", "availability")
@@ -104,12 +108,12 @@ def top_stations(fact: DataFrame, stations: DataFrame) -> DataFrame:
             }
         )
     )
-    for count, rank in (
-        ("total_departures", "departure_rank"),
-        ("total_arrivals", "arrival_rank"),
-        ("total_activity", "activity_rank"),
-    ):
-        flows = ranking.with_dense_rank(flows, count, rank)
+    flows = ranking.with_dense_ranks(
+        stage(flows, "station-flows"),
+        departure_rank="total_departures",
+        arrival_rank="total_arrivals",
+        activity_rank="total_activity",
+    )
     return flows.select(
         "station_sk",
         "station_name",
@@ -137,7 +141,11 @@ def route_totals(fact: DataFrame) -> DataFrame:
 
 
 def top_routes(fact: DataFrame, stations: DataFrame, region: Region = NYC) -> DataFrame:
-    """Most travelled station pairs. Names join the pairs after counting, not every ride before."""
+    """Most travelled station pairs.
+
+    Names join the pairs after counting, not every ride before. The pairs are staged, so that the
+    ranks read them and not the fact again.
+    """
     start_lat, start_lng = region.route_start_columns
     start = stations.select(
         F.col("station_sk").alias("start_station_sk"),
@@ -153,7 +161,7 @@ def top_routes(fact: DataFrame, stations: DataFrame, region: Region = NYC) -> Da
     )
     named = route_totals(fact).join(start, "start_station_sk").join(end, "end_station_sk")
     return (
-        ranking.with_dense_rank(named, "total_trips", "route_rank")
+        ranking.with_dense_ranks(stage(named, "routes"), route_rank="total_trips")
         .select(
             "start_station",
             "end_station",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalytics.config import LAYOUT_OF_KEY, LEGACY_V1, LEGACY_V2, MODERN, NYC, Region
-from pedalytics.functions import time
+from pedalytics.schemas import LAYOUT_SCHEMA, STAGING_META
 
 # The driver's orders date from 1995 on; so moved, some fall before the calendar, most into it.
 YEARS_LATER = "INTERVAL '17' YEAR"
@@ -20,129 +20,106 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _number(c: Column, n: int) -> Column:
-    return F.pmod(c, F.lit(n))
-
-
-def station_name(no: Column, row: Column) -> Column:
-    """Name of station ``no`` as one of several spellings; some rows are blank or have none."""
-    plain = F.concat(F.lit("Pier "), no.cast("string"), F.lit(" St"))
+def _name(no: str, row: str) -> str:
+    """Name of station ``no`` in one of several spellings; on some rows it is blank or missing."""
+    plain = f"concat('Pier ', {no}, ' St')"
     return (
-        F.when(_number(row, 97) == 0, "")
-        .when(_number(row, 89) == 0, F.lit(None).cast("string"))
-        .when(_number(row, 3) == 0, F.concat(F.lit("  "), F.upper(plain), F.lit(" ")))
-        .otherwise(plain)
+        f"CASE WHEN ({row}) % 97 = 0 THEN '' WHEN ({row}) % 89 = 0 THEN CAST(NULL AS STRING) "
+        f"WHEN ({row}) % 3 = 0 THEN concat('  ', upper({plain}), ' ') ELSE {plain} END"
     )
 
 
-def station_lat(no: Column, row: Column) -> Column:
-    noise = (_number(row, 7) - 3).cast("double") / F.lit(10000.0)
-    return F.lit(40.0) + _number(no, 250).cast("double") / F.lit(100.0) + noise
+def _lat(no: str, row: str) -> str:
+    """Latitude of a station with some noise per row."""
+    return f"40.0D + double(({no}) % 250) / 100.0D + double(({row}) % 7 - 3) / 10000.0D"
+
 
+def _lng(no: str, row: str) -> str:
+    return f"-75.2D + double(({no}) % 170) / 50.0D + double(({row}) % 11 - 5) / 10000.0D"
 
-def station_lng(no: Column, row: Column) -> Column:
-    noise = (_number(row, 11) - 5).cast("double") / F.lit(10000.0)
-    return F.lit(-75.2) + _number(no, 170).cast("double") / F.lit(50.0) + noise
+
+def _place(side: str, no: str, row: str, where: str, lat: str, lng: str) -> dict[str, str]:
+    return {
+        f"{side}_station_id": no,
+        f"{side}_station_name": _name(no, row),
+        f"{side}_{lat}": _lat(no, where),
+        f"{side}_{lng}": _lng(no, where),
+    }
 
 
-def _lineage(region: Region, layout: str) -> list[Column]:
+def _lineage(region: Region, layout: str) -> dict[str, str]:
     key = next(k for k, v in LAYOUT_OF_KEY.items() if v == layout)
-    stem = F.replace(F.col("_metadata.file_name"), F.lit(".parquet"), F.lit(""))
-    return [
-        F.concat(F.lit(f"{region.name}_{key}_part-"), stem, F.lit(".csv.gz")).alias("_source_file"),
-        (F.col("_metadata.row_index") + 1).alias("_source_row_number"),
-        time.now().alias("_loaded_at"),
-    ]
+    stem = "replace(_metadata.file_name, '.parquet', '')"
+    return {
+        "_source_file": f"concat('{region.name}_{key}_part-', {stem}, '.csv.gz')",
+        "_source_row_number": "_metadata.row_index + 1",
+        "_loaded_at": "current_timestamp()",
+    }
+
+
+def _after(ts: str, seconds: str) -> str:
+    return f"{ts} + INTERVAL '1' SECOND * ({seconds})"
 
 
-def _later(ts: Column, seconds: Column) -> Column:
-    return ts + F.expr("INTERVAL '1' SECOND") * seconds
+def _layout(df: DataFrame, region: Region, layout: str, columns: dict[str, str]) -> DataFrame:
+    """The columns in the order and types of the layout's staging table."""
+    exprs = columns | _lineage(region, layout)
+    fields = [*LAYOUT_SCHEMA[layout].fields, *STAGING_META.fields]
+    return df.selectExpr(
+        *[f"CAST({exprs[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields]
+    )
 
 
 def modern_staging(spark: SparkSession, sf_dir: str, region: Region = NYC) -> DataFrame:
     """Rides of the current layout from ``events``; times carry microseconds."""
-    event, user = F.col("event_id"), F.col("user_id")
-    start, end = _number(user, 240), _number(event, 240)
-    seconds = F.round(F.col("value") * 37, 2)
-    member = F.when(_number(user, 3) == 0, "member").when(_number(user, 3) == 1, " Casual ")
-    return read(spark, sf_dir, "events").select(
-        event.cast("string").alias("ride_id"),
-        F.concat(F.lit(" "), F.upper("event_type")).alias("rideable_type"),
-        F.col("ts").alias("started_at"),
-        _later(F.col("ts"), seconds).alias("ended_at"),
-        station_name(start, event).alias("start_station_name"),
-        start.cast("string").alias("start_station_id"),
-        station_name(end, event + 1).alias("end_station_name"),
-        end.cast("string").alias("end_station_id"),
-        station_lat(start, event).alias("start_lat"),
-        station_lng(start, event).alias("start_lng"),
-        station_lat(end, event + 1).alias("end_lat"),
-        station_lng(end, event + 1).alias("end_lng"),
-        member.alias("member_casual"),
-        *_lineage(region, MODERN),
-    )
+    columns = {
+        "ride_id": "event_id",
+        "rideable_type": "concat(' ', upper(event_type))",
+        "started_at": "ts",
+        "ended_at": _after("ts", "round(value * 37, 2)"),
+        **_place("start", "user_id % 240", "event_id", "event_id", "lat", "lng"),
+        **_place("end", "event_id % 240", "event_id + 1", "event_id + 1", "lat", "lng"),
+        "member_casual": "CASE user_id % 3 WHEN 0 THEN 'member' WHEN 1 THEN ' Casual ' END",
+    }
+    return _layout(read(spark, sf_dir, "events"), region, MODERN, columns)
 
 
 def legacy_v1_staging(spark: SparkSession, sf_dir: str, region: Region = NYC) -> DataFrame:
     """Rides of the first legacy layout from ``lineitem``."""
-    order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    start, end = F.col("l_suppkey"), _number(part, 300)
-    seconds = F.floor("l_extendedprice")
-    moved = F.col("l_shipdate") + F.expr(YEARS_LATER)
-    began = _later(moved, _number(order * 61 + part, 86_400))
-    user = (
-        F.when(F.col("l_returnflag") == "A", "Subscriber")
-        .when(F.col("l_returnflag") == "R", "CUSTOMER")
-        .when(line < 7, "Dependent")
-    )
-    return read(spark, sf_dir, "lineitem").select(
-        seconds.alias("tripduration"),
-        began.alias("starttime"),
-        _later(began, seconds).alias("stoptime"),
-        start.alias("start_station_id"),
-        station_name(start, order).alias("start_station_name"),
-        station_lat(start, order).alias("start_station_latitude"),
-        station_lng(start, order).alias("start_station_longitude"),
-        end.alias("end_station_id"),
-        station_name(end, order + line).alias("end_station_name"),
-        station_lat(end, part).alias("end_station_latitude"),
-        station_lng(end, part).alias("end_station_longitude"),
-        part.alias("bikeid"),
-        user.alias("usertype"),
-        F.when(line != 6, 1880 + _number(order, 140)).cast("int").alias("birth_year"),
-        _number(line, 3).cast("int").alias("gender"),
-        *_lineage(region, LEGACY_V1),
-    )
+    seconds, lat, lng = "floor(l_extendedprice)", "station_latitude", "station_longitude"
+    began = _after(f"(l_shipdate + {YEARS_LATER})", "(l_orderkey * 61 + l_partkey) % 86400")
+    end = "l_partkey % 300"
+    columns = {
+        "tripduration": seconds,
+        "starttime": began,
+        "stoptime": _after(began, seconds),
+        **_place("start", "l_suppkey", "l_orderkey", "l_orderkey", lat, lng),
+        **_place("end", end, "l_orderkey + l_linenumber", "l_partkey", lat, lng),
+        "bikeid": "l_partkey",
+        "usertype": "CASE WHEN l_returnflag = 'A' THEN 'Subscriber' "
+        "WHEN l_returnflag = 'R' THEN 'CUSTOMER' WHEN l_linenumber < 7 THEN 'Dependent' END",
+        "birth_year": "CASE WHEN l_linenumber <> 6 THEN 1880 + l_orderkey % 140 END",
+        "gender": "l_linenumber % 3",
+    }
+    return _layout(read(spark, sf_dir, "lineitem"), region, LEGACY_V1, columns)
 
 
 def legacy_v2_staging(spark: SparkSession, sf_dir: str, region: Region = NYC) -> DataFrame:
     """Rides of the second legacy layout from ``orders``."""
-    order, customer = F.col("o_orderkey"), F.col("o_custkey")
-    start, end = _number(customer, 300), _number(order, 400)
-    seconds = _number(F.floor("o_totalprice"), 100_000)
-    moved = F.col("o_orderdate") + F.expr(YEARS_LATER)
-    began = _later(moved, _number(customer * 53 + order, 86_400))
-    user = F.when(F.col("o_orderstatus") == "F", "subscriber").when(
-        F.col("o_orderstatus") == "O", "Customer"
-    )
-    return read(spark, sf_dir, "orders").select(
-        seconds.alias("trip_duration"),
-        began.alias("start_time"),
-        _later(began, seconds).alias("stop_time"),
-        start.alias("start_station_id"),
-        station_name(start, order).alias("start_station_name"),
-        station_lat(start, order).alias("start_station_latitude"),
-        station_lng(start, order).alias("start_station_longitude"),
-        end.alias("end_station_id"),
-        station_name(end, order + 1).alias("end_station_name"),
-        station_lat(end, order + 1).alias("end_station_latitude"),
-        station_lng(end, order + 1).alias("end_station_longitude"),
-        customer.alias("bike_id"),
-        user.alias("user_type"),
-        (1900 + _number(customer, 125)).cast("int").alias("birth_year"),
-        _number(order, 3).cast("int").alias("gender"),
-        *_lineage(region, LEGACY_V2),
-    )
+    seconds, lat, lng = "floor(o_totalprice) % 100000", "station_latitude", "station_longitude"
+    began = _after(f"(o_orderdate + {YEARS_LATER})", "(o_custkey * 53 + o_orderkey) % 86400")
+    columns = {
+        "trip_duration": seconds,
+        "start_time": began,
+        "stop_time": _after(began, seconds),
+        **_place("start", "o_custkey % 300", "o_orderkey", "o_orderkey", lat, lng),
+        **_place("end", "o_orderkey % 400", "o_orderkey + 1", "o_orderkey + 1", lat, lng),
+        "bike_id": "o_custkey",
+        "user_type": "CASE o_orderstatus WHEN 'F' THEN 'subscriber' WHEN 'O' THEN 'Customer' END",
+        "birth_year": "1900 + o_custkey % 125",
+        "gender": "o_orderkey % 3",
+    }
+    return _layout(read(spark, sf_dir, "orders"), region, LEGACY_V2, columns)
 
 
 def staging(spark: SparkSession, sf_dir: str, region: Region = NYC) -> dict[str, DataFrame]:
@@ -212,7 +189,7 @@ def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             layout.when(key == "e24ee8457e0e", "TRIPS_LEGACY_V2").alias("sf_table"),
             (_cents(F.col("o_totalprice")) / 1024.0).alias("gzip_size_mb"),
             (1 + order % 5).cast("int").alias("attempt"),
-            _later(F.col("o_orderdate"), order).alias("ended_at_utc"),
+            F.expr(_after("o_orderdate", "o_orderkey")).alias("ended_at_utc"),
             status.alias("status"),
             customer.alias("rows_loaded"),
             F.when(customer % 6 != 5, order % 4).alias("errors_seen"),

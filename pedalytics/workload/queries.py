@@ -339,7 +339,7 @@ def dense_rank_counts(spark, sf_dir):
         .groupBy("l_partkey", "l_suppkey")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return ranking.with_dense_rank(pairs, "n", "pair_rank").select(
+    return ranking.with_dense_ranks(stage(pairs, "pairs"), pair_rank="n").select(
         "l_partkey", "l_suppkey", "n", "pair_rank"
     )
 
