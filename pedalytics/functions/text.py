@@ -76,12 +76,8 @@ def layout_label(
     by_split: bool = False,
 ) -> Column:
     """Layout name of a source file; unknown keys count as the second legacy layout."""
-    key = layout_key(source_file, by_split)
-    label = F.lit(config.LEGACY_V2)
-    for known, layout in layout_of_key.items():
-        if layout != config.LEGACY_V2:
-            label = F.when(key == known, layout).otherwise(label)
-    return label
+    label = lookup(layout_key(source_file, by_split), layout_of_key)
+    return F.coalesce(label, F.lit(config.LEGACY_V2))
 
 
 def region_of_path(relative_path: Column) -> Column:
@@ -111,8 +107,9 @@ def header_fingerprint(columns: Column) -> Column:
 
 
 def lookup(key: Column, mapping: Mapping[str, str]) -> Column:
-    """Constant lookup for a small fixed mapping; null when the key is unknown."""
-    found = F.lit(None).cast("string")
-    for known, value in mapping.items():
-        found = F.when(key == known, value).otherwise(found)
-    return found
+    """Constant lookup for a small fixed mapping; null when the key is unknown.
+
+    A literal map rather than a chain of conditions: the key expression is evaluated once.
+    """
+    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), key)

@@ -65,8 +65,8 @@ def narrow_to_median(
         .otherwise(F.col(value))
     )
     # A hot group keeps many values: it is spread over the salts, each of which gets the target.
-    salts = middle.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = tagged.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
+    salts = middle.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    salted = tagged.withColumn("_salt", F.xxhash64(value).bitwiseAND(SALTS - 1))
     return (
         salted.join(salts, [*keys, "_salt"])
         .groupBy(*keys, folded.alias(value))
