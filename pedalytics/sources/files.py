@@ -70,7 +70,10 @@ def index_entry(key: Column, size: Column, modified: Column, base_url: str) -> l
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Path, size and time of all files below ``root``; their content is not read."""
+    """Path, size and time of all files below ``root``; their content is not read.
+
+    Spark's file scans leave out files of zero bytes, so these are not listed.
+    """
     found = (
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter=pattern)
@@ -92,7 +95,7 @@ def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def head(path: str) -> list[str] | None:
         with _open(path) as stream:
             start = stream.read(HEAD_BYTES).decode("utf-8", errors="replace")
-        return next(csv.reader(io.StringIO(start)), None)
+        return next(csv.reader(io.StringIO(start)), None) or None
 
     for batch in batches:
         yield batch.assign(columns=batch["path"].map(head))
