@@ -68,13 +68,21 @@ def trip_key() -> Column:
 
 
 def drop_repeated_trips(trips: DataFrame) -> DataFrame:
-    """Opt-in: keep one trip per natural key (ride id, or bike and start time where there is none)."""
-    natural = F.coalesce(F.col("ride_id"), F.concat_ws("@", "bikeid", "started_at"))
-    return trips.withColumn("_natural", natural).dropDuplicates(["_natural"]).drop("_natural")
+    """Opt-in: keep one trip per natural key, the ride id, or bike and start time where there is none.
+
+    Trips that have neither cannot be told to be the same; they all stay.
+    """
+    bike_and_time = F.concat(F.col("bikeid").cast("string"), F.lit("@"), F.col("started_at").cast("string"))
+    keyed = trips.withColumn("_natural", F.coalesce(F.col("ride_id"), bike_and_time))
+    once = keyed.filter(F.col("_natural").isNotNull()).dropDuplicates(["_natural"])
+    return once.unionByName(keyed.filter(F.col("_natural").isNull())).drop("_natural")
 
 
 def repeated_trips(trips: DataFrame) -> DataFrame:
-    """Natural keys that occur more than once, with the number of source files they come from."""
+    """Natural keys that occur more than once, with the number of source files they come from.
+
+    Counted per file first, so a key repeated very often is spread over its files and tasks.
+    """
     keys = ["ride_id", "bikeid", "started_at"]
     per_file = (
         trips.select(

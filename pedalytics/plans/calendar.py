@@ -101,7 +101,11 @@ def dim_dates(
     end: dt.date = CALENDAR_END,
     compat: Compat = Compat(),
 ) -> DataFrame:
-    """One row per day from ``start`` to ``end``, both included, with no limit on the range."""
+    """One row per day from ``start`` to ``end``, both included, with no limit on the range.
+
+    How many days there are is known here, so a calendar of a usual range comes marked for
+    broadcast; one beyond ``MAX_BROADCAST_DAYS`` is left to the planner.
+    """
     listed = holidays(spark)
     if not compat.holiday_fanout:
         listed = one_holiday_per_day(listed)
@@ -110,7 +114,7 @@ def dim_dates(
     )
     d = F.col("full_date")
     day_name, month_name = ("EEE", "MMM") if compat.short_names else ("EEEE", "MMMM")
-    return days.join(F.broadcast(listed), d == F.col("holiday_date"), "left").select(
+    dates = days.join(F.broadcast(listed), d == F.col("holiday_date"), "left").select(
         time.date_key(d).alias("date_sk"),
         d,
         time.iso_weekday(d).alias("day_of_week_num"),
@@ -134,8 +138,4 @@ def dim_dates(
         F.trunc(d, "year").alias("first_day_of_year"),
         F.make_date(F.year(d), F.lit(12), F.lit(31)).alias("last_day_of_year"),
     )
-
-
-def broadcastable_days(start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END) -> bool:
-    """A calendar's size is known from its range, so whether it may be broadcast is too."""
-    return (end - start).days < MAX_BROADCAST_DAYS
+    return dates.hint("broadcast") if (end - start).days < MAX_BROADCAST_DAYS else dates

@@ -31,11 +31,11 @@ def _duration_stats(fact: DataFrame, keys: list[str], total: str) -> DataFrame:
 
 
 def monthly_ridership(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rides and duration per month and rider type. ``dates`` is small by its range: broadcast it."""
+    """Rides and duration per month and rider type."""
     month = ["year_num", "month_num", "month_short", "year_month"]
     days = dates.select("date_sk", *month)
     on_day = fact.select("start_date_sk", "member_casual", _DURATION).join(
-        F.broadcast(days), F.col("start_date_sk") == F.col("date_sk")
+        days, F.col("start_date_sk") == F.col("date_sk")
     )
     return _duration_stats(on_day, [*month, "member_casual"], "total_rides")
 

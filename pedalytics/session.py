@@ -17,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
 }
 
+_STAGED: list[str] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED.items():
@@ -46,9 +48,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables staged by this process; frames built on them can no longer be read."""
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def one_file_per_task(spark: SparkSession) -> SparkSession:
     """A sibling session whose file scans give each file a task of its own.
 
@@ -61,6 +71,7 @@ def one_file_per_task(spark: SparkSession) -> SparkSession:
         ("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")),
         ("spark.sql.files.maxPartitionBytes", str(1 << 40)),
         ("spark.sql.files.openCostInBytes", str(1 << 40)),
+        ("spark.sql.files.maxPartitionNum", str((1 << 31) - 1)),
     ):
         sibling.conf.set(key, value)
     return sibling

@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from pedalytics import schemas
 from pedalytics.functions import text
 from pedalytics.operators.ranking import latest_per_key
+from pedalytics.session import one_file_per_task
 
 HEAD_BYTES = 64 * 1024
+_HEADS = "path string, size_bytes long, modificationTime timestamp, columns array<string>"
 
 
 def read_manifest(spark: SparkSession, path: str, region: str | None = None) -> DataFrame:
@@ -101,10 +103,26 @@ def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(columns=batch["path"].map(head))
 
 
-def inventory(spark: SparkSession, root: str, tasks: int = 200) -> DataFrame:
+def _heads_by_scan(spark: SparkSession, root: str) -> DataFrame:
+    position = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    lines = (
+        one_file_per_task(spark)
+        .read.options(recursiveFileLookup=True, pathGlobFilter="*.[cC][sS][vV]")
+        .text(root)
+    )
+    first = lines.select(
+        text.decoded(F.col("_metadata.file_path")).alias("_file"), "value", position.alias("_position")
+    ).filter(F.col("_position") == 0)
+    header = F.when(F.trim("value") != "", text.header_columns(F.col("value")))
+    return first.select("_file", header.alias("columns"))
+
+
+def inventory(spark: SparkSession, root: str, tasks: int = 200, scan: bool = False) -> DataFrame:
     """CSV and zip files below ``root``: bundle, path, size, header columns, fingerprint, region.
 
-    One distributed pass that opens each CSV for its first line only; nothing is read in full.
+    One distributed pass in ``tasks`` tasks opens each CSV for its first line only; nothing is read
+    in full. It opens what pyarrow can (local, s3, gs, hdfs with its library). ``scan`` reads the
+    files through Spark instead, for any other file system, at the price of reading them whole.
     """
     listed = (
         list_files(spark, root)
@@ -112,13 +130,14 @@ def inventory(spark: SparkSession, root: str, tasks: int = 200) -> DataFrame:
         .dropDuplicates(["path"])
     )
     is_csv = F.lower("path").endswith(".csv")
-    heads = (
-        listed.filter(is_csv)
-        .repartition(tasks, "path")
-        .mapInPandas(
-            _read_heads, "path string, size_bytes long, modificationTime timestamp, columns array<string>"
-        )
-    )
+    csv_files = listed.filter(is_csv)
+    if scan:
+        found = _heads_by_scan(spark, root)
+        heads = csv_files.join(
+            found, text.below(F.col("path"), root) == text.below(F.col("_file"), root), "left"
+        ).drop("_file")
+    else:
+        heads = csv_files.repartition(tasks, "path").mapInPandas(_read_heads, _HEADS)
     no_head = F.lit(None).cast("array<string>").alias("columns")
     files = heads.unionByName(listed.filter(~is_csv).select("*", no_head))
     relative = text.below(F.col("path"), root).alias("relative_path")
@@ -136,6 +155,7 @@ def describe_files(files: DataFrame) -> DataFrame:
         "size_bytes",
         F.when(columns.isNotNull(), F.size(columns)).alias("column_count"),
         F.when(columns.isNotNull(), F.concat_ws("|", trimmed)).alias("columns"),
+        F.when(columns.isNotNull(), F.xxhash64(F.concat_ws("|", trimmed))).alias("schema_id"),
         text.header_fingerprint(columns).alias("schema_key"),
         text.region_of_path(path).alias("region"),
     )

@@ -142,7 +142,7 @@ def rides_by_season(spark, sf_dir):
     fact, dates = _fact_without_stations(spark, sf_dir), calendar.dim_dates(spark)
     per_day = fact.groupBy("start_date_sk").agg(F.count(F.lit(1)).alias("n"))
     return (
-        per_day.join(F.broadcast(dates), F.col("start_date_sk") == F.col("date_sk"))
+        per_day.join(dates, F.col("start_date_sk") == F.col("date_sk"))
         .groupBy("season", "is_weekend", "is_holiday")
         .agg(F.sum("n").alias("rides"))
     )

@@ -167,6 +167,9 @@ def test_inventory_and_parts(spark, tmp_path):
     assert found["JC-2021/x.csv"]["region"] == "jersey_city" and found["zips/in.zip"]["columns"] is None
     assert found["odd/o.csv"]["column_count"] == 2 and found["odd/blank.csv"]["schema_key"] is None
 
+    scanned = files.inventory(spark, root, scan=True).collect()
+    assert {r["relative_path"]: r for r in scanned} == found
+
     manifest = write_parts(spark, root, inventory, out, max_bytes=2_000).collect()
     trips = csv_parts.read_parts(spark, f"{out}/region=*/schema_key=dc497b4333c4/part=*", MODERN)
     assert trips.count() == 407 and trips.filter("_error is not null").count() == 0

@@ -69,6 +69,8 @@ def test_repeated_trips(spark):
     found = {(r["ride_id"], r["bikeid"]): (r["trips"], r["source_files"]) for r in repeated_trips(trips).collect()}
     assert found == {("x", None): (2, 2), (None, 7): (2, 1)}
     assert drop_repeated_trips(trips).count() == 4
+    unknown = frame(spark, trip(7), trip(8), trip(9, bikeid=7, started_at=None))
+    assert drop_repeated_trips(unknown).count() == 3
 
 
 def test_rides_by_year_counts_each_ride(spark):
