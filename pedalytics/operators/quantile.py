@@ -3,7 +3,7 @@
 ``median`` and ``percentile`` keep every distinct value of a group in one task. Here rows are first
 counted per (group, value), which combines map-side and spreads a hot group over its values. Where
 the number of distinct values has a fixed bound, a percentile weighted by those counts is enough.
-Where it has none (coordinates), the histogram is narrowed first: see ``narrow_to_median``.
+Where it has none (coordinates), the search is narrowed by counting buckets: ``median_of_doubles``.
 """
 
 from __future__ import annotations
@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from pedalytics.session import stage
+
 BUCKETS = 1 << 16
 SALTS = 64
+BROADCAST_GROUPS = 200_000
 COUNT = "_n"
 
 
@@ -29,63 +32,75 @@ def weighted_median(value: str, count: str = COUNT) -> Column:
     return F.expr(f"percentile({value}, 0.5, {count})")
 
 
-def narrow_to_median(
-    hist: DataFrame, keys: Sequence[str], value: str, low: Column, width: Column
-) -> DataFrame:
-    """Fold all values outside the median's bucket(s) into one value on either side.
-
-    The buckets, ``width`` wide from ``low``, that hold the two middle ranks are found from bucket
-    counts alone. Whatever lies below or above them becomes minus or plus infinity with its count
-    kept, so ranks and the median do not change. With ``width`` a ``BUCKETS``-th of the interval
-    left by the round before, a group never has more than about twice ``BUCKETS`` of them.
-    """
-    position = (
-        F.when(F.col(value) == float("-inf"), F.lit(-1))
-        .when(F.col(value) == float("inf"), F.lit(1 << 62))
-        .otherwise(F.floor((F.col(value) - low) / width))
+def _bucket(value: str, low: Column, width: Column) -> Column:
+    """Number of the bucket a value lies in; values folded to one side come before or after all."""
+    v = F.col(value)
+    return (
+        F.when(v == float("-inf"), F.lit(-1))
+        .when(v == float("inf"), F.lit(1 << 62))
+        .otherwise(F.floor((v - low) / width))
     )
-    tagged = hist.withColumn("_bucket", position)
 
+
+def middle_buckets(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    """First and last bucket holding one of the two middle ranks, one row per group; staged.
+
+    Only bucket counts are shuffled, and they combine map-side.
+    """
     per_group = W.partitionBy(*keys)
     up_to = per_group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     lower_rank = F.floor((F.col("_total") - 1) / 2)
     upper_rank = F.floor(F.col("_total") / 2)
     middle = (
-        tagged.groupBy(*keys, "_bucket")
-        .agg(F.sum(COUNT).alias("_m"))
+        df.groupBy(*keys, bucket.alias("_bucket"))
+        .agg(F.count(F.lit(1)).alias("_m"))
         .withColumn("_total", F.sum("_m").over(per_group))
         .withColumn("_cum", F.sum("_m").over(up_to))
         .filter((F.col("_cum") > lower_rank) & (F.col("_cum") - F.col("_m") <= upper_rank))
         .groupBy(*keys)
         .agg(F.min("_bucket").alias("_first"), F.max("_bucket").alias("_last"))
     )
+    return stage(middle, "middle-buckets")
+
+
+def fold_outside(
+    df: DataFrame, keys: Sequence[str], value: str, bucket: Column, middle: DataFrame
+) -> DataFrame:
+    """Values below or above the middle buckets become minus or plus infinity.
+
+    Each keeps its place in the order, so ranks and the median do not change, but all of them count
+    as one value on either side. ``middle`` is broadcast when it is small by count. Beyond that it is
+    joined by shuffle, with a salt, so that a hot group still goes to many tasks.
+    """
+    if middle.count() <= BROADCAST_GROUPS:
+        joined = df.join(F.broadcast(middle), list(keys))
+    else:
+        salts = middle.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.xxhash64(value).bitwiseAND(SALTS - 1).cast("int")
+        joined = df.withColumn("_salt", salt).join(salts, [*keys, "_salt"])
     folded = (
-        F.when(F.col("_bucket") < F.col("_first"), float("-inf"))
-        .when(F.col("_bucket") > F.col("_last"), float("inf"))
+        F.when(bucket < F.col("_first"), float("-inf"))
+        .when(bucket > F.col("_last"), float("inf"))
         .otherwise(F.col(value))
     )
-    # A hot group keeps many values: it is spread over the salts, each of which gets the target.
-    salts = middle.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    salted = tagged.withColumn("_salt", F.xxhash64(value).bitwiseAND(SALTS - 1))
-    return (
-        salted.join(salts, [*keys, "_salt"])
-        .groupBy(*keys, folded.alias(value))
-        .agg(F.sum(COUNT).alias(COUNT))
-    )
+    return joined.select(*keys, folded.alias(value))
 
 
 def median_of_doubles(
     df: DataFrame, keys: Sequence[str], value: str, low: Column, high: Column, out: str
 ) -> DataFrame:
-    """Exact interpolated median of doubles in ``[low, high]``, one row per group.
+    """Exact interpolated median of doubles in ``[low, high]``, one row per group of non-null keys.
 
-    ``low`` and ``high`` are literals or functions of the keys. Two rounds of narrowing leave an
-    interval ``(high - low) / 2**32`` wide, in which only a bounded number of different doubles
-    exist (some 10**5 for coordinates), whatever the size of the group.
+    ``low`` and ``high`` are literals or functions of the keys. The first pass counts ``BUCKETS``
+    coarse buckets per group, the second as many fine ones inside the middle, the third the values
+    of the fine middle: an interval ``(high - low) / 2**32`` wide, in which only a bounded number of
+    different doubles exist (some 10**5 for coordinates). The rows are read in each pass, and what
+    is shuffled are counts, never the rows.
     """
-    hist = histogram(df, keys, value)
-    width = (high - low) / F.lit(float(BUCKETS))
-    for _ in range(2):
-        hist = narrow_to_median(hist, keys, value, low, width)
-        width = width / F.lit(float(BUCKETS))
+    coarse = (high - low) / F.lit(float(BUCKETS))
+    fine = coarse / F.lit(float(BUCKETS))
+    in_coarse, in_fine = _bucket(value, low, coarse), _bucket(value, low, fine)
+    around = fold_outside(df, keys, value, in_coarse, middle_buckets(df, keys, in_coarse))
+    closer = fold_outside(df, keys, value, in_fine, middle_buckets(around, keys, in_fine))
+    hist = histogram(closer, keys, value)
     return hist.groupBy(*keys).agg(weighted_median(value).alias(out))

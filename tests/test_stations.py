@@ -1,6 +1,7 @@
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from pedalytics.config import JERSEY_CITY, LAYOUT_OF_KEY_BY_HEADER, NYC
@@ -56,29 +57,33 @@ def test_keys_survive_a_rebuild_with_new_stations(spark):
     assert by_name(stations.dim_station(more, NYC))["A"]["station_sk"] == first["A"]["station_sk"]
 
 
-def test_median_of_doubles_is_exact_for_hot_and_odd_groups(spark):
+GROUPS = {
+    "hot": lambda rng: [40 + rng.random() * 1e-7 for _ in range(30_001)],
+    "even": lambda rng: [rng.uniform(0, 100) for _ in range(1_000)],
+    "two_ends": lambda rng: [0.0, 100.0],
+    "one": lambda rng: [55.5],
+    "ties": lambda rng: [1.0] * 500 + [2.0] * 500,
+    "lower_half": lambda rng: [3.0] * 501 + [99.0] * 500,
+}
+
+
+@pytest.mark.parametrize("broadcast_groups", [quantile.BROADCAST_GROUPS, 0])
+def test_median_of_doubles_is_exact_for_hot_and_odd_groups(spark, monkeypatch, broadcast_groups):
+    monkeypatch.setattr(quantile, "BROADCAST_GROUPS", broadcast_groups)
     rng = random.Random(7)
-    groups = {
-        "hot": [40 + rng.random() * 1e-7 for _ in range(30_001)],
-        "even": [rng.uniform(0, 100) for _ in range(1_000)],
-        "two_ends": [0.0, 100.0],
-        "one": [55.5],
-        "ties": [1.0] * 500 + [2.0] * 500,
-        "lower_half": [3.0] * 501 + [99.0] * 500,
-    }
+    groups = {k: make(rng) for k, make in GROUPS.items()}
     rows = [(k, v) for k, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "k string, v double")
     got = quantile.median_of_doubles(df, ["k"], "v", F.lit(0.0), F.lit(100.0), "m").collect()
     assert {r["k"]: r["m"] for r in got} == {k: statistics.median(v) for k, v in groups.items()}
 
 
-def test_narrowing_bounds_the_values_left_per_group(spark):
+def test_folding_bounds_the_values_left_per_group(spark):
     df = spark.range(200_000).selectExpr("'k' AS k", "double(id) / 2000 AS v")
-    hist = quantile.histogram(df, ["k"], "v")
-    width = F.lit(100.0 / quantile.BUCKETS)
-    left = quantile.narrow_to_median(hist, ["k"], "v", F.lit(0.0), width)
-    rows = left.collect()
-    assert len(rows) < 12 and sum(r[quantile.COUNT] for r in rows) == 200_000
+    bucket = F.floor(F.col("v") / F.lit(100.0 / quantile.BUCKETS))
+    middle = quantile.middle_buckets(df, ["k"], bucket)
+    left = quantile.histogram(quantile.fold_outside(df, ["k"], "v", bucket, middle), ["k"], "v").collect()
+    assert len(left) < 12 and sum(r[quantile.COUNT] for r in left) == 200_000
 
 
 def test_observations_take_both_ends(spark):
