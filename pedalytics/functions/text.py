@@ -40,7 +40,7 @@ def rider_type_of_user_type(c: Column) -> Column:
 
 
 def basename(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def below(path: Column, folder: str) -> Column:

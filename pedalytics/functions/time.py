@@ -15,7 +15,8 @@ def parse_timestamp(c: Column) -> Column:
     full = F.regexp_replace(c, _SLASH_DATE + _CLOCK + _SECONDS, "$3-$1-$2 $4:$5:$6")
     short = F.regexp_replace(full, _SLASH_DATE + _CLOCK + r"\s*$", "$3-$1-$2 $4:$5:00")
     day = F.regexp_replace(short, _SLASH_DATE + r"\s*$", "$3-$1-$2")
-    return F.coalesce(c.try_cast("timestamp_ntz"), day.try_cast("timestamp_ntz"))
+    slashed = F.when(c.contains("/"), day.try_cast("timestamp_ntz"))
+    return F.coalesce(c.try_cast("timestamp_ntz"), slashed)
 
 
 def now() -> Column:

@@ -13,6 +13,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM does not compile methods above 8000 bytes of bytecode; wide rows run faster unfused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Exact percentiles over pre-counted values keep many small groups per task.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
 }
@@ -72,6 +74,7 @@ def one_file_per_task(spark: SparkSession) -> SparkSession:
         ("spark.sql.files.maxPartitionBytes", str(1 << 40)),
         ("spark.sql.files.openCostInBytes", str(1 << 40)),
         ("spark.sql.files.maxPartitionNum", str((1 << 31) - 1)),
+        ("spark.sql.codegen.hugeMethodLimit", RECOMMENDED["spark.sql.codegen.hugeMethodLimit"]),
     ):
         sibling.conf.set(key, value)
     return sibling

@@ -17,9 +17,10 @@ ROW_BITS = 33  # monotonically_increasing_id: partition above, position in the p
 
 def source_label(path: Column) -> Column:
     """Lineage name of a part: its file name, led by region and key when it lies in their folders."""
-    tail = F.regexp_extract(path, r"region=([^/]+)/schema_key=([^/]+)/(.+)$", 0)
-    flat = F.regexp_replace(tail, r"^region=([^/]+)/schema_key=([^/]+)/part=", "$1_$2_part")
-    return F.when(tail == "", text.basename(path)).otherwise(F.replace(flat, F.lit("/"), F.lit("-")))
+    in_folders = F.regexp_replace(
+        F.regexp_replace(path, r"^.*region=([^/]+)/schema_key=([^/]+)/part=", "$1_$2_part"), "/", "-"
+    )
+    return F.when(path.contains("/schema_key="), in_folders).otherwise(text.basename(path))
 
 
 def raw_parts(spark: SparkSession, paths: str | Sequence[str], layout: str) -> DataFrame:
@@ -57,17 +58,22 @@ def typed_column(raw: Column, dtype: T.DataType) -> Column:
 
 
 def typed_parts(raw: DataFrame, layout: str) -> DataFrame:
-    """Typed columns, load time, and ``_error``: the fields that did not read, null for good rows."""
+    """Typed columns, load time, and ``_error``: the fields that did not read, null for good rows.
+
+    Two projections, so that each field is parsed once, for its value and for the check.
+    """
     fields = LAYOUT_SCHEMA[layout].fields
-    typed = {f.name: typed_column(F.col(f.name), f.dataType) for f in fields}
+    parsed = [f for f in fields if not isinstance(f.dataType, T.StringType)]
+    both = raw.withColumns(
+        {f"_typed_{f.name}": typed_column(F.col(f.name), f.dataType) for f in parsed}
+    )
     unread = [
-        F.when(F.col(f.name).isNotNull() & typed[f.name].isNull(), f.name)
-        for f in fields
-        if not isinstance(f.dataType, T.StringType)
+        F.when(F.col(f.name).isNotNull() & F.col(f"_typed_{f.name}").isNull(), f.name) for f in parsed
     ]
     error = F.nullif(F.concat_ws(",", *unread), F.lit(""))
-    return raw.select(
-        *[c.alias(name) for name, c in typed.items()],
+    values = [F.col(f"_typed_{f.name}" if f in parsed else f.name).alias(f.name) for f in fields]
+    return both.select(
+        *values,
         "_source_file",
         "_source_row_number",
         time.now().alias("_loaded_at"),
