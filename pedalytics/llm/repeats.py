@@ -60,20 +60,23 @@ def seeds(texts: DataFrame, tokens: Callable[[scan.Texts], scan.Tokens], window:
     return texts.mapInArrow(runs, "seed long, span long, _id long, place long")
 
 
-def repeated_runs(texts: DataFrame, tokens, window: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """(runs whose seed occurs more than once, staged; their classes with count and first place).
+def repeated_runs(texts: DataFrame, tokens, window: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Runs whose seed occurs more than once; their classes; the classes of seeds with several.
 
-    A class holds the runs that agree in seed and span: (seed, span, copies, first, kinds), where
-    ``kinds`` is the number of classes of the seed.
+    A class holds the runs that agree in seed and span: (seed, span, copies, first). The last table
+    also has ``kinds``, the number of classes of the seed.
+    Each side of a join is a stored table, so that a join on a crowded seed can be split.
     """
     runs = seeds(texts, tokens, window, k)
-    often = runs.groupBy("seed").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("seed")
+    counted = runs.groupBy("seed").agg(F.count(F.lit(1)).alias("times"))
+    often = stage(counted.where("times > 1").select("seed"), "repeated-seeds")
     again = stage(runs.join(often, "seed"), "repeated-runs")
     classes = again.groupBy("seed", "span").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("_id", "place")).alias("first")
     )
-    kinds = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds"))
-    return again, classes.join(kinds, "seed")
+    classes = stage(classes, "run-classes")
+    kinds = stage(classes.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds")), "seed-kinds")
+    return again, classes, classes.join(kinds.where("kinds > 1"), "seed")
 
 
 def intervals(found: DataFrame) -> DataFrame:

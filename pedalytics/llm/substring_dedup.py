@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalytics.llm import repeats, scan
+from pedalytics.session import stage
 
 WINDOW = 35
 ANCHOR = 10
@@ -33,13 +34,13 @@ def repeated_stretches(
     Texts of fewer than ``window`` words have none; an empty table gives no rows.
     """
     texts = repeats.keyed(docs, id_col, text_col)
-    again, classes = repeats.repeated_runs(texts, scan.word_tokens, window, anchor)
+    again, classes, mixed = repeats.repeated_runs(texts, scan.word_tokens, window, anchor)
     copies = classes.where("copies > 1").select("seed", "span")
     whole = repeats.unpack(again.join(copies, ["seed", "span"])).select(
         "_id", "_mark", "start", (F.col("n") + window - 1).alias("length")
     )
     open_ = repeats.unpack(
-        classes.where("kinds > 1").select("first._id", "first.place", (F.col("copies") == 1).alias("single"))
+        mixed.select("first._id", "first.place", (F.col("copies") == 1).alias("single"))
     )
     stretch = open_.groupBy("_id", "_mark").agg(F.collect_list(F.struct("start", "n", "single")).alias("open"))
     windows = repeats.with_texts(texts, stretch).select("_id", "_mark", "_text", "open")
@@ -71,6 +72,7 @@ def repeated_stretches(
 
     each = windows.mapInArrow(hashed, "a long, b long, _id long, _mark int, start int, single boolean")
     twice = each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("a", "b")
+    twice = stage(twice, "repeated-windows")
     partly = each.where("single").join(twice, ["a", "b"]).select(
         "_id", "_mark", "start", F.lit(window).alias("length")
     )

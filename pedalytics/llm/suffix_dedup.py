@@ -5,8 +5,9 @@ and drops seeds that occur once, and stretches equal as a whole are settled by t
 place. The suffixes that remain are dealt out by seed and sorted there: a merge sort whose comparisons
 find the common extension of two suffixes by binary search over prefix polynomial hashes, so a
 comparison takes logarithmic time. Neighbours that agree over the threshold are compared byte by
-byte; if a hash ever deceived, the sort is repeated with another base. A seed with very many stretches
-is dealt out further by the hash of each suffix's first bytes, which keeps equal strings together.
+byte; if a hash ever deceived, the sort is repeated with another base. Stretches of a seed with many
+are filed again under longer seeds, which part what differs and keep equal strings together. A seed
+with more stretches than one task should sort is settled by 128-bit hashes and a combined minimum.
 
 Nulls are empty texts. Order is by id (null first), then place; repeated rows of one id and text are
 one document. Columns other than id and text are ignored, whatever their names.
@@ -22,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalytics.llm import repeats, scan
+from pedalytics.session import stage
 
 LENGTH = 100
 SEED = 28
-SPLIT = 256
+LONGER = 88  # seed of stretches whose first seed has more than CROWD kinds
+CROWD = 256
+MOST = 30_000  # kinds of a seed that one task sorts
 BATCH = 60_000
 
 
@@ -106,43 +110,67 @@ def equal_strings(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: i
     raise RuntimeError("three hash bases collided")
 
 
-_SPAN = pa.schema([("seed", pa.int64()), ("part", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int32()),
-                   ("start", pa.int64()), ("bytes", pa.binary())])
+_SPAN = pa.schema([("seed", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int32()), ("start", pa.int64()),
+                   ("bytes", pa.binary())])
 
 
-def _spans(length: int):
-    """Stretches of texts with their bytes; crowded seeds window by window."""
+def _spans(length: int, longer: int, crowd: int):
+    """Stretches of texts with their bytes; those of crowded seeds are parted by longer seeds."""
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks, open_runs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
             rows: list[tuple] = []
             for texts in scan.chunks(batch.column(2)):
-                prefix = None
+                crowded, owners = [], []
                 for i in range(len(texts)):
                     row = texts.first + i
                     for run in open_runs[row].as_py():
                         at, n = int(texts.bounds[i]) + run["start"], run["n"]
-                        if run["kinds"] <= SPLIT:
-                            piece = texts.data[at : at + n - 1 + length].tobytes()
-                            rows.append((run["seed"], 0, ids[row], marks[row], run["start"], piece))
-                            continue
-                        if prefix is None:
-                            prefix = scan.prefix_hashes(scan.BYTE_VALUES[texts.data], 2)
-                        places = np.arange(at, at + n)
-                        parts = scan.stretch_hashes(prefix, places, places + length, 2)
-                        for j, part in enumerate(parts % np.uint64(max(2, run["kinds"] * n // SPLIT))):
-                            piece = texts.data[at + j : at + j + length].tobytes()
-                            rows.append((run["seed"], int(part), ids[row], marks[row], run["start"] + j, piece))
-                if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SPAN.types)], schema=_SPAN)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SPAN.types)], schema=_SPAN)
+                        piece = texts.data[at : at + n - 1 + length]
+                        owner = (run["seed"], ids[row], marks[row], run["start"])
+                        if run["kinds"] <= crowd:
+                            rows.append((*owner, piece.tobytes()))
+                        else:
+                            crowded.append(piece)
+                            owners.append(owner)
+                if crowded:
+                    bounds = np.append(0, np.cumsum([len(p) for p in crowded]))
+                    parts = scan.Texts(0, np.concatenate(crowded), bounds)
+                    found = scan.winnow(scan.byte_tokens(parts), length, longer)
+                    for seed, text, start, n in zip(found.seed.view(np.int64).tolist(), found.text.tolist(),
+                                                    found.start.tolist(), found.count.tolist()):
+                        first, i, mark, at = owners[text]
+                        rows.append((first ^ seed, i, mark, at + start, crowded[text][start : start + n - 1 + length].tobytes()))
+            for at in range(0, len(rows), 20_000):
+                part = zip(zip(*rows[at : at + 20_000]), _SPAN.types)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in part], schema=_SPAN)
 
     return spans
 
 
+def _windows(length: int):
+    """128-bit hashes of the windows of stretches."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int32()), ("start", pa.int64())])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in scan.chunks(batch.column(2)):
+                runs = [(i, int(texts.bounds[i]), r["start"], r["n"]) for i in range(len(texts))
+                        for r in batch.column(3)[texts.first + i].as_py()]
+                row = np.concatenate([np.full(n, i) for i, _, _, n in runs])
+                start = np.concatenate([np.arange(s, s + n) for _, _, s, n in runs])
+                at = start + texts.bounds[row]
+                values = scan.BYTE_VALUES[texts.data]
+                lanes = [scan.stretch_hashes(scan.prefix_hashes(values, lane), at, at + length, lane) for lane in (0, 2)]
+                take = pa.array(row + texts.first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x.view(np.int64)) for x in lanes]
+                    + [batch.column(0).take(take), batch.column(1).take(take).cast(pa.int32()), pa.array(start)], schema=schema)
+
+    return windows
+
+
 def _later(length: int):
     """Of equal strings within a seed all but the first, as stretches."""
     schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int32()), ("start", pa.int64()), ("length", pa.int64())])
@@ -151,8 +179,11 @@ def _later(length: int):
         table = pa.Table.from_batches(rows).combine_chunks()
         column = {c: table[c].combine_chunks() for c in table.column_names}
         column = {c: v.chunk(0) if isinstance(v, pa.ChunkedArray) else v for c, v in column.items()}
-        key = np.stack([column[c].to_numpy(zero_copy_only=False) for c in ("seed", "part")])
-        group = np.cumsum(np.append(0, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+        seeds = column["seed"].to_numpy()
+        group = np.cumsum(np.append(0, seeds[1:] != seeds[:-1]))
+        shared = pa.array(np.bincount(group)[group] > 1)  # a stretch alone under its seed repeats nothing
+        group = group[np.asarray(shared)]
+        column = {c: v.filter(shared) for c, v in column.items()}
         pieces = column["bytes"].cast(pa.large_binary())
         bounds = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
         data = np.frombuffer(pieces.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
@@ -184,8 +215,8 @@ def _later(length: int):
                 if sum(b.num_rows for b in held) * 35 < BATCH:
                     continue
                 table = pa.Table.from_batches(held)
-                keys = np.stack([table["seed"].to_numpy(), table["part"].to_numpy()])
-                last = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))
+                seeds = table["seed"].to_numpy()
+                last = np.flatnonzero(seeds[1:] != seeds[:-1])
                 if len(last):  # groups that have ended; the last one may go on
                     yield settle(table.slice(0, last[-1] + 1).to_batches())
                     held = table.slice(last[-1] + 1).to_batches()
@@ -196,28 +227,43 @@ def _later(length: int):
 
 
 def earlier_stretches(
-    docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
+    most: int = MOST,
 ) -> DataFrame:
     """(_id, _mark, start, length): stretches whose strings of ``length`` bytes also start earlier.
 
     Texts shorter than ``length`` bytes have none; an empty table gives no rows.
     """
     texts = repeats.keyed(docs, id_col, text_col)
-    again, classes = repeats.repeated_runs(texts, scan.byte_tokens, length, seed)
+    again, classes, mixed = repeats.repeated_runs(texts, scan.byte_tokens, length, seed)
     copies = classes.where("copies > 1").select("seed", "span", "first")
     place = F.struct("_id", F.shiftright("place", 32).alias("start"))
     head = F.struct("first._id", F.shiftright(F.col("first.place"), 32).alias("start"))
     whole = repeats.unpack(again.join(copies, ["seed", "span"]).where(place != head)).select(
         "_id", "_mark", F.col("start").cast("long"), (F.col("n") + length - 1).cast("long").alias("length")
     )
-    open_ = repeats.unpack(classes.where("kinds > 1").select("seed", "kinds", "first._id", "first.place"))
-    stretch = open_.groupBy("_id", "_mark").agg(F.collect_list(F.struct("seed", "kinds", "start", "n")).alias("open"))
-    pieces = repeats.with_texts(texts, stretch).select("_id", "_mark", "_text", "open").mapInArrow(
-        _spans(length), "seed long, part long, _id long, _mark int, start long, bytes binary"
+    out = "_id long, _mark int, start long, length long"
+    open_ = repeats.unpack(mixed.select("seed", "kinds", "first._id", "first.place"))
+
+    def stretches(which: str) -> DataFrame:
+        rows = open_.where(which).groupBy("_id", "_mark")
+        rows = rows.agg(F.collect_list(F.struct("seed", "kinds", "start", "n")).alias("open"))
+        return repeats.with_texts(texts, rows).select("_id", "_mark", "_text", "open")
+
+    pieces = stretches(f"kinds <= {most}").mapInArrow(
+        _spans(length, max(seed, length * LONGER // 100), CROWD), "seed long, _id long, _mark int, start long, bytes binary"
+    )
+    sorted_ = pieces.repartition("seed").sortWithinPartitions("seed").mapInArrow(_later(length), out)
+    if open_.where(f"kinds > {most}").isEmpty():
+        return whole.unionByName(sorted_)
+    each = stage(
+        stretches(f"kinds > {most}").mapInArrow(_windows(length), "a long, b long, _id long, _mark int, start long"),
+        "crowded-windows",
     )
-    dealt = pieces.repartition("seed", "part").sortWithinPartitions("seed", "part")
-    partly = dealt.mapInArrow(_later(length), "_id long, _mark int, start long, length long")
-    return whole.unionByName(partly)
+    heads = stage(each.groupBy("a", "b").agg(F.min(F.struct("_id", "start")).alias("head")), "crowded-heads")
+    later = each.join(heads, ["a", "b"]).where(F.struct("_id", "start") != F.col("head"))
+    later = later.select("_id", "_mark", "start", F.lit(length).cast("long").alias("length"))
+    return whole.unionByName(sorted_).unionByName(later)
 
 
 def remove_earlier(
