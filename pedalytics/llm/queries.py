@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from pedalytics.llm import substring_dedup, suffix_dedup
+from pedalytics.llm import (
+    decontamination,
+    fingerprints,
+    html_extraction,
+    minhash_dedup,
+    substring_dedup,
+    suffix_dedup,
+    url_filters,
+)
 
 QUERIES = {
     f.__name__: f
     for f in (
         substring_dedup.op1_substring_dedup,
+        fingerprints.op2_fingerprints,
+        decontamination.op5_decontamination,
+        minhash_dedup.op6_minhash_dedup,
+        url_filters.op7_url_filters,
+        html_extraction.op8_html_extraction,
         suffix_dedup.op10_suffix_dedup,
     )
 }

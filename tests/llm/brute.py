@@ -37,3 +37,68 @@ def suffix_dedup(rows, length=100):
         kept = bytes(x for x, g in zip(b, gone) if not g)
         out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def lower_ascii(t):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")
+
+
+def minhash_dedup(rows, k=3, percent=85):
+    sets = []
+    for i, t in rows:
+        w = SPACES.findall(lower_ascii(t))
+        s = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+        sets.append((i, s))
+    root = {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    by = defaultdict(list)
+    for n, (i, s) in enumerate(sets):
+        seen = Counter(m for x in s for m in by[x])
+        for m, shared in seen.items():
+            j, other = sets[m]
+            if 100 * shared >= percent * (len(s) + len(other) - shared):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+        for x in s:
+            by[x].append(n)
+    return [(i, len(s), top(i), top(i) == i) for i, s in sets]
+
+
+def decontamination(rows, items, window=10):
+    find = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = defaultdict(set)
+    for item, t in items:
+        w = find.findall(lower_ascii(t))
+        if w:
+            m = min(window, len(w))
+            for j in range(len(w) - m + 1):
+                windows[tuple(w[j : j + m])].add(str(item))
+    sizes = sorted({len(x) for x in windows})
+    out = []
+    for i, t in rows:
+        w = find.findall(lower_ascii(t))
+        hit, found = set(), set()
+        for m in sizes:
+            for j in range(len(w) - m + 1):
+                if items_of := windows.get(tuple(w[j : j + m])):
+                    hit.update(range(j, j + m))
+                    found |= items_of
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(w), len(hit), len(found), digest, bool(hit)))
+    return out
+
+
+def edited_texts(rows):
+    ordered = sorted(((i, t or "") for i, t in rows), reverse=True)
+    out = []
+    for p, (i, t) in enumerate(ordered):
+        cut = len(t) // 3
+        after = ordered[(p + 1) % len(ordered)][1]
+        new = t[: len(t) - cut] + after[:cut]
+        out.append((i, len(t), hashlib.sha256(new.encode()).hexdigest()))
+    return out
