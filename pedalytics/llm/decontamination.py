@@ -64,7 +64,7 @@ def hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = GRAM,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """(id, n_words, n_hit, n_items, items, contaminated) for every row of ``docs``.
+    """(id, n_words, n_hit, n_items, items, contaminated, _mark) for every row of ``docs``.
 
     ``items`` are the ids, as strings and sorted, of the items with a window in the document.
     """
@@ -110,7 +110,15 @@ def hits(
     ids = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
         F.col("id").alias(id_col), "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"), ids.alias("items"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+        (F.col("n_hit") > 0).alias("contaminated"), F.col("mark").alias("_mark"))
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark window occurs, with all columns."""
+    bad = hits(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bid"), F.col("_mark").alias("bmark")).distinct()
+    mark = F.xxhash64(F.coalesce(docs["text"], F.lit(""))).bitwiseAND((1 << 24) - 1).cast("int")
+    met = docs["doc_id"].cast("long").eqNullSafe(bad["bid"]) & (mark == bad["bmark"])
+    return docs.join(bad, met, "left_anti")
 
 
 def op5_decontamination(spark, sf_dir):

@@ -7,8 +7,11 @@ from pedalytics.llm import (
     fingerprints,
     html_extraction,
     minhash_dedup,
+    quality,
+    sentencepiece,
     substring_dedup,
     suffix_dedup,
+    token_counts,
     url_filters,
 )
 
@@ -17,10 +20,13 @@ QUERIES = {
     for f in (
         substring_dedup.op1_substring_dedup,
         fingerprints.op2_fingerprints,
+        sentencepiece.op3_sentencepiece,
+        quality.op4_quality_classifier,
         decontamination.op5_decontamination,
         minhash_dedup.op6_minhash_dedup,
         url_filters.op7_url_filters,
         html_extraction.op8_html_extraction,
+        token_counts.op9_token_counts,
         suffix_dedup.op10_suffix_dedup,
     )
 }

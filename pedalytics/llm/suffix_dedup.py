@@ -272,7 +272,7 @@ def remove_earlier(
     """(id, mark, n_bytes, n_removed, n_spans, kept binary) for each row of ``docs``.
 
     ``n_spans`` counts maximal removed runs; ``kept`` are the bytes that remain, which may cut a code
-    point (``documents_without_repeats`` gives whole ones).
+    point (``without_repeats`` gives whole ones).
     """
     texts = repeats.keyed(docs, id_col, text_col)
     found = repeats.intervals(earlier_stretches(docs, length, seed, id_col, text_col))
@@ -303,6 +303,43 @@ def remove_earlier(
     return joined.mapInArrow(cut, f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all columns, their texts without what occurs earlier.
+
+    Only whole code points go, so a removed stretch may be shorter at its ends. A column ``n_chars`` is
+    set anew. A text of which only white space is left is dropped; others that had none stay.
+    """
+    found = repeats.intervals(earlier_stretches(docs, length, SEED, id_col, text_col))
+    found = found.withColumnsRenamed({"_id": "_fid", "_mark": "_fmark"})
+    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 24) - 1).cast("int")
+    rows = docs.withColumn("_mark", mark)
+    met = rows[id_col].cast("long").eqNullSafe(found["_fid"]) & (rows["_mark"] == found["_fmark"])
+    joined = rows.join(found, met, "left").select(*docs.columns, "starts", "lengths")
+    at = docs.columns.index(text_col)
+    count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keep = [], []
+            for text, starts, lengths in zip(*(batch.column(i) for i in (at, -2, -1))):
+                text, starts = text.as_py(), starts.as_py()
+                if starts:
+                    raw = np.frombuffer(text.encode(), np.uint8)
+                    gone = scan.covered(np.array(starts), np.array(lengths.as_py()), len(raw))
+                    point = np.cumsum((raw & 0xC0) != 0x80) - 1
+                    whole = np.bincount(point, gone) == np.bincount(point)
+                    text = raw[~whole[point]].tobytes().decode()
+                texts.append(text)
+                keep.append(not starts or bool(text.strip()))
+            columns = list(batch.columns[:-2])
+            columns[at] = pa.array(texts, pa.string())
+            if count is not None:
+                columns[count] = pa.array([len(t) if t is not None else None for t in texts]).cast(columns[count].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-2]).filter(pa.array(keep, pa.bool_()))
+
+    return joined.mapInArrow(cut, docs.schema)
+
+
 def op10_suffix_dedup(spark, sf_dir):
     """Bytes of every document that no earlier 100-byte string covers, as a digest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
