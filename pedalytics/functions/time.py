@@ -20,7 +20,8 @@ def parse_timestamp(c: Column) -> Column:
 
 
 def now() -> Column:
-    return F.current_timestamp().cast("timestamp_ntz")
+    """The current time in UTC, whatever the session's zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
 
 
 def _second_of_day(ts: Column) -> Column:

@@ -17,8 +17,6 @@ from pyspark.sql.window import Window as W
 from pedalytics.session import stage
 
 BUCKETS = 1 << 16
-SALTS = 64
-BROADCAST_GROUPS = 200_000
 COUNT = "_n"
 
 
@@ -37,7 +35,7 @@ def _bucket(value: str, low: Column, width: Column) -> Column:
     v = F.col(value)
     return (
         F.when(v == float("-inf"), F.lit(-1))
-        .when(v == float("inf"), F.lit(1 << 62))
+        .when(F.isnan(v) | (v == float("inf")), F.lit(1 << 62))
         .otherwise(F.floor((v - low) / width))
     )
 
@@ -69,15 +67,10 @@ def fold_outside(
     """Values below or above the middle buckets become minus or plus infinity.
 
     Each keeps its place in the order, so ranks and the median do not change, but all of them count
-    as one value on either side. ``middle`` is broadcast when it is small by count. Beyond that it is
-    joined by shuffle, with a salt, so that a hot group still goes to many tasks.
+    as one value on either side. ``middle`` is stored, so the planner knows its size: it broadcasts it
+    or joins by shuffle, where a hot group is split.
     """
-    if middle.count() <= BROADCAST_GROUPS:
-        joined = df.join(F.broadcast(middle), list(keys))
-    else:
-        salts = middle.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.xxhash64(value).bitwiseAND(SALTS - 1).cast("int")
-        joined = df.withColumn("_salt", salt).join(salts, [*keys, "_salt"])
+    joined = df.join(middle, list(keys))
     folded = (
         F.when(bucket < F.col("_first"), float("-inf"))
         .when(bucket > F.col("_last"), float("inf"))
@@ -91,12 +84,15 @@ def median_of_doubles(
 ) -> DataFrame:
     """Exact interpolated median of doubles in ``[low, high]``, one row per group of non-null keys.
 
+    Null values are left out, as other aggregates do; NaN is greater than every number.
+
     ``low`` and ``high`` are literals or functions of the keys. The first pass counts ``BUCKETS``
     coarse buckets per group, the second as many fine ones inside the middle, the third the values
     of the fine middle: an interval ``(high - low) / 2**32`` wide, in which only a bounded number of
     different doubles exist (some 10**5 for coordinates). The rows are read in each pass, and what
     is shuffled are counts, never the rows.
     """
+    df = df.filter(F.col(value).isNotNull())
     coarse = (high - low) / F.lit(float(BUCKETS))
     fine = coarse / F.lit(float(BUCKETS))
     in_coarse, in_fine = _bucket(value, low, coarse), _bucket(value, low, fine)

@@ -46,7 +46,7 @@ def with_position(df: DataFrame, count: str, tie: str, out: str) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
-    """The row with the greatest ``order`` columns per key; combines map-side, no sort of the log."""
+    """The row with the greatest ``order`` columns per key; combines map-side; the plan sorts by key."""
     newest = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
     return df.groupBy(*keys).agg(newest).select("_row.*")
 

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pedalytics.config import CALENDAR_END, CALENDAR_START, Compat
 from pedalytics.functions import time
 
-HOLIDAY_YEARS = (2013, 2030)
+HOLIDAY_YEARS = (2013, 2030)  # of the established list; a calendar takes its own years
 JUNETEENTH_SINCE = 2021
-MAX_BROADCAST_DAYS = 200_000
 
 # Holidays on the n-th given weekday of a month (n = -1: the last one).
 WEEKDAY_HOLIDAYS = (
@@ -69,8 +68,8 @@ def _fixed_holiday(year: Column, name: str, month: int, day: int) -> Column:
     return entry
 
 
-def holidays(spark: SparkSession) -> DataFrame:
-    """Public holidays 2013-2030 as (holiday_date, holiday_name): 190 rows, one date twice."""
+def holidays(spark: SparkSession, first: int = HOLIDAY_YEARS[0], last: int = HOLIDAY_YEARS[1]) -> DataFrame:
+    """Public holidays as (holiday_date, holiday_name); 2013-2030 are 190 rows, one date twice."""
     year = F.col("id").cast("int")
     entries = [
         F.struct(
@@ -79,7 +78,6 @@ def holidays(spark: SparkSession) -> DataFrame:
         )
         for name, month, weekday, n in WEEKDAY_HOLIDAYS
     ] + [_fixed_holiday(year, *holiday) for holiday in FIXED_HOLIDAYS]
-    first, last = HOLIDAY_YEARS
     return (
         spark.range(first, last + 1, 1, 1)
         .select(F.explode(F.array(*entries)).alias("h"))
@@ -103,10 +101,9 @@ def dim_dates(
 ) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included, with no limit on the range.
 
-    How many days there are is known here, so a calendar of a usual range comes marked for
-    broadcast; one beyond ``MAX_BROADCAST_DAYS`` is left to the planner.
+    Holidays follow their rules in any year.
     """
-    listed = holidays(spark)
+    listed = holidays(spark, start.year, end.year + 1)  # a New Year may be observed the day before
     if not compat.holiday_fanout:
         listed = one_holiday_per_day(listed)
     days = spark.range(0, (end - start).days + 1, 1, 1).select(
@@ -138,4 +135,4 @@ def dim_dates(
         F.trunc(d, "year").alias("first_day_of_year"),
         F.make_date(F.year(d), F.lit(12), F.lit(31)).alias("last_day_of_year"),
     )
-    return dates.hint("broadcast") if (end - start).days < MAX_BROADCAST_DAYS else dates
+    return dates

@@ -67,7 +67,7 @@ def load_layout(
         yield spark.read.schema(typed.schema).parquet(folder), None, parts
     except Exception as failure:  # noqa: BLE001 - whatever broke is written to the log
         if len(parts) == 1:
-            yield None, str(failure).splitlines()[0][:500], parts
+            yield None, str(failure), parts
             return
         middle = len(parts) // 2
         for half in (parts[:middle], parts[middle:]):
@@ -111,8 +111,8 @@ def log_rows(
         .otherwise("LOADED")
     )
     derived = {
-        # One id range per run; ids are unique, and later runs have larger ones.
-        "log_id": F.lit(first_log_id) + F.monotonically_increasing_id(),
+        # The start in microseconds plus the part's place in the run: later runs have larger ids.
+        "log_id": F.lit(first_log_id) + F.col("_position"),
         "gzip_size_mb": text.megabytes(F.coalesce("gzip_size_bytes", F.lit(0))),
         "triggered_by": F.lit(TRIGGERED_BY),
         "started_at_utc": F.lit(started),
@@ -167,7 +167,8 @@ def ingest(
         ):
             outcomes = outcomes.unionByName(_outcomes(spark, written, error, batch))
 
-    attempts = spark.createDataFrame(parts, queue.schema)
+    numbered = T.StructType([*queue.schema.fields, T.StructField("_position", T.LongType())])
+    attempts = spark.createDataFrame([(*r, n) for n, r in enumerate(parts)], numbered)
     first_id = int(started.timestamp() * 1_000_000)
     rows = log_rows(attempts, outcomes, started, first_id)
     rows.write.mode("append").parquet(log_path)

@@ -15,7 +15,6 @@ from pedalytics.sources.files import list_files
 
 # Text shrinks at least this much under gzip; used to size parts from uncompressed bytes.
 GZIP_RATIO = 3
-MAX_LAYOUTS = 1_000
 # Written as read: quoted where needed, and no trimming.
 CSV_OUT = {
     "header": True,
@@ -53,15 +52,7 @@ def write_parts(
     """
     chosen = inventory if region == "all" else inventory.filter(F.col("region") == region)
     plan = stage(plan_parts(chosen, max_bytes), "part-plan")
-    layouts = (
-        plan.groupBy("schema_key")
-        .agg(F.min("columns").alias("columns"))
-        .limit(MAX_LAYOUTS + 1)
-        .collect()
-    )
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers below {root}")
-    for layout in layouts:
+    for layout in plan.groupBy("schema_key").agg(F.min("columns").alias("columns")).toLocalIterator():
         _write_layout(spark, root, plan, layout["schema_key"], layout["columns"].split("|"), out, max_bytes)
     return parts_manifest(spark, out, plan)
 
@@ -81,12 +72,12 @@ def _write_layout(
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, quote='"', escape='"')
+        .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=True)
         .csv(paths)
         .withColumn("relative_path", text.below(text.decoded(F.col("_metadata.file_path")), base))
     )
     width = sum(F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)) + 1 for c in columns)
-    average = rows.select(width.alias("w")).limit(10_000).agg(F.avg("w")).first()[0] or 1.0
+    average = rows.agg(F.avg(width)).first()[0] or 1.0
     per_file = max(1, int(max_bytes * GZIP_RATIO / average))
     (
         rows.join(files, "relative_path")

@@ -16,7 +16,6 @@ from pedalytics.functions import text
 from pedalytics.operators.ranking import latest_per_key
 from pedalytics.session import one_file_per_task
 
-HEAD_BYTES = 64 * 1024
 _HEADS = "path string, size_bytes long, modificationTime timestamp, columns array<string>"
 
 
@@ -94,10 +93,12 @@ def _open(path: str):
 
 
 def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    csv.field_size_limit(1 << 31)
+
     def head(path: str) -> list[str] | None:
         with _open(path) as stream:
-            start = stream.read(HEAD_BYTES).decode("utf-8", errors="replace")
-        return next(csv.reader(io.StringIO(start)), None) or None
+            lines = io.TextIOWrapper(stream, "utf-8", errors="replace", newline="")
+            return next(csv.reader(lines), None) or None
 
     for batch in batches:
         yield batch.assign(columns=batch["path"].map(head))
@@ -117,10 +118,10 @@ def _heads_by_scan(spark: SparkSession, root: str) -> DataFrame:
     return first.select("_file", header.alias("columns"))
 
 
-def inventory(spark: SparkSession, root: str, tasks: int = 200, scan: bool = False) -> DataFrame:
+def inventory(spark: SparkSession, root: str, tasks: int | None = None, scan: bool = False) -> DataFrame:
     """CSV and zip files below ``root``: bundle, path, size, header columns, fingerprint, region.
 
-    One distributed pass in ``tasks`` tasks opens each CSV for its first line only; nothing is read
+    One distributed pass opens each CSV for its first record only, however long; nothing is read
     in full. It opens what pyarrow can (local, s3, gs, hdfs with its library). ``scan`` reads the
     files through Spark instead, for any other file system, at the price of reading them whole.
     """
@@ -137,7 +138,8 @@ def inventory(spark: SparkSession, root: str, tasks: int = 200, scan: bool = Fal
             found, text.below(F.col("path"), root) == text.below(F.col("_file"), root), "left"
         ).drop("_file")
     else:
-        heads = csv_files.repartition(tasks, "path").mapInPandas(_read_heads, _HEADS)
+        dealt = csv_files.repartition(tasks, "path") if tasks else csv_files.repartition("path")
+        heads = dealt.mapInPandas(_read_heads, _HEADS)
     no_head = F.lit(None).cast("array<string>").alias("columns")
     files = heads.unionByName(listed.filter(~is_csv).select("*", no_head))
     relative = text.below(F.col("path"), root).alias("relative_path")

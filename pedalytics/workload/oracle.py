@@ -48,7 +48,7 @@ v2 AS (
   SELECT *, CAST(floor(o_totalprice) AS BIGINT) % 100000 AS secs,
     o_orderdate + INTERVAL 17 YEAR + to_seconds((o_custkey * 53 + o_orderkey) % 86400) AS began
   FROM orders),
-trips AS (
+trips AS MATERIALIZED (
   SELECT ride_id, rideable_type, bikeid, started_at, ended_at,
     date_diff('second', started_at, ended_at) AS trip_duration,
     start_station_name, start_station_id, end_station_name, end_station_id,
@@ -90,7 +90,7 @@ sighted AS (
     start_lat AS lat, start_lng AS lng, {label} AS source_schema FROM trips
   UNION ALL
   SELECT trim(upper(end_station_name)), end_station_id, end_lat, end_lng, {label} FROM trips),
-seen AS (SELECT * FROM sighted WHERE station_name IS NOT NULL AND {box}),
+seen AS MATERIALIZED (SELECT * FROM sighted WHERE station_name IS NOT NULL AND {box}),
 legacy_ids AS (
   SELECT station_name, max(station_id) AS legacy_station_id FROM seen
   WHERE source_schema <> 'MODERN' GROUP BY station_name),
@@ -103,7 +103,7 @@ coords AS (
 eras AS (
   SELECT station_name, bool_or(source_schema <> 'MODERN') AS in_legacy,
     bool_or(source_schema = 'MODERN') AS in_modern FROM seen GROUP BY station_name),
-dim AS (
+dim AS MATERIALIZED (
   SELECT station_name, legacy_station_id, modern_station_id, round(lat, 8) AS station_lat,
     round(lng, 8) AS station_lng, in_legacy, in_modern,
     CASE WHEN in_legacy AND in_modern THEN 'BOTH' WHEN in_legacy THEN 'LEGACY_ONLY'

@@ -50,3 +50,9 @@ def test_long_ranges_are_not_cut(spark):
     dates = calendar.dim_dates(spark, dt.date(1990, 1, 1), dt.date(2040, 12, 31))
     ends = dates.agg(F.min("full_date"), F.max("full_date"), F.count("*")).first()
     assert tuple(ends) == (dt.date(1990, 1, 1), dt.date(2040, 12, 31), 18_628)
+
+
+def test_holidays_follow_their_rules_in_any_year(spark):
+    days = calendar.dim_dates(spark, dt.date(2032, 12, 1), dt.date(2033, 12, 31))
+    named = {r["full_date"].isoformat(): r["holiday_name"] for r in days.where("is_holiday").collect()}
+    assert named["2032-12-31"] == "New Years Day (observed)" and named["2033-11-24"] == "Thanksgiving"

@@ -67,17 +67,26 @@ GROUPS = {
 }
 
 
-@pytest.mark.parametrize("broadcast_groups", [quantile.BROADCAST_GROUPS, 0])
-def test_median_of_doubles_is_exact_for_hot_and_odd_groups(spark, monkeypatch, broadcast_groups):
-    monkeypatch.setattr(quantile, "BROADCAST_GROUPS", broadcast_groups)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_median_of_doubles_is_exact_for_hot_and_odd_groups(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     rng = random.Random(7)
     groups = {k: make(rng) for k, make in GROUPS.items()}
     rows = [(k, v) for k, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "k string, v double")
     got = quantile.median_of_doubles(df, ["k"], "v", F.lit(0.0), F.lit(100.0), "m").collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r["k"]: r["m"] for r in got} == {k: statistics.median(v) for k, v in groups.items()}
 
 
+def test_median_leaves_nulls_out_and_puts_nan_last(spark):
+    nan = float("nan")
+    rows = [("a", v) for v in (None, None, None, 1.0, 2.0, 3.0, 100.0)] + [("b", v) for v in (1.0, 2.0, nan)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = quantile.median_of_doubles(df, ["k"], "v", F.lit(0.0), F.lit(100.0), "m").collect()
+    assert {r["k"]: r["m"] for r in got} == {"a": 2.5, "b": 2.0}
+
+
 def test_folding_bounds_the_values_left_per_group(spark):
     df = spark.range(200_000).selectExpr("'k' AS k", "double(id) / 2000 AS v")
     bucket = F.floor(F.col("v") / F.lit(100.0 / quantile.BUCKETS))
