@@ -31,33 +31,32 @@ def words(text: Column) -> Column:
     return F.when(marks == "", F.array().cast("array<string>")).otherwise(F.split(marks, " "))
 
 
-def gram_hashes(hashed: str, k: int) -> Column:
-    """Hash of every k consecutive words; ``hashed`` is the array of the words' hashes."""
-    return F.expr(f"""
-        CASE WHEN size({hashed}) >= {k} THEN transform(sequence(0, size({hashed}) - {k}),
-            i -> xxhash64({k}, {", ".join(f"get({hashed}, i + {j})" for j in range(k))})) END""")
+def gram_hashes(h: str, k: int) -> str:
+    """SQL: hash of every k consecutive words; ``h`` names the array of the words' hashes."""
+    return (f"CASE WHEN size({h}) >= {k} THEN transform(sequence(0, size({h}) - {k}), i -> "
+            f"xxhash64({k}, {', '.join(f'get({h}, i + {j})' for j in range(k))})) ELSE CAST(array() AS array<bigint>) END")
 
 
-def kept(grams: str, window: int, k: int) -> Column:
-    """Distinct (place, hash) of the least gram of each window (the last of equals)."""
-    reach = window - k + 1
-    least = f"array_max(transform(sequence(0, {reach - 1}), j -> struct(get({grams}, i + j) AS hash, i + j AS place)))"
-    return F.expr(f"""
-        CASE WHEN size({grams}) >= {reach} THEN array_distinct(
-            transform(sequence(0, size({grams}) - {reach}), i -> {least})) END""")
+def kept(g: str, reach: int) -> str:
+    """SQL: distinct (hash, place) of the least of each ``reach`` consecutive gram hashes (the last of equals)."""
+    rows = ", ".join(f"struct(-1 - get({g}, i + {j}) AS down, i + {j} AS place)" for j in range(reach))
+    least = f"transform(sequence(0, size({g}) - {reach}), i -> greatest({rows}))"
+    once = f"transform(array({least}), m -> filter(m, (x, i) -> i = 0 OR x.place <> get(m, i - 1).place))"
+    return (f"CASE WHEN size({g}) >= {reach} THEN element_at({once}, 1) "
+            "ELSE CAST(array() AS array<struct<down: bigint, place: int>>) END")
 
 
 def fingerprints(df: DataFrame, window: int, k: int, lengths: list[int]) -> DataFrame:
-    """``df`` (with ``w``, words) exploded to its kept fingerprints: columns of ``df`` but w, (hash, place)."""
+    """``df`` (with ``w``, words) exploded to its kept fingerprints: columns of ``df`` but w, (hash, place).
+
+    Intermediate arrays are bound as lambda variables: a plain column used inside a lambda may be
+    computed again for every element.
+    """
     others = [c for c in df.columns if c != "w"]
-    df = df.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
-    df = df.withColumn("g", gram_hashes("h", k)).withColumn("f", kept("g", window, k))
-    empty = "CAST(array() AS array<struct<hash: bigint, place: int>>)"
-    parts = [F.coalesce("f", F.expr(empty))]
-    for m in lengths:
-        whole = F.transform(gram_hashes("h", m), lambda x, i: F.struct(x.alias("hash"), i.cast("int").alias("place")))
-        parts.append(F.coalesce(whole, F.expr(empty)))
-    return df.select(*others, F.explode(F.concat(*parts)).alias("p")).select(*others, "p.hash", "p.place")
+    whole = [f"transform({gram_hashes('h', m)}, (x, i) -> struct(-1 - x AS down, i AS place))" for m in lengths]
+    full = f"element_at(transform(array({gram_hashes('h', k)}), g -> {kept('g', window - k + 1)}), 1)"
+    marks = F.expr(f"element_at(transform(array(transform(w, x -> xxhash64(x))), h -> concat({', '.join([full, *whole])})), 1)")
+    return df.select(*others, F.explode(marks).alias("p")).select(*others, F.col("p.down").alias("hash"), "p.place")
 
 
 def hits(
@@ -94,9 +93,10 @@ def hits(
 
     c = by_doc.withColumnsRenamed({"id": "cid", "mark": "cmark"})
     met = base["id"].eqNullSafe(c["cid"]) & (base["mark"] == c["cmark"])
-    joined = base.join(c, met, "left").select("id", "mark", words(F.col("text")).alias("w"), "near")
-    sure = F.filter("near", lambda x: F.slice(F.col("w"), x["at"] + 1, F.size(x["w"])) == x["w"])
-    joined = joined.select("id", "mark", F.size("w").cast("long").alias("n_words"), sure.alias("sure"))
+    compared = F.transform(F.array(words(F.col("text"))), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.filter("near", lambda x: F.slice(w, x["at"] + 1, F.size(x["w"])) == x["w"]).alias("sure")))[0]
+    joined = base.join(c, met, "left").select("id", "mark", compared.alias("c")).select("id", "mark", "c.n_words", "c.sure")
     places = F.flatten(F.transform("sure", lambda x: F.sequence(x["at"], x["at"] + F.size(x["w"]) - 1)))
     joined = joined.select(
         "id", "mark", "n_words", F.coalesce(F.size(F.array_distinct(places)), F.lit(0)).cast("long").alias("n_hit"),
