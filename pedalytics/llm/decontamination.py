@@ -1,8 +1,8 @@
 """Benchmark decontamination by winnowing, in DataFrame expressions.
 
 Windows of ten words are what must be found. Both sides keep the least hash of the five-word grams
-in each window (``GRAM`` + reach - 1 = window), so a shared window always shares a kept fingerprint
-at the same place in it. Fingerprints are joined first as hashes and places only; the windows under
+in each window (``GRAM`` + reach - 1 = window; of equal ones a document keeps one, the benchmark all),
+so a shared window always shares a kept fingerprint at the same place in it. Fingerprints are joined first as hashes and places only; the windows under
 a hit are then compared word by word with the document. An item of fewer than ten words is one window of its
 own length, found under the hash of all its words; documents are fingerprinted at such a length only
 if the benchmark has it.
@@ -26,9 +26,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def words(text: Column) -> Column:
     """Lower-cased (A-Z) words; an array without empty strings, for a null text an empty one."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    marks = F.trim(F.regexp_replace(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
-    return F.when(marks == "", F.array().cast("array<string>")).otherwise(F.split(marks, " "))
+    text = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(text) == F.length(text)  # there ``lower`` changes A-Z alone, and is faster
+    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+    return F.array_remove(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+
+
+def bound(value: str, name: str, then: str) -> str:
+    """SQL: ``then`` with ``value`` as lambda variable ``name``; a plain column in a lambda may be computed for every element."""
+    return f"element_at(transform(array({value}), {name} -> {then}), 1)"
 
 
 def gram_hashes(h: str, k: int) -> str:
@@ -38,25 +44,38 @@ def gram_hashes(h: str, k: int) -> str:
 
 
 def kept(g: str, reach: int) -> str:
-    """SQL: distinct (hash, place) of the least of each ``reach`` consecutive gram hashes (the last of equals)."""
-    rows = ", ".join(f"struct(-1 - get({g}, i + {j}) AS down, i + {j} AS place)" for j in range(reach))
-    least = f"transform(sequence(0, size({g}) - {reach}), i -> greatest({rows}))"
-    once = f"transform(array({least}), m -> filter(m, (x, i) -> i = 0 OR x.place <> get(m, i - 1).place))"
-    return (f"CASE WHEN size({g}) >= {reach} THEN element_at({once}, 1) "
-            "ELSE CAST(array() AS array<struct<down: bigint, place: int>>) END")
+    """SQL: (hash, place) of the least of each ``reach`` consecutive gram hashes, null where it was the last one's, too.
 
+    The low bits of a hash give way to those of its place, which tell the place inside a window; so
+    windows are compared as plain numbers. Of equal hashes any may be kept: the benchmark keeps all.
+    """
+    modulus = 1 << reach.bit_length()  # more than any two neighbouring windows span
+    packed = f"transform({g}, (x, i) -> (x & {-modulus}L) | (i & {modulus - 1}))"
+    least = f"transform(sequence(0, size(q) - {reach}), i -> least({', '.join(f'get(q, i + {j})' for j in range(reach))}))"
+    new = (f"transform(m, (x, i) -> CASE WHEN i > 0 AND get(m, i - 1) = x THEN NULL ELSE "
+           f"struct(x & {-modulus}L AS hash, i + CAST(((x & {modulus - 1}) - (i & {modulus - 1})) & {modulus - 1} AS int) AS place) END)")
+    return (f"CASE WHEN size({g}) >= {reach} THEN {bound(packed, 'q', bound(least, 'm', new)) if reach > 1 else bound(packed, 'm', new)} "
+            "ELSE CAST(array() AS array<struct<hash: bigint, place: int>>) END")
 
-def fingerprints(df: DataFrame, window: int, k: int, lengths: list[int]) -> DataFrame:
-    """``df`` (with ``w``, words) exploded to its kept fingerprints: columns of ``df`` but w, (hash, place).
 
-    Intermediate arrays are bound as lambda variables: a plain column used inside a lambda may be
-    computed again for every element.
-    """
+def fingerprints(df: DataFrame, window: int, k: int, lengths: list[int]) -> DataFrame:
+    """``df`` (with ``w``, words) exploded to its kept fingerprints: columns of ``df`` but w, (hash, place)."""
     others = [c for c in df.columns if c != "w"]
-    whole = [f"transform({gram_hashes('h', m)}, (x, i) -> struct(-1 - x AS down, i AS place))" for m in lengths]
-    full = f"element_at(transform(array({gram_hashes('h', k)}), g -> {kept('g', window - k + 1)}), 1)"
-    marks = F.expr(f"element_at(transform(array(transform(w, x -> xxhash64(x))), h -> concat({', '.join([full, *whole])})), 1)")
-    return df.select(*others, F.explode(marks).alias("p")).select(*others, F.col("p.down").alias("hash"), "p.place")
+    whole = [f"transform({gram_hashes('h', m)}, (x, i) -> struct(x AS hash, i AS place))" for m in lengths]
+    full = bound(gram_hashes("h", k), "g", kept("g", window - k + 1))
+    marks = F.expr(bound("transform(w, x -> xxhash64(x))", "h", f"concat({', '.join([full, *whole])})"))
+    found = df.select(*others, F.explode(marks).alias("p")).where("p IS NOT NULL")
+    return found.select(*others, "p.hash", "p.place")
+
+
+def window_fingerprints(windows: DataFrame, window: int, k: int) -> DataFrame:
+    """(hash, wid, inner) of full ``windows`` (w, wid): every place of the least gram hash."""
+    low = -(1 << (window - k + 1).bit_length())
+    grams = bound("transform(w, x -> xxhash64(x))", "h", gram_hashes("h", k))
+    each = windows.select("wid", F.posexplode(F.expr(grams)).alias("inner", "x"))
+    each = each.select("wid", "inner", F.expr(f"x & {low}L").alias("hash"))
+    least = each.groupBy("wid").agg(F.min("hash").alias("hash"))
+    return each.join(least, ["wid", "hash"]).select("hash", "wid", "inner")
 
 
 def hits(
@@ -77,12 +96,11 @@ def hits(
     sizes = windows.select(F.size("w").alias("n")).distinct().where(f"n < {window}")
     lengths = sorted(r["n"] for r in sizes.collect())  # at most window - 1 numbers
 
-    full = fingerprints(windows.where(F.size("w") == window), window, k, [])
-    short = [fingerprints(windows.where(F.size("w") == m), window, k, [m]) for m in lengths]
-    marks = full
-    for part in short:
-        marks = marks.unionByName(part)
-    marks = stage(marks.select("hash", "wid", F.col("place").alias("inner")), "window-fingerprints")
+    marks = window_fingerprints(windows.where(F.size("w") == window), window, k)
+    for m in lengths:
+        part = fingerprints(windows.where(F.size("w") == m), window, k, [m])
+        marks = marks.unionByName(part.select("hash", "wid", F.col("place").alias("inner")))
+    marks = stage(marks, "window-fingerprints")
 
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 24) - 1).cast("int")
     base = docs.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"), F.col(text_col).alias("text"))
