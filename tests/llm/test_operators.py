@@ -74,7 +74,7 @@ def test_minhash_dedup(docs, rows, k, percent):
 
 
 def test_decontamination(spark, docs, rows):
-    items = [(1, rows[5][1][:200]), (2, "two WORDS"), (3, None), (4, "!"), (2, "two words"), (5, prose(40))]
+    items = [(6, "x " * 12), (7, "y x " + "x " * 9), (1, rows[5][1][:200]), (2, "two WORDS"), (3, None), (4, "!"), (2, "two words"), (5, prose(40))]
     found = decontamination.hits(docs, spark.createDataFrame(items, "item_id int, text string"))
     got = found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256), "contaminated")
     assert sorted(map(tuple, got.collect())) == sorted(brute.decontamination(rows, items))
