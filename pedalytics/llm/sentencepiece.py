@@ -5,7 +5,7 @@ pieces with their costs, and a byte fallback for characters without a piece. An
 it and the tropical-semiring shortest path gives the pieces: costs add along a path, the least path
 wins, and of equal ones that with fewer pieces. Pieces never hold a mark behind another character, so
 paths fall apart at the marks (and at line breaks, which are in no piece); each stretch is solved by
-itself and remembered in a bounded cache.
+itself, many at a time, and remembered in a bounded cache.
 
 Costs are the negated scores of the model. For a model trained by merges the shortest path is not the
 merge order's segmentation; it decodes to the same text. Null and empty texts have no pieces. Decoding
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE = 200_000
+BLOCK = 20_000  # stretches solved together
+LONG = 100  # characters from which a stretch is solved alone
 BYTE_COST = 1e6
 
 
@@ -46,62 +48,162 @@ class Transducer:
             else:
                 self.pieces[piece] = (-sp.get_score(i), i)
                 self.output.append(piece.replace(MARK, " ").encode())
-        # Every prefix of a piece is a state of the transducer.
-        self.states = {p[:j] for p in self.pieces for j in range(1, len(p) + 1)}
+        # Every prefix of a piece is a state of the transducer; a whole piece emits it at its cost.
+        self.states: dict[str, tuple[float, int] | None] = {
+            p[:j]: None for p in self.pieces for j in range(1, len(p) + 1)}
+        self.states.update(self.pieces)
         alone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.pieces))
         inner = any(MARK in p.lstrip(MARK) for p in self.pieces)
         self.stretch = re.compile(".+" if inner else f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+" if alone
                                   else f"{MARK}*[^{MARK}]+|{MARK}+", re.S)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self._number_states()
+
+    def _number_states(self) -> None:
+        """The states as numbers: sorted (state, character class) moves, and what each state emits."""
+        names = sorted(self.states)
+        number = {"": 0} | {p: i for i, p in enumerate(names, 1)}
+        chars = sorted({c for p in names for c in p})
+        self.char_class = np.zeros(0x110000, np.int32)
+        self.char_class[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.n_classes = len(chars) + 1
+        moves = np.array([number[p[:-1]] * self.n_classes + self.char_class[ord(p[-1])] for p in names], np.int64)
+        order = np.argsort(moves)
+        self.moves, self.move_to = moves[order], np.arange(1, len(names) + 1)[order]
+        self.emit_cost = np.array([np.inf] + [self.pieces.get(p, (np.inf, 0))[0] for p in names])
+        self.emit_id = np.array([0] + [self.pieces.get(p, (0.0, 0))[1] for p in names], np.int32)
+        self.longest = max(map(len, names), default=0)
+        self.alone = np.zeros(self.n_classes, bool)  # classes of characters that are pieces by themselves
+        self.alone[[self.char_class[ord(c)] for c in chars if c in self.pieces]] = True
 
     def shortest(self, text: str) -> tuple[float, list[int]]:
         """(cost, ids) of the shortest path over a normalised text."""
-        n, states, pieces = len(text), self.states, self.pieces
-        cost, back = [(0.0, 0)] + [(float("inf"), 0)] * n, [(0, 0)] * (n + 1)
+        n, state, pieces = len(text), self.states.get, self.pieces
+        cost, steps = [float("inf")] * (n + 1), [0] * (n + 1)
+        start_of, piece_of = [0] * (n + 1), [0] * (n + 1)
+        cost[0] = 0.0
         for i in range(n):
-            here, steps = cost[i]
-            j, part = i + 1, text[i]
+            here, more = cost[i], steps[i] + 1
+            part = text[i]
             if part not in pieces:
                 raw = len(part.encode())
-                new = (here + BYTE_COST * raw, steps + raw)
-                if new < cost[j]:
-                    cost[j], back[j] = new, (i, -1)
-            while part in states:
-                hit = pieces.get(part)
-                if hit is not None:
-                    new = (here + hit[0], steps + 1)
-                    if new < cost[j]:
-                        cost[j], back[j] = new, (i, hit[1])
-                j += 1
-                if j > n:
+                new, longer = here + BYTE_COST * raw, steps[i] + raw
+                if new < cost[i + 1] or (new == cost[i + 1] and longer < steps[i + 1]):
+                    cost[i + 1], steps[i + 1], start_of[i + 1], piece_of[i + 1] = new, longer, i, -1
+            for j in range(i + 1, n + 1):
+                hit = state(text[i:j], 0)
+                if hit:
+                    new = here + hit[0]
+                    if new < cost[j] or (new == cost[j] and more < steps[j]):
+                        cost[j], steps[j], start_of[j], piece_of[j] = new, more, i, hit[1]
+                elif hit == 0:
                     break
-                part = text[i:j]
         out: list[int] = []
         at = n
         while at:
-            start, piece = back[at]
+            start, piece = start_of[at], piece_of[at]
             if piece >= 0:
                 out.append(piece)
             else:
                 out.extend(self.bytes[b] for b in reversed(text[start:at].encode()))
             at = start
-        return cost[n][0], out[::-1]
+        return cost[n], out[::-1]
 
     def normalise(self, text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
 
+    def shortest_of_many(self, stretches: list[str]) -> list[bytes]:
+        """Ids of many non-empty stretches: the search of ``shortest`` with all of them in step, longest first."""
+        m = len(stretches)
+        size = np.array([len(s) for s in stretches])
+        order = np.argsort(-size, kind="stable")
+        size, width = size[order], int(size.max())
+        code = np.frombuffer("".join(stretches[i] for i in order).encode("utf-32-le"), np.uint32)
+        first = np.cumsum(size) - size
+        row = np.repeat(np.arange(m), size)
+        place = np.arange(len(code)) - first[row]
+        kind = np.zeros((width, m), np.int64)
+        kind[place, row] = self.char_class[code]
+        raw = np.zeros((width, m), np.int32)  # bytes of the character
+        raw[place, row] = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+        cost = np.full((width + 1, m), np.inf)
+        cost[0] = 0.0
+        steps, back, piece = np.zeros((3, width + 1, m), np.int32)
+
+        def relax(j, rows, new, more, length, ids):
+            better = (new < cost[j, rows]) | ((new == cost[j, rows]) & (more < steps[j, rows]))
+            at = rows[better]
+            cost[j, at], steps[j, at], back[j, at], piece[j, at] = new[better], more[better], length, ids[better]
+
+        longer = np.searchsorted(-size, -np.arange(1, width + 1), "right")  # stretches of that many characters or more
+        for i in range(width):
+            rows = np.arange(longer[i])
+            other = rows[~self.alone[kind[i, rows]]]
+            if len(other):
+                n = raw[i, other]
+                relax(i + 1, other, cost[i, other] + BYTE_COST * n, steps[i, other] + n, 1, np.full(len(other), -1))
+            state = np.zeros(len(rows), np.int64)
+            for j in range(i + 1, min(width, i + self.longest) + 1):
+                fit = np.searchsorted(rows, longer[j - 1])
+                rows = rows[:fit]
+                move = state[:fit] * self.n_classes + kind[j - 1, rows]
+                to = np.minimum(np.searchsorted(self.moves, move), len(self.moves) - 1)
+                known = self.moves[to] == move
+                rows, state = rows[known], self.move_to[to[known]]
+                if not len(rows):
+                    break
+                whole = np.isfinite(self.emit_cost[state])
+                at, end = rows[whole], state[whole]
+                relax(j, at, cost[i, at] + self.emit_cost[end], steps[i, at] + 1, j - i, self.emit_id[end])
+
+        total = steps[size, np.arange(m)]
+        stop = np.cumsum(total)
+        out, free = np.zeros(int(stop[-1]), np.int32), stop.copy()
+        rows, at = np.arange(m), size.copy()
+        while len(rows):
+            ids = piece[at[rows], rows]
+            for r in rows[ids < 0]:
+                spelled = [self.bytes[b] for b in chr(code[first[r] + at[r] - 1]).encode()]
+                out[free[r] - len(spelled):free[r]] = spelled
+                free[r] -= len(spelled)
+            some = rows[ids >= 0]
+            free[some] -= 1
+            out[free[some]] = ids[ids >= 0]
+            at[rows] -= back[at[rows], rows]
+            rows = rows[at[rows] > 0]
+        blob = out.tobytes()
+        found: list[bytes] = [b""] * m
+        for i, a, b in zip(order.tolist(), (stop - total).tolist(), stop.tolist()):
+            found[i] = blob[4 * a:4 * b]
+        return found
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        rows = [self.stretch.findall(self.normalise(x)) for x in texts]
+        distinct = set().union(*rows)
+        if len(self.cache) + len(distinct) > CACHE:
+            self.older, self.cache = self.cache, {}
+        ids: dict[str, bytes] = {}
+        missing = []
+        for s in distinct:
+            found = self.cache.get(s) or self.older.get(s)
+            if found is not None:
+                ids[s] = found
+            elif len(s) < LONG:
+                missing.append(s)
+            else:
+                ids[s] = np.array(self.shortest(s)[1], np.int32).tobytes()
+        missing.sort(key=len)
+        for at in range(0, len(missing), BLOCK):
+            block = missing[at:at + BLOCK]
+            ids.update(zip(block, self.shortest_of_many(block)))
+        if len(distinct) <= CACHE:
+            self.cache.update((s, found) for s, found in ids.items() if len(s) < LONG)
+        return [np.frombuffer(b"".join(map(ids.__getitem__, r)), np.int32) for r in rows]
+
     def encode(self, text: str) -> np.ndarray:
-        cache, parts = self.cache, []
-        for stretch in self.stretch.findall(self.normalise(text)):
-            found = cache.get(stretch)
-            if found is None:
-                found = np.array(self.shortest(stretch)[1], np.int32).tobytes()
-                if len(cache) >= CACHE:
-                    cache.clear()
-                if len(stretch) < 100:
-                    cache[stretch] = found
-            parts.append(found)
-        return np.frombuffer(b"".join(parts), np.int32)
+        return self.encode_many([text])[0]
 
     def decode(self, ids) -> str:
         raw = b"".join(map(self.output.__getitem__, ids))
@@ -123,10 +225,10 @@ def encoded(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_co
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 texts = [x or "" for x in part.column(1).to_pylist()]
-                rows = [t.encode(x) for x in texts]
+                rows = t.encode_many(texts)
                 exact = [t.decode(r.tolist()) == x.replace(MARK, " ") for r, x in zip(rows, texts)]
                 n = np.array([len(r) for r in rows], np.int64)
                 ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)),

@@ -93,6 +93,15 @@ def test_sentencepiece_round_trip(docs, rows):
     assert {r["doc_id"]: r["text"] for r in sentencepiece.decoded(coded).collect()} == {i: t or "" for i, t in rows}
 
 
+def test_stretches_solved_together():
+    t = sentencepiece.transducer(sentencepiece.MODEL)
+    draw = random.Random(3)
+    letters = "\u2581abcdeft h\u00e9\u4f60\u597d\U0001f389ing\u0e17\u200b"
+    many = ["".join(draw.choices(letters, k=draw.randint(1, 30))) for _ in range(500)] + ["a", "\U0001f389", "\n"]
+    assert t.shortest_of_many(many) == [np.array(t.shortest(x)[1], np.int32).tobytes() for x in many]
+    assert [len(x) for x in t.encode_many(["", "ab" * 500, ""])][::2] == [0, 0]
+
+
 def test_shortest_path_is_least():
     t = sentencepiece.transducer(sentencepiece.MODEL)
 
