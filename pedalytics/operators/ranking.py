@@ -13,15 +13,16 @@ def with_dense_ranks(df: DataFrame, **ranks: str) -> DataFrame:
     """Dense ranks over count columns, largest first, with no partition keys: ``rank=count, ...``.
 
     A dense rank depends on the distinct counts only. Counts of N rows summed over groups take at
-    most about sqrt(2 N) different values, so just those are ranked in one task and broadcast back:
-    1.4 million of them for 10**12 rows. ``df`` is read once per rank and once more; stage it first
-    where it is not a stored table.
+    most about sqrt(2 N) different values, so just those are ranked in one task and joined back:
+    1.4 million of them for 10**12 rows. No hint: adaptive execution broadcasts the ranks by their
+    measured size. ``df`` is read once per rank and once more; stage it first where it is not a
+    stored table.
     """
     out = df
     for rank, count in ranks.items():
         order = W.orderBy(F.desc(count))
         table = df.select(count).distinct().select(count, F.dense_rank().over(order).alias(rank))
-        out = out.join(F.broadcast(table), count)
+        out = out.join(table, count)
     return out
 
 
@@ -39,7 +40,7 @@ def with_position(df: DataFrame, count: str, tie: str, out: str) -> DataFrame:
     )
     within = F.row_number().over(W.partitionBy(count).orderBy(tie))
     return (
-        df.join(F.broadcast(before), count)
+        df.join(before, count)
         .withColumn(out, F.col("_before") + within)
         .drop("_before")
     )

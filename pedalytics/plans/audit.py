@@ -118,11 +118,17 @@ def pending_files(manifest: DataFrame, log: DataFrame, region: str = "all") -> D
     )
 
 
-def work_queue(manifest: DataFrame, log: DataFrame, region: str = "all") -> DataFrame:
-    """Parts to load now, each with the number of its next attempt."""
+def work_queue(
+    manifest: DataFrame, log: DataFrame, region: str = "all", max_attempts: int | None = None
+) -> DataFrame:
+    """Parts to load now, each with the number of its next attempt.
+
+    With ``max_attempts``, a part that failed so often is given up.
+    """
+    again = F.lit(True) if max_attempts is None else next_attempt(F.col("last_attempt")) <= max_attempts
     return (
         _with_last_attempt(for_region(manifest, region), log)
-        .filter(is_pending(F.col("last_status")))
+        .filter(is_pending(F.col("last_status")) & again)
         .select(
             "output_file",
             "region",

@@ -36,11 +36,12 @@ class IngestResult:
     total: int
     success: int
     failed: int
+    skipped: int = 0  # registered parts that were loaded before or are given up
 
     def __str__(self) -> str:
         return (
             f"ingest complete | region={self.region} | total={self.total} | "
-            f"success={self.success} | failed={self.failed}"
+            f"success={self.success} | failed={self.failed} | skipped={self.skipped}"
         )
 
 
@@ -141,17 +142,21 @@ def ingest(
     table_path,
     log_path: str,
     region: str = "all",
+    max_attempts: int | None = None,
 ) -> IngestResult:
     """Load all pending parts of ``region`` found below ``inbox``.
 
+    ``max_attempts`` leaves out parts that failed so often; without it every pending part is tried.
+
     ``table_path(schema, table)`` names the folder of a staging table. Parts are scanned together
     per target table, not one by one; only their names pass through the driver, to build the scans.
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    queue = audit.work_queue(manifest, log, region)
+    queue = audit.work_queue(manifest, log, region, max_attempts)
     parts = queue.orderBy("region", "sf_table", "output_file").collect()
+    skipped = audit.for_region(manifest, region).count() - len(parts)
     if not parts:
-        return IngestResult(region, 0, 0, 0)
+        return IngestResult(region, 0, 0, 0, skipped)
 
     outcomes = spark.createDataFrame([], _OUTCOME)
     targets = sorted({(r["sf_schema"] or "", r["sf_table"] or "") for r in parts})
@@ -179,4 +184,4 @@ def ingest(
         .agg(F.count_if(F.col("status") == "SUCCESS").alias("ok"), F.count(F.lit(1)).alias("all"))
         .first()
     )
-    return IngestResult(region, done["all"], done["ok"], done["all"] - done["ok"])
+    return IngestResult(region, done["all"], done["ok"], done["all"] - done["ok"], skipped)

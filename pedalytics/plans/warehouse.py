@@ -85,7 +85,9 @@ class Warehouse:
         mode = "overwrite" if replace else "append"
         return sink.write(audit.new_manifest_rows(rows, known), path, "STAGE_MANIFEST", mode)
 
-    def ingest(self, inbox: str, region: str = "all") -> IngestResult:
+    def ingest(
+        self, inbox: str, region: str = "all", max_attempts: int | None = None
+    ) -> IngestResult:
         return ingest(
             self.spark,
             self.manifest(),
@@ -94,6 +96,7 @@ class Warehouse:
             self.path,
             self.path("LOGGING", "INGEST_LOG"),
             region,
+            max_attempts,
         )
 
     def load_layout(

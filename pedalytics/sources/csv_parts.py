@@ -46,6 +46,13 @@ def raw_parts(spark: SparkSession, paths: str | Sequence[str], layout: str) -> D
     )
 
 
+def raw_schema(layout: str) -> T.StructType:
+    """Columns of ``raw_parts``: the layout's fields as text, file name and row number."""
+    names = [*LAYOUT_SCHEMA[layout].fieldNames(), "_source_file"]
+    fields = [T.StructField(n, T.StringType()) for n in names]
+    return T.StructType([*fields, T.StructField("_source_row_number", T.LongType())])
+
+
 def typed_column(raw: Column, dtype: T.DataType) -> Column:
     """Text as ``dtype``; null when it does not read as one. Whole numbers may carry decimals."""
     if isinstance(dtype, T.TimestampNTZType):

@@ -36,9 +36,10 @@ def stream_parts(spark: SparkSession, folder: str, layout: str, archive: str | N
     return reader.csv(folder).select("*", F.col("_metadata.file_path").alias("_path"))
 
 
-def load_batch(layout: str, target: str) -> Callable[[DataFrame, int], None]:
+def load_batch(layout: str, target: str, rejected: str) -> Callable[[DataFrame, int], None]:
     """Batch function: number, type and unify the rows, then append those the target lacks.
 
+    Rows with fields that do not read go to ``rejected``, with the names of these fields in ``_error``.
     A batch that is repeated after a failure, or a whole stream restarted without its checkpoint,
     adds nothing twice: the anti-join on lineage decides, not the stream's own progress.
     """
@@ -51,7 +52,11 @@ def load_batch(layout: str, target: str) -> Callable[[DataFrame, int], None]:
             csv_parts.source_label(F.col("_path")).alias("_source_file"),
             position.alias("_source_row_number"),
         )
-        trips = to_unified(csv_parts.good_rows(csv_parts.typed_parts(raw, layout)), layout)
+        typed = csv_parts.typed_parts(raw, layout)
+        bad = typed.filter(F.col("_error").isNotNull())
+        known = spark.read.schema(typed.schema).option("ignoreMissingFiles", True).parquet(rejected)
+        unseen(bad, known).write.mode("append").parquet(rejected)
+        trips = to_unified(csv_parts.good_rows(typed), layout)
         existing = spark.read.schema(TRIPS_ALL).option("ignoreMissingFiles", True).parquet(target)
         unseen(trips, existing).write.mode("append").parquet(target)
 
@@ -65,12 +70,19 @@ def start_incremental_load(
     target: str,
     checkpoint: str,
     archive: str | None = None,
+    rejected: str | None = None,
 ) -> StreamingQuery:
-    """Load whatever is new in ``folder`` into ``target`` and stop; run it again for the next files."""
+    """Load whatever is new in ``folder`` into ``target`` and stop; run it again for the next files.
+
+    Rejected rows are kept in ``rejected``, by default the folder ``<target>_rejected``.
+    """
+    rejected = rejected or f"{target.rstrip('/')}_rejected"
+    none = csv_parts.typed_parts(spark.createDataFrame([], csv_parts.raw_schema(layout)), layout)
+    none.write.mode("append").parquet(rejected)
     spark.createDataFrame([], TRIPS_ALL).write.mode("append").parquet(target)
     return (
         stream_parts(spark, folder, layout, archive)
-        .writeStream.foreachBatch(load_batch(layout, target))
+        .writeStream.foreachBatch(load_batch(layout, target, rejected))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

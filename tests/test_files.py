@@ -126,6 +126,9 @@ def test_ingest_and_build(spark, tmp_path, inbox):
     # A second run takes only the failed parts, and adds no row twice.
     again = house.ingest(folder, "nyc")
     assert (again.total, again.success) == (3, 0)
+    assert (result.skipped, again.skipped) == (0, 3)
+    given_up = house.ingest(folder, "nyc", max_attempts=2)
+    assert (given_up.total, given_up.skipped) == (0, 6)
     assert house.log().filter("attempt = 2").count() == 3
     assert {r["discrepancy"] for r in house.row_count_check().collect()} == {0}
 
@@ -217,6 +220,8 @@ def test_stream_loads_each_part_once(spark, tmp_path):
     assert run("c1") == 3
     assert run("c2") == 3
     rows = spark.read.parquet(target).select("_source_file", "_source_row_number", "trip_duration").collect()
+    rejected = spark.read.parquet(f"{target}_rejected").select("_source_row_number", "_error").collect()
+    assert [tuple(r) for r in rejected] == [(2, "start_lat")]
     assert sorted(tuple(r) for r in rows) == [
         ("nyc_dc497b4333c4_part0001.csv.gz", 1, 600),
         ("nyc_dc497b4333c4_part0002.csv.gz", 1, 600),
