@@ -1,4 +1,8 @@
-"""Reports on the star schema. Each returns a frame computed on read, like a view."""
+"""Reports on the star schema as frames over its tables.
+
+``top_stations`` and ``top_routes`` stage their counts when the frame is built, so that ranking them
+does not scan the fact again: they show the fact of that moment.
+"""
 
 from __future__ import annotations
 

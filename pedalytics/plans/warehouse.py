@@ -30,6 +30,7 @@ class Warehouse:
     layout_of_key: Mapping[str, str] = field(default_factory=lambda: config.LAYOUT_OF_KEY)
     start: dt.date = config.CALENDAR_START
     end: dt.date = config.CALENDAR_END
+    _published: bool = field(default=False, init=False, repr=False)
 
     # ---- table locations ------------------------------------------------------------------
 
@@ -88,7 +89,7 @@ class Warehouse:
     def ingest(
         self, inbox: str, region: str = "all", max_attempts: int | None = None
     ) -> IngestResult:
-        return ingest(
+        result = ingest(
             self.spark,
             self.manifest(),
             self.log(),
@@ -98,6 +99,8 @@ class Warehouse:
             region,
             max_attempts,
         )
+        self._refresh_views()
+        return result
 
     def load_layout(
         self, region: Region, layout: str, files: Sequence[str] | None = None
@@ -148,7 +151,9 @@ class Warehouse:
             self.layout_of_key,
             self.compat,
         )
-        return sink.write_fact(rows, self.path(_star(region), "FACT_RIDE"), "FACT_RIDE", full_reload)
+        done = sink.write_fact(rows, self.path(_star(region), "FACT_RIDE"), "FACT_RIDE", full_reload)
+        self._refresh_views()
+        return done
 
     # ---- reports --------------------------------------------------------------------------
 
@@ -172,8 +177,17 @@ class Warehouse:
         }
         return audit.row_count_check(self.log(), audit.actual_counts(counted))
 
+    def _refresh_views(self) -> None:
+        if self._published:
+            self.publish_views()
+
     def publish_views(self) -> None:
-        """Reports and audit views of all regions as temporary views."""
+        """Reports and audit views of all regions as temporary views.
+
+        A view shows the tables as they were when it was published. ``ingest`` and ``build_fact``
+        publish the views again; after writes by other means, call this once more.
+        """
+        self._published = True
         for region in REGIONS.values():
             suffix = region.staging_schema.removeprefix("STAGING_").lower()
             if self.fact(region) is not None:

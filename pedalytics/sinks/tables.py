@@ -63,5 +63,5 @@ def append_bucketed(df: DataFrame, table: str, buckets: int, *keys: str) -> None
 
 
 def publish(view: DataFrame, name: str) -> None:
-    """Make a frame queryable by name; like any view it is computed when it is read."""
+    """Make a frame queryable by name; it sees the files that its tables had when it was built."""
     view.createOrReplaceTempView(name)

@@ -149,6 +149,14 @@ def test_ingest_and_build(spark, tmp_path, inbox):
     assert spark.sql("SELECT count(*) FROM rpt_top_stations_nyc").first()[0] == 2
     assert spark.sql("SELECT count(*) FROM v_latest_ingest_status").first()[0] == 7
     assert spark.sql("SELECT count(*) FROM v_table_row_counts").first()[0] == 2
+    part(folder, "nyc_dc497b4333c4_part0010.csv.gz", [modern(70), modern(71)])
+    more = [("nyc_dc497b4333c4_part0010.csv.gz", "nyc", "nyc", "dc497b4333c4", 100, [], "2024")]
+    assert house.register_parts(spark.createDataFrame(more, MANIFEST_FILE)).rows == 1
+    assert house.ingest(folder, "nyc", max_attempts=2).success == 1
+    assert house.load_trips(NYC).rows == house.build_fact(NYC).rows == 2
+    assert spark.sql("SELECT sum(total_trips) FROM rpt_top_routes_nyc").first()[0] == 5
+    assert spark.sql("SELECT sum(total_rides) FROM rpt_ridership_over_time_nyc").first()[0] == 5
+    assert spark.sql("SELECT count(*) FROM v_latest_ingest_status").first()[0] == 8
     later = house.load_trips(NYC, files=["nyc_dc497b4333c4_part0001.csv.gz"])
     assert later.rows == 0 and "TRIPS_ALL" in str(later)
 
