@@ -1,19 +1,24 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-The transducer is the composition of three: the normaliser (a leading mark, spaces become marks), the
-pieces with their costs, and a byte fallback for characters without a piece. An input is composed with
-it and the tropical-semiring shortest path gives the pieces: costs add along a path, the least path
-wins, and of equal ones that with fewer pieces. Pieces never hold a mark behind another character, so
-paths fall apart at the marks (and at line breaks, which are in no piece); each stretch is solved by
-itself, many at a time, and remembered in a bounded cache.
-
-Costs are the negated scores of the model. For a model trained by merges the shortest path is not the
-merge order's segmentation; it decodes to the same text. Null and empty texts have no pieces. Decoding
-returns the text, with the mark character itself read as a space. Repeated rows are encoded alike.
+The transducer is the composition of the normaliser (a leading mark, spaces become marks), the pieces
+and a byte fallback for characters without a piece. How the pieces are weighed depends on the model:
+
+- Trained by merges (``model_type`` 2): the scores are the order of the merges, so the pieces are a cascade
+  of rewritings. Of the neighbours that spell a piece, those with the best score are rewritten to it, the
+  leftmost first, until no neighbours spell one. The ids are those that the model itself gives.
+- Else: costs are the negated scores. The tropical-semiring shortest path gives the pieces: costs add
+  along a path, the least path wins, and of equal ones that with fewer pieces.
+
+Pieces never hold a mark behind another character, so texts fall apart at the marks (and at line breaks,
+which are in no piece); each stretch is solved by itself, many at a time, and remembered in a bounded cache.
+
+Null and empty texts have no pieces. Decoding returns the text, with the mark character itself read as a
+space. Repeated rows are encoded alike.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -32,9 +37,11 @@ BYTE_COST = 1e6
 
 class Transducer:
     def __init__(self, model: str = MODEL):
-        from sentencepiece import SentencePieceProcessor
+        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
         sp = SentencePieceProcessor(model_file=model)
+        proto = sentencepiece_model_pb2.ModelProto.FromString(sp.serialized_model_proto())
+        self.by_merges = proto.trainer_spec.model_type == proto.trainer_spec.BPE
         self.pieces: dict[str, tuple[float, int]] = {}
         self.bytes: list[int] = [0] * 256
         self.output: list[bytes] = []
@@ -59,6 +66,8 @@ class Transducer:
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self._number_states()
+        if self.by_merges:
+            self._number_merges()
 
     def _number_states(self) -> None:
         """The states as numbers: sorted (state, character class) moves, and what each state emits."""
@@ -77,6 +86,130 @@ class Transducer:
         self.alone = np.zeros(self.n_classes, bool)  # classes of characters that are pieces by themselves
         self.alone[[self.char_class[ord(c)] for c in chars if c in self.pieces]] = True
 
+    def _number_merges(self) -> None:
+        """Symbols (pieces and single characters) as numbers; for each two that spell a piece its rank and number."""
+        names = sorted(set(self.pieces).union(*self.pieces))
+        number = {p: i for i, p in enumerate(names, 1)}  # 0: a character in no piece
+        self.n_symbols = len(names) + 1
+        self.symbol_of = np.zeros(0x110000, np.int64)
+        single = [p for p in names if len(p) == 1]
+        self.symbol_of[[ord(c) for c in single]] = [number[c] for c in single]
+        self.symbol_id = np.array([-1] + [self.pieces.get(p, (0.0, -1))[1] for p in names], np.int32)
+        ranks = {c: i for i, c in enumerate(sorted({c for c, _ in self.pieces.values()}))}  # equal scores, equal ranks
+        self.no_rank = len(ranks)
+        self.merges = {
+            number[p[:j]] * self.n_symbols + number[p[j:]]: (ranks[c], number[p])
+            for p, (c, _) in self.pieces.items() for j in range(1, len(p)) if p[:j] in number and p[j:] in number}
+        self.merge_keys = np.array(sorted(self.merges), np.int64)
+        found = [self.merges[k] for k in self.merge_keys.tolist()]
+        self.merge_rank = np.array([r for r, _ in found], np.int64)
+        self.merge_to = np.array([to for _, to in found], np.int64)
+
+    def _spelled(self, symbol: int, char: str) -> list[int]:
+        """Ids of a symbol; ``char`` is its character, of which the bytes stand for it if it is no piece."""
+        i = int(self.symbol_id[symbol])
+        return [i] if i >= 0 else [self.bytes[b] for b in char.encode()]
+
+    def merged(self, text: str) -> list[int]:
+        """Ids of a normalised text by merge order."""
+        n = len(text)
+        symbols = self.symbol_of[np.frombuffer(text.encode("utf-32-le"), np.uint32)].tolist()
+        after, before, size = [*range(1, n + 1)], [*range(-1, n - 1)], [1] * n
+        agenda: list[tuple[int, int, int, int, int]] = []
+
+        def meet(i, j):
+            hit = self.merges.get(symbols[i] * self.n_symbols + symbols[j])
+            if hit:
+                heapq.heappush(agenda, (hit[0], i, j, size[i] + size[j], hit[1]))
+
+        for i in range(n - 1):
+            meet(i, i + 1)
+        while agenda:
+            _, i, j, length, to = heapq.heappop(agenda)
+            if not size[i] or not size[j] or size[i] + size[j] != length:
+                continue
+            symbols[i], size[i], size[j], after[i] = to, length, 0, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                meet(i, after[i])
+            if before[i] >= 0:
+                meet(before[i], i)
+        return [x for i in range(n) if size[i] for x in self._spelled(symbols[i], text[i])]
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, merged symbol) of neighbours; ``no_rank`` where they spell no piece."""
+        if not len(self.merge_keys):
+            return np.full(left.shape, self.no_rank), np.zeros(left.shape, np.int64)
+        key = left * self.n_symbols + right
+        at = np.minimum(np.searchsorted(self.merge_keys, key), len(self.merge_keys) - 1)
+        known = self.merge_keys[at] == key
+        return np.where(known, self.merge_rank[at], self.no_rank), np.where(known, self.merge_to[at], 0)
+
+    def merged_of_many(self, stretches: list[str]) -> list[bytes]:
+        """Ids of many non-empty stretches: ``merged`` with all of them in step, one merge of each at a time."""
+        m = len(stretches)
+        size = np.array([len(s) for s in stretches])
+        width = int(size.max())
+        code = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)
+        first = np.cumsum(size) - size
+        row = np.repeat(np.arange(m), size)
+        place = np.arange(len(code)) - first[row]
+        # Column ``width`` and what is behind a stretch's end hold symbol 0, which merges with nothing.
+        symbol = np.zeros((m, width + 1), np.int64)
+        symbol[row, place] = self.symbol_of[code]
+        start = np.zeros((m, width + 1), np.int32)  # of each symbol, in ``code``
+        start[row, place] = np.arange(len(code))
+        rank = np.full((m, width), self.no_rank, np.int64)
+        to = np.zeros((m, width), np.int64)
+        rank[row, place], to[row, place] = self._ranks(symbol[row, place], symbol[row, place + 1])
+        done = [np.zeros(0, np.int64)] * 3
+        kept: list[list[np.ndarray]] = [done]
+        live, count, columns = np.arange(m), size.copy(), np.arange(width + 1)
+
+        def finish(which):
+            at, col = np.nonzero(columns[:symbol.shape[1]] < count[which][:, None])
+            kept.append([live[which][at], start[which][at, col], symbol[which][at, col]])
+
+        while len(live):
+            best = rank.argmin(1)  # the leftmost of equal ones
+            every = np.arange(len(live))
+            more = rank[every, best] < self.no_rank
+            if not more.all():
+                finish(~more)
+                live, count, best = live[more], count[more], best[more]
+                if not len(live):
+                    break
+                short = int(count.max())
+                symbol, start = symbol[more, :short + 1], start[more, :short + 1]
+                rank, to = rank[more, :short], to[more, :short]
+                every = np.arange(len(live))
+            symbol[every, best] = to[every, best]
+            # What stands behind the right neighbour moves up by one.
+            cols = columns[:rank.shape[1]]
+            source = np.minimum(cols + (cols > best[:, None]), rank.shape[1] - 1)
+            symbol[:, :-1] = np.take_along_axis(symbol, cols + (cols > best[:, None]), 1)
+            start[:, :-1] = np.take_along_axis(start, cols + (cols > best[:, None]), 1)
+            rank, to = np.take_along_axis(rank, source, 1), np.take_along_axis(to, source, 1)
+            symbol[:, -1], rank[:, -1], count = 0, self.no_rank, count - 1
+            rank[every, best], to[every, best] = self._ranks(symbol[every, best], symbol[every, best + 1])
+            inner = every[best > 0]
+            at = best[inner]
+            rank[inner, at - 1], to[inner, at - 1] = self._ranks(symbol[inner, at - 1], symbol[inner, at])
+
+        of, begin, last = (np.concatenate(x) for x in zip(*kept))
+        order = np.argsort(begin, kind="stable")
+        of, begin, ids = of[order], begin[order], self.symbol_id[last[order]]
+        raw = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)  # bytes of the character
+        n = np.where(ids >= 0, 1, raw[begin])
+        stop = np.cumsum(n)
+        out = np.zeros(int(stop[-1]), np.int32)
+        out[(stop - n)[ids >= 0]] = ids[ids >= 0]
+        for k in np.nonzero(ids < 0)[0].tolist():
+            out[stop[k] - n[k]:stop[k]] = [self.bytes[b] for b in chr(code[begin[k]]).encode()]
+        ends = np.cumsum(np.bincount(of, n, m)).astype(np.int64).tolist()
+        blob = out.tobytes()
+        return [blob[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
+
     def shortest(self, text: str) -> tuple[float, list[int]]:
         """(cost, ids) of the shortest path over a normalised text."""
         n, state, pieces = len(text), self.states.get, self.pieces
@@ -193,11 +326,11 @@ class Transducer:
             elif len(s) < LONG:
                 missing.append(s)
             else:
-                ids[s] = np.array(self.shortest(s)[1], np.int32).tobytes()
+                ids[s] = np.array(self.merged(s) if self.by_merges else self.shortest(s)[1], np.int32).tobytes()
         missing.sort(key=len)
         for at in range(0, len(missing), BLOCK):
             block = missing[at:at + BLOCK]
-            ids.update(zip(block, self.shortest_of_many(block)))
+            ids.update(zip(block, self.merged_of_many(block) if self.by_merges else self.shortest_of_many(block)))
         if len(distinct) <= CACHE:
             self.cache.update((s, found) for s, found in ids.items() if len(s) < LONG)
         return [np.frombuffer(b"".join(map(ids.__getitem__, r)), np.int32) for r in rows]

@@ -102,6 +102,20 @@ def test_stretches_solved_together():
     assert [len(x) for x in t.encode_many(["", "ab" * 500, ""])][::2] == [0, 0]
 
 
+def test_pieces_are_the_models_own(docs, rows):
+    from sentencepiece import SentencePieceProcessor
+
+    own = SentencePieceProcessor(model_file=sentencepiece.MODEL)
+    got = {r["doc_id"]: r["ids"] for r in sentencepiece.encoded(docs).collect()}
+    assert got == {i: own.encode(t or "") for i, t in rows}
+    t = sentencepiece.transducer(sentencepiece.MODEL)
+    texts = ["Elle a  vu", "a\u2581b", " " * 300 + "y", "internationalisation" * 20, "\u4f60\u597d\U0001f389\U0001f389 x\ty\r\n\u200b", "\0"]
+    draw = random.Random(4)
+    texts += ["".join(draw.choices("abcdefthing \n\u2581h\u00e9\U0001f389", k=draw.randint(1, 40))) for _ in range(500)]
+    assert [x.tolist() for x in t.encode_many(texts)] == own.encode(texts)
+    assert [t.merged(t.normalise(x)) for x in texts] == own.encode(texts)
+
+
 def test_shortest_path_is_least():
     t = sentencepiece.transducer(sentencepiece.MODEL)
 
