@@ -10,8 +10,12 @@ A term is in the lexicon only if it is in at least ``LOW`` of all documents, so
 (mean distinct terms of a document) / ``LOW`` terms, whatever the size of the corpus; it is broadcast
 behind a check of that count, and joined by shuffle beyond ``BROADCAST`` terms.
 
-A document without terms of the band is fingerprinted by all its terms. Null and empty texts have the
-fingerprint of no terms. The next document is the one with the next smaller id; rows of one id are
+A document with fewer than ``FEW`` different filled parts, as it has no or few terms of the band (one term
+alone fills parts alike), is fingerprinted by its own terms instead: the hash of all of them (marked ``all-``), then one part for each
+of ``OWN`` disjoint randomised subsets of all words, each the least hash of the document's terms in it.
+Equal ones have equal terms, and likeness estimates the share of common terms. Where only one of two
+fingerprints is of this kind, the two documents are compared by their own terms both.
+Null and empty texts have the fingerprint of no terms. The next document is the one with the next smaller id; rows of one id are
 ordered by their text's hash. A null id comes last, as null sorts last in descending order.
 """
 
@@ -26,6 +30,8 @@ from pedalytics.session import stage
 LOW, HIGH = 0.002, 0.2
 # The subsets: each holds one term in so many, at random.
 SUBSETS = (8,) * 4 + (32,) * 12 + (128,) * 24 + (512,) * 20
+FEW = 4  # different filled parts that a fingerprint of the band has at least
+OWN = 8
 BROADCAST = 2_000_000
 EMPTY = "----"
 
@@ -81,14 +87,33 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when(F.size(used) == 0, 0.0).otherwise(same / F.size(used))
 
 
-def fingerprint(found: Column, rest: Column) -> Column:
-    """Parts of the band terms ``found``, an array of (term, subsets); ``rest`` if there are none."""
+def _code(x: Column) -> Column:
+    return F.lpad(F.right(F.lower(F.hex(F.xxhash64(x))), F.lit(4)), 4, "0")
+
+
+def own_terms(t: Column) -> Column:
+    """The fingerprint by a document's own terms ``t``."""
+    least = lambda j: F.array_min(F.filter(t, lambda x: F.pmod(x, F.lit(OWN)) == j))
+    parts = [F.coalesce(F.when(least(j).isNotNull(), _code(least(j))), F.lit(EMPTY)) for j in range(OWN)]
+    whole = F.concat(F.lit("all-"), F.lower(F.hex(F.xxhash64(F.sort_array(t)))))
+    return F.concat_ws(".", whole, *parts)
+
+
+def fingerprint(found: Column, own: Column) -> Column:
+    """Parts of the band terms ``found``, an array of (term, subsets); ``own`` if fewer than ``FEW`` differ."""
     part = lambda j: F.sort_array(F.transform(
         F.filter(found, lambda t: t["subsets"].bitwiseAND(F.lit(1 << j).cast("long")) != 0), lambda t: t["term"]))
-    code = lambda x: F.when(F.size(x) == 0, F.lit(EMPTY)).otherwise(
-        F.lpad(F.right(F.lower(F.hex(F.xxhash64(x))), F.lit(4)), 4, "0"))
+    code = lambda x: F.when(F.size(x) == 0, F.lit(EMPTY)).otherwise(_code(x))
     parts = F.transform(F.array(*[part(j) for j in range(len(SUBSETS))]), code)
-    return F.when(F.size(found) > 0, F.array_join(parts, ".")).otherwise(rest)
+    enough = lambda p: F.size(F.array_remove(F.array_distinct(p), EMPTY)) >= FEW
+    # One array of all parts, so that they are bound, and computed, once.
+    return F.transform(F.array(parts), lambda p: F.when(enough(p), F.array_join(p, ".")).otherwise(own))[0]
+
+
+def alike(a: Column, own_a: Column, b: Column, own_b: Column) -> Column:
+    """Likeness of fingerprints ``a`` and ``b``, by own terms if one of them is."""
+    by_own = a.startswith("all-") | b.startswith("all-")
+    return F.when(by_own, likeness(own_a, own_b)).otherwise(likeness(a, b))
 
 
 def with_next(base: DataFrame) -> DataFrame:
@@ -124,23 +149,24 @@ def match_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         terms(F.col("text")).alias("t"), terms(F.col("edited")).alias("e"))
     flag = lambda c, i: F.transform(c, lambda x: F.struct(x.alias("term"), F.lit(i).alias("side")))
     self_ = F.array(F.struct(F.lit(None).cast("long").alias("term"), F.lit(0).alias("side")))
-    rest = lambda c: F.concat(F.lit("all-"), F.lower(F.hex(F.xxhash64(F.sort_array(c)))))
     rows = rows.withColumn("p", F.explode(F.concat(self_, flag("t", 1), flag("e", 2)))).select(
         "id", "mark", "p.term", "p.side",
-        F.when(F.col("p.side") == 0, F.struct("null", "n", "after", "copies", "sha", rest("t").alias("t"), rest("e").alias("e"))).alias("info"))
+        F.when(F.col("p.side") == 0, F.struct("null", "n", "after", "copies", "sha", own_terms(F.col("t")).alias("t"), own_terms(F.col("e")).alias("e"))).alias("info"))
     rows = rows.join(band, "term", "left").where("side = 0 OR subsets IS NOT NULL")
     side = lambda i: F.collect_set(F.when(F.col("side") == i, F.struct("term", "subsets")))
     found = rows.groupBy("id", "mark").agg(F.first("info", True).alias("i"), side(1).alias("t"), side(2).alias("e"))
     found = stage(found.select(
         "id", "mark", "i.null", "i.n", "i.after", "i.copies", "i.sha",
-        fingerprint(F.col("t"), F.col("i.t")).alias("f"), fingerprint(F.col("e"), F.col("i.e")).alias("g")), "fingerprints")
-    follow = found.select(F.col("id").alias("nid"), F.col("mark").alias("nmark"), F.col("f").alias("nf"))
+        fingerprint(F.col("t"), F.col("i.t")).alias("f"), fingerprint(F.col("e"), F.col("i.e")).alias("g"),
+        F.col("i.t").alias("own"), F.col("i.e").alias("own_e")), "fingerprints")
+    follow = found.select(F.col("id").alias("nid"), F.col("mark").alias("nmark"), F.col("f").alias("nf"), F.col("own").alias("nown"))
     out = found.join(follow, (F.col("after.id") == F.col("nid")) & (F.col("after.mark") == F.col("nmark")))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return out.select(
         F.when(~F.col("null"), F.col("id")).alias(id_col), F.col("n").cast("long").alias("n_chars"), F.col("sha").alias("edited_sha256"),
         F.col("f").alias("fingerprint"), F.col("g").alias("edited_fingerprint"),
-        likeness(F.col("f"), F.col("g")).alias("near_edited"), likeness(F.col("f"), F.col("nf")).alias("near_next"))
+        alike(F.col("f"), F.col("own"), F.col("g"), F.col("own_e")).alias("near_edited"),
+        alike(F.col("f"), F.col("own"), F.col("nf"), F.col("nown")).alias("near_next"))
 
 
 def op2_fingerprints(spark, sf_dir):

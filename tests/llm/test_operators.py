@@ -87,6 +87,26 @@ def test_fingerprints(docs, rows):
     assert by_id[5]["fingerprint"] == by_id[6]["fingerprint"] and all(0 <= r["near_edited"] <= 1 for r in got)
 
 
+def test_documents_with_few_band_terms_are_told_apart(spark):
+    # "t0" to "t39" are in two documents of 80 each, so they are the band; each document has one of them.
+    texts = [f"t{i % 40} " + " ".join(f"w{i}x{j}" for j in range(30)) for i in range(80)]
+    data = spark.createDataFrame(list(enumerate(texts)) + [(100, texts[0]), (101, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.match_fingerprints(data).collect()}
+    assert len({got[i]["fingerprint"] for i in range(80)}) == 80 and got[100]["fingerprint"] == got[0]["fingerprint"]
+    assert max(got[i]["near_next"] for i in range(1, 80)) < 0.3
+    edited = [got[i]["near_edited"] for i in range(80)]
+    assert max(edited) < 1 and sum(edited) / 80 > 0.3
+
+
+def test_likeness_across_kinds(spark):
+    # A long document whose band terms fill many parts, next to one with the same words but few of the band.
+    a, b = "all-1.aaaa.bbbb", "all-2.aaaa.cccc"
+    row = spark.range(1).select(
+        fingerprints.alike(F.lit("1234.----"), F.lit(a), F.lit(b), F.lit(b)).alias("x"),
+        fingerprints.alike(F.lit("1234.----"), F.lit(a), F.lit("1234.5678"), F.lit(b)).alias("y")).first()
+    assert row["x"] == pytest.approx(1 / 3) and row["y"] == 0.5
+
+
 def test_sentencepiece_round_trip(docs, rows):
     coded = sentencepiece.encoded(docs)
     assert all(r["round_trip"] for r in coded.collect())
