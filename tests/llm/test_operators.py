@@ -198,6 +198,33 @@ def test_rollup_is_idempotent(spark, docs, tmp_path):
     assert rollup.totals().collect() == []
 
 
+def test_token_totals_are_over_all_rows(spark, tmp_path):
+    texts = ["One two", "Only these words", "", None]
+    data = [(i if i % 7 else None, texts[i % 4], ["en", "fr", None][i % 3], "ab"[i % 2], 0) for i in range(60)]
+    data += [(3, "Only these words", "en", "a", 0)] * 3
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = {(r["source"], r["lang"], r["tokenizer"]): (r["n_docs"], r["n_tokens"])
+           for r in token_counts.op9_token_counts(spark, str(tmp_path)).collect()}
+    plain, encoding = {}, token_counts._encoding(token_counts.RANKS)
+    for _, text, lang, source, _ in data:
+        n, total = plain.get((source, lang, "byte-bpe-50k"), (0, 0))
+        plain[source, lang, "byte-bpe-50k"] = (n + 1, total + len(encoding.encode_ordinary(text or "")))
+    assert got == plain
+
+
+def test_revisions_and_versions_count(spark, docs, tmp_path):
+    rollup = token_counts.TokenRollup(spark, str(tmp_path / "r"))
+    old = token_counts.counted(docs, "v1")
+    new = token_counts.counted(docs.withColumn("text", F.lit("One two three")), "v1")
+    rollup.commit("a", token_counts.inserts(old))
+    rollup.commit("b", token_counts.revisions(old, new))
+    rollup.commit("c", token_counts.inserts(token_counts.counted(docs, "v2", token_counts.SECOND_RANKS)))
+    got = {r["tokenizer"]: (r["n_docs"], r["n_tokens"]) for r in rollup.totals().collect()}
+    n = docs.count()
+    assert got["v1"] == (n, 3 * n) and got["v2"][0] == n and got["v2"][1] > 0
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     assert substring_dedup.remove_repeats(none).count() == suffix_dedup.remove_earlier(none).count() == 0
