@@ -179,6 +179,25 @@ def test_url_rules(spark):
     assert got[0]["host"] == "www.example.com" and got[4]["host"] == "" and {r["verdict"] for r in got.values()} <= {"allow", "block"}
 
 
+def test_suffixes_of_one_class_are_not_blocked(spark):
+    urls = [f"http://h{i}.example.com/{'en' if i % 3 else 'fr'}/{i}" for i in range(60)]
+    urls += [f"http://h{i}.example.net/{p}/{i}" for i in range(30) for p in ("es", "fr", "de", "en")]
+    urls += [f"http://h{i}.example.org/en/{i}" for i in range(30)] + [None, "no scheme"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filters.judge(pages).collect()
+    assert len(got) == len(urls) and {r["verdict"] for r in got if r["rule"] is None} == {"allow"}
+    assert {r["verdict"] for r in got if r["rule"] == "net/es/"} == {"block"}
+    # A suffix with both classes is still judged: long paths are blocked.
+    rules = (("org", "/bad/", "block"), ("org", "/good/", "allow"))
+    urls = [f"http://h{i}.org/{'bad/' + 'x/' * 20 if i % 4 else 'good/'}{i}" for i in range(200)]
+    urls += ["http://new.org/" + "x/" * 22 + "7", "http://new.org/other/7"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filters.judge(pages, rules=rules).collect()}
+    assert (got[200], got[201]) == ("block", "allow")
+    error = url_filters.held_out_error(pages, rules=rules)
+    assert error["n_allow"] and error["n_block"] and not error["wrongly_blocked"] and not error["missed"]
+
+
 def test_html(spark):
     page = ('<html><head><title>T</title></head><body><nav><ul><li><a>m</a></li></ul></nav><div class="ad">buy now</div>'
             "<article><h1>A &amp;  b</h1><p>one two<p>three <b>four</b></article><footer>f</footer></body></html>")
