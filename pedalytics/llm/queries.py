@@ -9,10 +9,13 @@ from pedalytics.llm import (
     minhash_dedup,
     quality,
     sentencepiece,
+    simhash_dedup,
+    source_divergence,
     substring_dedup,
     suffix_dedup,
     token_counts,
     url_filters,
+    vector_codes,
 )
 
 QUERIES = {
@@ -28,7 +31,13 @@ QUERIES = {
         html_extraction.op8_html_extraction,
         token_counts.op9_token_counts,
         suffix_dedup.op10_suffix_dedup,
+        vector_codes.op11_vector_codes,
+        simhash_dedup.op12_simhash_dedup,
+        source_divergence.op13_source_divergence,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op13_source_divergence": source_divergence.ORACLE,
+}

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 SPACES = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -102,3 +105,79 @@ def edited_texts(rows):
         new = t[: len(t) - cut] + after[:cut]
         out.append((i, len(t), hashlib.sha256(new.encode()).hexdigest()))
     return out
+
+
+def vector_codes(rows, parts=16, entries=64, rounds=2):
+    """rows: (id, vector, label), all of one length."""
+    kept = [(i, [math.floor(256 * x) for x in v], c) for i, v, c in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not kept:
+        return []
+    width = len(kept[0][1]) // parts
+    cut = lambda v, p: v[p * width : (p + 1) * width]
+    first = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    books = [[cut(v, p) for _, v, _ in first] for p in range(parts)]
+    distance = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+
+    def assign():
+        return [[min((distance(cut(v, p), e), j) for j, e in enumerate(books[p])) for p in range(parts)] for _, v, _ in kept]
+
+    for _ in range(rounds):
+        found = assign()
+        for p in range(parts):
+            for j in range(len(first)):
+                mine = [cut(v, p) for (_, v, _), f in zip(kept, found) if f[p][1] == j]
+                if mine:
+                    books[p][j] = [sum(x) // len(mine) for x in zip(*mine)]
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    found, sums = assign(), Counter()
+    for (_, _, c), f in zip(kept, found):
+        sums[c] += sum(d for d, _ in f)
+    return [(i, "".join(f"{j:02x}" for _, j in f), sum(d for d, _ in f), sums[c], digest) for (i, _, c), f in zip(kept, found)]
+
+
+def simhash_dedup(rows, k=3, radius=2):
+    marks = []
+    for i, t in rows:
+        w = SPACES.findall(lower_ascii(t))
+        s = [" ".join(w[j : j + k]) for j in range(len(w) - k + 1)] if len(w) >= k else ([" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in s]
+        marks.append((i, sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))))
+    root = list(range(len(marks)))
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for m, (i, x) in enumerate(marks):
+        for n in range(m):
+            if (x ^ marks[n][1]).bit_count() <= radius or (i is not None and i == marks[n][0]):
+                root[top(m)] = top(n)
+    least = {}
+    for n, (i, _) in enumerate(marks):
+        r = top(n)
+        least[r] = min((j for j in (i, least.get(r)) if j is not None), default=None)
+    return [(i, f"{x:016x}", least[top(n)]) for n, (i, x) in enumerate(marks)]
+
+
+def source_divergence(rows, least=10, ranks=10):
+    """rows: (text, lang, source)."""
+    docs = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower_ascii(t))) for t, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        mine = [d for d in docs if d[0] == lang]
+        df = Counter(w for _, _, ws in mine for w in set(ws))
+        kept = sorted(w for w in df if df[w] >= least)
+        count = {s: Counter(w for _, t, ws in mine if t == s for w in ws if df[w] >= least) for s in {d[1] for d in mine}}
+        whole = sum(count.values(), Counter())
+        share = lambda c: {w: 1 + 10**9 * (c[w] + 2) // (c.total() + 2 * len(kept)) for w in kept}
+        p, q = {s: share(c) for s, c in count.items()}, share(whole)
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in count:
+            pairs = [(t, sum(f(p[s][w], p[t][w]) for w in kept)) for t in count if t != s]
+            terms = [(w, f(p[s][w], q[w])) for w in kept if count[s][w] and p[s][w] > q[w]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, ranks)):
+                found = sorted(found, key=lambda r: (-r[1], r[0].encode()))[:most]
+                out += [(lang, s, part, item, v, n) for n, (item, v) in enumerate(found, 1)]
+    return out
