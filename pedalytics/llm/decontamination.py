@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pedalytics.llm import repeats
 from pedalytics.session import stage
 
 WINDOW = 10
@@ -102,7 +103,7 @@ def hits(
         marks = marks.unionByName(part.select("hash", "wid", F.col("place").alias("inner")))
     marks = stage(marks, "window-fingerprints")
 
-    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 24) - 1).cast("int")
+    mark = repeats.mark(F.col(text_col))
     base = docs.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"), F.col(text_col).alias("text"))
     found = fingerprints(base.select("id", "mark", words(F.col("text")).alias("w")), window, k, lengths)
     near = found.join(marks, "hash").select("id", "mark", "wid", (F.col("place") - F.col("inner")).alias("at"))
@@ -134,8 +135,7 @@ def hits(
 def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with all columns."""
     bad = hits(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bid"), F.col("_mark").alias("bmark")).distinct()
-    mark = F.xxhash64(F.coalesce(docs["text"], F.lit(""))).bitwiseAND((1 << 24) - 1).cast("int")
-    met = docs["doc_id"].cast("long").eqNullSafe(bad["bid"]) & (mark == bad["bmark"])
+    met = docs["doc_id"].cast("long").eqNullSafe(bad["bid"]) & (repeats.mark(docs["text"]) == bad["bmark"])
     return docs.join(bad, met, "left_anti")
 
 

@@ -60,7 +60,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np
 
 def sketches(texts: DataFrame, k: int) -> DataFrame:
     """(_id, _mark, n, a, b, lists): set size, 128-bit hash of the set, keys of its coordinate lists."""
-    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int32()), ("n", pa.int64()), ("a", pa.int64()),
+    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int64()), ("n", pa.int64()), ("a", pa.int64()),
                         ("b", pa.int64()), ("lists", pa.list_(pa.int64()))])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,10 +82,10 @@ def sketches(texts: DataFrame, k: int) -> DataFrame:
                 flat = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(width)).astype(np.int32)), pa.array(lists[n > 0].ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], batch.column(1)[rows].cast(pa.int32()), pa.array(n.astype(np.int64)),
+                    [batch.column(0)[rows], batch.column(1)[rows], pa.array(n.astype(np.int64)),
                      pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), flat], schema=schema)
 
-    return texts.mapInArrow(sketch, "_id long, _mark int, n long, a long, b long, lists array<long>")
+    return texts.mapInArrow(sketch, "_id long, _mark long, n long, a long, b long, lists array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -116,7 +116,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
 def exploded_sets(texts: DataFrame, k: int) -> DataFrame:
     """(_id, _mark, shingle, n): every distinct shingle of each text."""
-    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int32()), ("shingle", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int64()), ("shingle", pa.int64()), ("n", pa.int64())])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,10 +124,10 @@ def exploded_sets(texts: DataFrame, k: int) -> DataFrame:
                 n = np.diff(bounds)
                 take = pa.array(np.repeat(np.arange(len(n)), n) + first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take).cast(pa.int32()),
+                    [batch.column(0).take(take), batch.column(1).take(take),
                      pa.array(value.view(np.int64)), pa.array(np.repeat(n, n).astype(np.int64))], schema=schema)
 
-    return texts.mapInArrow(explode, "_id long, _mark int, shingle long, n long")
+    return texts.mapInArrow(explode, "_id long, _mark long, shingle long, n long")
 
 
 def near_duplicates(

@@ -13,51 +13,55 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pedalytics.llm import scan
 from pedalytics.session import stage
 
-KEY = "_id long, _mark int"
-_RUN = pa.schema([("seed", pa.int64()), ("span", pa.int64()), ("_id", pa.int64()), ("place", pa.int64())])
+_RUN = pa.schema([("seed", pa.int64()), ("span", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int64()), ("place", pa.int64())])
+
+
+def mark(text: Column) -> Column:
+    """Hash that tells the rows of one id (or of none) apart; two texts among n share one with probability n**2 / 2**65."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _mark, _text): rows that repeat an id with another text stay apart by ``_mark``."""
     return docs.select(
         F.col(id_col).cast("long").alias("_id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 24) - 1).cast("int").alias("_mark"),
+        mark(F.col(text_col)).alias("_mark"),
         F.col(text_col).alias("_text"),
     )
 
 
 def unpack(runs: DataFrame) -> DataFrame:
-    """Start, window count and mark out of ``place``."""
+    """Start and window count out of ``place``."""
     return runs.select(
         *[c for c in runs.columns if c != "place"],
-        F.shiftright("place", 32).cast("int").alias("start"),
-        F.shiftright("place", 24).bitwiseAND(255).cast("int").alias("n"),
-        F.col("place").bitwiseAND((1 << 24) - 1).cast("int").alias("_mark"),
+        F.shiftright("place", 8).cast("int").alias("start"),
+        F.col("place").bitwiseAND(255).cast("int").alias("n"),
     )
 
 
 def seeds(texts: DataFrame, tokens: Callable[[scan.Texts], scan.Tokens], window: int, k: int) -> DataFrame:
-    """One row (seed, span, _id, place) for each run of windows under one seed."""
+    """One row (seed, span, _id, _mark, place) for each run of windows under one seed."""
     if window - k + 1 > 255:
         raise ValueError("a run's length must fit eight bits")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, marks = batch.column(0), batch.column(1)
             for texts in scan.chunks(batch.column(2)):
                 found = scan.winnow(tokens(texts), window, k)
-                row = found.text + texts.first
-                place = (found.start << 32) | (found.count << 24) | marks[row]
-                columns = [found.seed.view(np.int64), found.span.view(np.int64), ids.take(pa.array(row)), place]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_RUN)
+                row = pa.array(found.text + texts.first)
+                place = (found.start << 8) | found.count
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.seed.view(np.int64)), pa.array(found.span.view(np.int64)), ids.take(row), marks.take(row),
+                     pa.array(place)], schema=_RUN)
 
-    return texts.mapInArrow(runs, "seed long, span long, _id long, place long")
+    return texts.mapInArrow(runs, "seed long, span long, _id long, _mark long, place long")
 
 
 def repeated_runs(texts: DataFrame, tokens, window: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -72,7 +76,7 @@ def repeated_runs(texts: DataFrame, tokens, window: int, k: int) -> tuple[DataFr
     often = stage(counted.where("times > 1").select("seed"), "repeated-seeds")
     again = stage(runs.join(often, "seed"), "repeated-runs")
     classes = again.groupBy("seed", "span").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("_id", "place")).alias("first")
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("_id", "place", "_mark")).alias("first")
     )
     classes = stage(classes, "run-classes")
     kinds = stage(classes.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds")), "seed-kinds")

@@ -40,13 +40,13 @@ def repeated_stretches(
         "_id", "_mark", "start", (F.col("n") + window - 1).alias("length")
     )
     open_ = repeats.unpack(
-        mixed.select("first._id", "first.place", (F.col("copies") == 1).alias("single"))
+        mixed.select("first._id", "first._mark", "first.place", (F.col("copies") == 1).alias("single"))
     )
     stretch = open_.groupBy("_id", "_mark").agg(F.collect_list(F.struct("start", "n", "single")).alias("open"))
     windows = repeats.with_texts(texts, stretch).select("_id", "_mark", "_text", "open")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int32()),
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int64()),
                             ("start", pa.int32()), ("single", pa.bool_())])
         for batch in batches:
             ids, marks, open_runs = batch.column(0), batch.column(1), batch.column(3)
@@ -67,10 +67,10 @@ def repeated_stretches(
                 take = pa.array(row + texts.first)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lanes[0].view(np.int64)), pa.array(lanes[1].view(np.int64)), ids.take(take),
-                     marks.take(take).cast(pa.int32()), pa.array(start.astype(np.int32)),
+                     marks.take(take), pa.array(start.astype(np.int32)),
                      pa.array(np.concatenate(single))], schema=schema)
 
-    each = windows.mapInArrow(hashed, "a long, b long, _id long, _mark int, start int, single boolean")
+    each = windows.mapInArrow(hashed, "a long, b long, _id long, _mark long, start int, single boolean")
     twice = each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("a", "b")
     twice = stage(twice, "repeated-windows")
     partly = each.where("single").join(twice, ["a", "b"]).select(

@@ -4,10 +4,11 @@ Suffixes that cannot repeat are left out first: ``repeats`` files every 100-byte
 and drops seeds that occur once, and stretches equal as a whole are settled by their hash and first
 place. The suffixes that remain are dealt out by seed and sorted there: a merge sort whose comparisons
 find the common extension of two suffixes by binary search over prefix polynomial hashes, so a
-comparison takes logarithmic time. Neighbours that agree over the threshold are compared byte by
+comparison takes logarithmic time. (A suffix whose hash is single in its task is left out of the sort.) Neighbours that agree over the threshold are compared byte by
 byte; if a hash ever deceived, the sort is repeated with another base. Stretches of a seed with many
 are filed again under longer seeds, which part what differs and keep equal strings together. A seed
-with more stretches than one task should sort is settled by 128-bit hashes and a combined minimum.
+with more stretches than one task should sort is settled by 128-bit hashes and a combined minimum, and
+each string found so is compared with the bytes of its head.
 
 Nulls are empty texts. Order is by id (null first), then place; repeated rows of one id and text are
 one document. Columns other than id and text are ignored, whatever their names.
@@ -88,6 +89,16 @@ def merge_sort(data: np.ndarray, at: np.ndarray, group: np.ndarray, limit: int,
     return order
 
 
+def repeated(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+    """Indices of the suffixes whose hash of ``length`` bytes occurs twice in their group; no other can repeat."""
+    hashes = scan.stretch_hashes(scan.prefix_hashes(scan.BYTE_VALUES[data]), at, at + length) ^ scan.mix(group.astype(np.uint64))
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    twice = np.zeros(len(at), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    return np.flatnonzero(twice)
+
+
 def equal_strings(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """A number for each suffix; two have the same one if group and first ``length`` bytes agree."""
     if not len(at):
@@ -110,7 +121,7 @@ def equal_strings(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: i
     raise RuntimeError("three hash bases collided")
 
 
-_SPAN = pa.schema([("seed", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int32()), ("start", pa.int64()),
+_SPAN = pa.schema([("seed", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int64()), ("start", pa.int64()),
                    ("bytes", pa.binary())])
 
 
@@ -151,7 +162,7 @@ def _spans(length: int, longer: int, crowd: int):
 
 def _windows(length: int):
     """128-bit hashes of the windows of stretches."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int32()), ("start", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int64()), ("start", pa.int64())])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,14 +177,14 @@ def _windows(length: int):
                 take = pa.array(row + texts.first)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.view(np.int64)) for x in lanes]
-                    + [batch.column(0).take(take), batch.column(1).take(take).cast(pa.int32()), pa.array(start)], schema=schema)
+                    + [batch.column(0).take(take), batch.column(1).take(take), pa.array(start)], schema=schema)
 
     return windows
 
 
 def _later(length: int):
     """Of equal strings within a seed all but the first, as stretches."""
-    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int32()), ("start", pa.int64()), ("length", pa.int64())])
+    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
 
     def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
@@ -191,6 +202,8 @@ def _later(length: int):
         count = np.diff(bounds) - length + 1
         piece = np.repeat(np.arange(len(count)), count)
         inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        again = repeated(data, bounds[piece] + inner, group[piece], length)
+        piece, inner = piece[again], inner[again]
         number = equal_strings(data, bounds[piece] + inner, group[piece], length)
         null = np.asarray(column["_id"].is_valid())[piece]
         ids = column["_id"].fill_null(0).to_numpy()[piece]
@@ -237,13 +250,13 @@ def earlier_stretches(
     texts = repeats.keyed(docs, id_col, text_col)
     again, classes, mixed = repeats.repeated_runs(texts, scan.byte_tokens, length, seed)
     copies = classes.where("copies > 1").select("seed", "span", "first")
-    place = F.struct("_id", F.shiftright("place", 32).alias("start"))
-    head = F.struct("first._id", F.shiftright(F.col("first.place"), 32).alias("start"))
+    place = F.struct("_id", F.shiftright("place", 8).alias("start"))
+    head = F.struct("first._id", F.shiftright(F.col("first.place"), 8).alias("start"))
     whole = repeats.unpack(again.join(copies, ["seed", "span"]).where(place != head)).select(
         "_id", "_mark", F.col("start").cast("long"), (F.col("n") + length - 1).cast("long").alias("length")
     )
-    out = "_id long, _mark int, start long, length long"
-    open_ = repeats.unpack(mixed.select("seed", "kinds", "first._id", "first.place"))
+    out = "_id long, _mark long, start long, length long"
+    open_ = repeats.unpack(mixed.select("seed", "kinds", "first._id", "first._mark", "first.place"))
 
     def stretches(which: str) -> DataFrame:
         rows = open_.where(which).groupBy("_id", "_mark")
@@ -251,19 +264,43 @@ def earlier_stretches(
         return repeats.with_texts(texts, rows).select("_id", "_mark", "_text", "open")
 
     pieces = stretches(f"kinds <= {most}").mapInArrow(
-        _spans(length, max(seed, length * LONGER // 100), CROWD), "seed long, _id long, _mark int, start long, bytes binary"
+        _spans(length, max(seed, length * LONGER // 100), CROWD), "seed long, _id long, _mark long, start long, bytes binary"
     )
     sorted_ = pieces.repartition("seed").sortWithinPartitions("seed").mapInArrow(_later(length), out)
     if open_.where(f"kinds > {most}").isEmpty():
         return whole.unionByName(sorted_)
     each = stage(
-        stretches(f"kinds > {most}").mapInArrow(_windows(length), "a long, b long, _id long, _mark int, start long"),
+        stretches(f"kinds > {most}").mapInArrow(_windows(length), "a long, b long, _id long, _mark long, start long"),
         "crowded-windows",
     )
-    heads = stage(each.groupBy("a", "b").agg(F.min(F.struct("_id", "start")).alias("head")), "crowded-heads")
-    later = each.join(heads, ["a", "b"]).where(F.struct("_id", "start") != F.col("head"))
-    later = later.select("_id", "_mark", "start", F.lit(length).cast("long").alias("length"))
-    return whole.unionByName(sorted_).unionByName(later)
+    heads = stage(each.groupBy("a", "b").agg(F.min(F.struct("_id", "start", "_mark")).alias("head"), F.count(F.lit(1)).alias("n")).where(
+        "n > 1").drop("n"), "crowded-heads")
+    later = each.join(heads, ["a", "b"]).where(F.struct("_id", "start") != F.struct("head._id", "head.start"))
+    return whole.unionByName(sorted_).unionByName(_verified(later, texts, length))
+
+
+def _verified(later: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """Strings of ``later`` (_id, _mark, start, head), each compared with the bytes of its head."""
+    pairs = later.groupBy("_id", "_mark", F.col("head._id").alias("hid"), F.col("head._mark").alias("hmark")).agg(
+        F.collect_list(F.struct("start", F.col("head.start").alias("at"))).alias("places"))  # of two texts, so at most their length
+    mine = repeats.with_texts(texts, pairs).select(
+        F.col("_id").alias("id"), F.col("_mark").alias("mark"), F.col("_text").alias("text"), "places",
+        F.col("hid").alias("_id"), F.col("hmark").alias("_mark"))
+    both = repeats.with_texts(texts, mine).select("id", "mark", "text", "_text", "places")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                a, b = row["text"].encode(), row["_text"].encode()
+                start = [p["start"] for p in row["places"]]
+                if any(a[p["start"] : p["start"] + length] != b[p["at"] : p["at"] + length] for p in row["places"]):
+                    raise RuntimeError("a 128-bit hash collided")
+                n = len(start)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["id"]] * n, pa.int64()), pa.array([row["mark"]] * n, pa.int64()), pa.array(start, pa.int64()),
+                     pa.array([length] * n, pa.int64())], names=["_id", "_mark", "start", "length"])
+
+    return both.mapInArrow(compare, "_id long, _mark long, start long, length long")
 
 
 def remove_earlier(
@@ -309,19 +346,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     Only whole code points go, so a removed stretch may be shorter at its ends. A column ``n_chars`` is
     set anew. A text of which only white space is left is dropped; others that had none stay.
     """
-    found = repeats.intervals(earlier_stretches(docs, length, SEED, id_col, text_col))
-    found = found.withColumnsRenamed({"_id": "_fid", "_mark": "_fmark"})
-    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 24) - 1).cast("int")
-    rows = docs.withColumn("_mark", mark)
-    met = rows[id_col].cast("long").eqNullSafe(found["_fid"]) & (rows["_mark"] == found["_fmark"])
-    joined = rows.join(found, met, "left").select(*docs.columns, "starts", "lengths")
-    at = docs.columns.index(text_col)
-    count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    found = repeats.intervals(earlier_stretches(docs, length, SEED, id_col, text_col)).toDF("fid", "fmark", "starts", "lengths")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"),
+        repeats.mark(F.col(text_col)).alias("mark"))
+    met = rows["id"].eqNullSafe(found["fid"]) & (rows["mark"] == found["fmark"])
+    joined = rows.join(found, met, "left").select("row", "starts", "lengths")
+    docs_columns = docs.columns
+    at = docs_columns.index(text_col)
+    count = docs_columns.index("n_chars") if "n_chars" in docs_columns else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = [], []
-            for text, starts, lengths in zip(*(batch.column(i) for i in (at, -2, -1))):
+            columns = batch.column(0).flatten()
+            for text, starts, lengths in zip(columns[at], batch.column(1), batch.column(2)):
                 text, starts = text.as_py(), starts.as_py()
                 if starts:
                     raw = np.frombuffer(text.encode(), np.uint8)
@@ -331,11 +370,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
                     text = raw[~whole[point]].tobytes().decode()
                 texts.append(text)
                 keep.append(not starts or bool(text.strip()))
-            columns = list(batch.columns[:-2])
             columns[at] = pa.array(texts, pa.string())
             if count is not None:
                 columns[count] = pa.array([len(t) if t is not None else None for t in texts]).cast(columns[count].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-2]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns).filter(pa.array(keep, pa.bool_()))
 
     return joined.mapInArrow(cut, docs.schema)
 
