@@ -4,15 +4,15 @@ Terms are white-space words. Those whose document frequency lies in a band (``LO
 documents) form the lexicon. A fingerprint has one part for each of several randomised lexicon subsets:
 the hash of the document's distinct terms in that subset, sorted. Subsets come in several densities, so
 that long and short documents both have parts with few terms. Likeness of two fingerprints is the share
-of equal parts among those that are not empty in both.
+of equal parts among those that are filled in one of them at least.
 
 A term is in the lexicon only if it is in at least ``LOW`` of all documents, so the lexicon has at most
-(mean distinct terms of a document) / ``LOW`` terms, whatever the size of the corpus; it is broadcast
-behind a check of that count, and joined by shuffle beyond ``BROADCAST`` terms.
+(mean distinct terms of a document) / ``LOW`` terms, whatever the size of the corpus. It is a stored table,
+so the planner knows its size.
 
 A document with fewer than ``FEW`` different filled parts, as it has no or few terms of the band (one term
 alone fills parts alike), is fingerprinted by its own terms instead: the hash of all of them (marked ``all-``), then one part for each
-of ``OWN`` disjoint randomised subsets of all words, each the least hash of the document's terms in it.
+of ``OWN`` disjoint subsets of all words (equal ranges of their hashes), each the least hash of the document's terms in it.
 Equal ones have equal terms, and likeness estimates the share of common terms. Where only one of two
 fingerprints is of this kind, the two documents are compared by their own terms both.
 Null and empty texts have the fingerprint of no terms. The next document is the one with the next smaller id; rows of one id are
@@ -32,7 +32,6 @@ LOW, HIGH = 0.002, 0.2
 SUBSETS = (8,) * 4 + (32,) * 12 + (128,) * 24 + (512,) * 20
 FEW = 4  # different filled parts that a fingerprint of the band has at least
 OWN = 8
-BROADCAST = 2_000_000
 EMPTY = "----"
 
 
@@ -44,13 +43,12 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(texts: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """(term, subsets): the terms of the band, and the subsets that hold each, as bits. ``texts``: (text)."""
+    """(term, subsets): the terms of the band, and the numbers of the subsets that hold each. ``texts``: (text)."""
     n = texts.count()
     counted = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").count()
     band = counted.where((F.col("count") >= max(2, low * n)) & (F.col("count") <= max(2, high * n)))
-    bits = [F.when(F.pmod(F.xxhash64("term", F.lit(j)), F.lit(density)) == 0, F.lit(1 << j).cast("long")).otherwise(F.lit(0).cast("long"))
-            for j, density in enumerate(SUBSETS)]
-    return band.select("term", sum(bits[1:], bits[0]).alias("subsets"))
+    held = [F.when(F.pmod(F.xxhash64("term", F.lit(j)), F.lit(density)) == 0, F.lit(j)) for j, density in enumerate(SUBSETS)]
+    return band.select("term", F.array_compact(F.array(*held)).alias("subsets"))
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -80,7 +78,7 @@ def neighbours(ids: DataFrame) -> DataFrame:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal parts among those not empty in both fingerprints; 1 for equal fingerprints."""
+    """Share of equal parts among those filled in ``a`` or ``b``; 1 for equal fingerprints."""
     pairs = F.arrays_zip(F.split(a, "\\.").alias("a"), F.split(b, "\\.").alias("b"))
     used = F.filter(pairs, lambda p: (p["a"] != EMPTY) | (p["b"] != EMPTY))
     same = F.size(F.filter(used, lambda p: p["a"] == p["b"]))
@@ -91,23 +89,48 @@ def _code(x: Column) -> Column:
     return F.lpad(F.right(F.lower(F.hex(F.xxhash64(x))), F.lit(4)), 4, "0")
 
 
+def bound(value: Column, then) -> Column:
+    """``then`` of ``value``, which is computed once however often ``then`` names it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def own_terms(t: Column) -> Column:
-    """The fingerprint by a document's own terms ``t``."""
-    least = lambda j: F.array_min(F.filter(t, lambda x: F.pmod(x, F.lit(OWN)) == j))
-    parts = [F.coalesce(F.when(least(j).isNotNull(), _code(least(j))), F.lit(EMPTY)) for j in range(OWN)]
-    whole = F.concat(F.lit("all-"), F.lower(F.hex(F.xxhash64(F.sort_array(t)))))
-    return F.concat_ws(".", whole, *parts)
+    """The fingerprint by a document's own terms ``t``: subsets are ranges of the hashes, told by their top bits."""
+    bits = 64 - (OWN - 1).bit_length()
+    top = lambda x: F.shiftright(x, bits)
+    place = lambda x: F.pmod(top(x), F.lit(OWN)).cast("int")
+
+    def parts(s: Column) -> Column:
+        first = F.filter(s, lambda x, i: (i == 0) | (top(x) != top(F.get(s, i - 1))))
+        whole = F.concat(F.lit("all-"), F.lower(F.hex(F.xxhash64(s))))
+        codes = lambda m: F.concat_ws(".", whole, *[F.coalesce(F.element_at(m, F.lit(j)), F.lit(EMPTY)) for j in range(OWN)])
+        return bound(first, lambda f: bound(F.map_from_arrays(F.transform(f, place), F.transform(f, _code)), codes))
+
+    return bound(F.sort_array(t), parts)
 
 
 def fingerprint(found: Column, own: Column) -> Column:
-    """Parts of the band terms ``found``, an array of (term, subsets); ``own`` if fewer than ``FEW`` differ."""
-    part = lambda j: F.sort_array(F.transform(
-        F.filter(found, lambda t: t["subsets"].bitwiseAND(F.lit(1 << j).cast("long")) != 0), lambda t: t["term"]))
-    code = lambda x: F.when(F.size(x) == 0, F.lit(EMPTY)).otherwise(_code(x))
-    parts = F.transform(F.array(*[part(j) for j in range(len(SUBSETS))]), code)
-    enough = lambda p: F.size(F.array_remove(F.array_distinct(p), EMPTY)) >= FEW
-    # One array of all parts, so that they are bound, and computed, once.
-    return F.transform(F.array(parts), lambda p: F.when(enough(p), F.array_join(p, ".")).otherwise(own))[0]
+    """Parts of the band terms ``found``, an array of (subset, term); ``own`` if fewer than ``FEW`` differ.
+
+    Sorted, the terms of a subset stand together: one pass finds where each subset starts, one hashes.
+    """
+    def codes(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.get(s, i - 1)["subset"] != F.get(s, i - 2)["subset"]))
+
+        def hashed(at: Column) -> Column:
+            end = lambda i: F.coalesce(F.get(at, i + 1), F.size(s) + 1)
+            code = F.transform(at, lambda a, i: _code(F.slice(s, a, end(i) - a)["term"]))
+            return F.map_from_arrays(F.transform(at, lambda a: F.get(s, a - 1)["subset"]), code)
+
+        return bound(starts, hashed)
+
+    def whole(m: Column) -> Column:
+        enough = F.size(F.array_distinct(F.map_values(m))) >= FEW
+        parts = F.concat_ws(".", *[F.coalesce(F.element_at(m, F.lit(j)), F.lit(EMPTY)) for j in range(len(SUBSETS))])
+        return F.when(enough, parts).otherwise(own)
+
+    filled = bound(F.sort_array(found), lambda s: bound(codes(s), whole))
+    return F.when(F.size(found) == 0, own).otherwise(filled)
 
 
 def alike(a: Column, own_a: Column, b: Column, own_b: Column) -> Column:
@@ -141,19 +164,19 @@ def match_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = docs.select(null.alias("null"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
                        F.xxhash64(null, text).alias("mark"), text.alias("text"))
     band = stage(lexicon(base.select("text")), "lexicon")
-    if band.count() <= BROADCAST:
-        band = F.broadcast(band)
 
     rows = with_next(base).select(
         "id", "mark", "null", "n", "after", "copies", F.sha2("edited", 256).alias("sha"),
         terms(F.col("text")).alias("t"), terms(F.col("edited")).alias("e"))
-    flag = lambda c, i: F.transform(c, lambda x: F.struct(x.alias("term"), F.lit(i).alias("side")))
-    self_ = F.array(F.struct(F.lit(None).cast("long").alias("term"), F.lit(0).alias("side")))
-    rows = rows.withColumn("p", F.explode(F.concat(self_, flag("t", 1), flag("e", 2)))).select(
-        "id", "mark", "p.term", "p.side",
-        F.when(F.col("p.side") == 0, F.struct("null", "n", "after", "copies", "sha", own_terms(F.col("t")).alias("t"), own_terms(F.col("e")).alias("e"))).alias("info"))
-    rows = rows.join(band, "term", "left").where("side = 0 OR subsets IS NOT NULL")
-    side = lambda i: F.collect_set(F.when(F.col("side") == i, F.struct("term", "subsets")))
+    info = F.struct("null", "n", "after", "copies", "sha", own_terms(F.col("t")).alias("t"), own_terms(F.col("e")).alias("e"))
+    rows = rows.select("id", "mark", "t", "e", info.alias("info"))
+    none = F.lit(None).cast(rows.schema["info"].dataType)  # the terms' rows are narrow: only the first one has the rest
+    flag = lambda c, i: F.transform(c, lambda x: F.struct(x.alias("term"), F.lit(i).alias("side"), none.alias("info")))
+    self_ = F.array(F.struct(F.lit(None).cast("long").alias("term"), F.lit(0).alias("side"), F.col("info").alias("info")))
+    rows = rows.select("id", "mark", F.explode(F.concat(self_, flag("t", 1), flag("e", 2))).alias("p"))
+    rows = rows.select("id", "mark", "p.term", "p.side", "p.info").join(band, "term", "left").where("side = 0 OR size(subsets) > 0")
+    rows = rows.select("id", "mark", "term", "side", "info", F.explode_outer("subsets").alias("subset"))
+    side = lambda i: F.collect_set(F.when(F.col("side") == i, F.struct("subset", "term")))
     found = rows.groupBy("id", "mark").agg(F.first("info", True).alias("i"), side(1).alias("t"), side(2).alias("e"))
     found = stage(found.select(
         "id", "mark", "i.null", "i.n", "i.after", "i.copies", "i.sha",
