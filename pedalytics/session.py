@@ -51,14 +51,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete tables that ``stage`` returned, after their last reader; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "staged_at", None)
+        if path in _STAGED:
+            _STAGED.remove(path)
+            _delete(df.sparkSession, path)
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete the tables staged by this process; frames built on them can no longer be read."""
     while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _STAGED.pop())
 
 
 def one_file_per_task(spark: SparkSession) -> SparkSession:
