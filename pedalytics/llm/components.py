@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalytics.session import stage
+from pedalytics.session import release, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,11 +19,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = stage(edges.groupBy("a").agg(F.min("b").alias("b")).select(
         F.col("a").alias("node"), F.least("a", "b").alias("label")), "labels")
     while True:
-        near = edges.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy("a").agg(F.min("label").alias("near"))
+        near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.least("label", "near").alias("to"), "label")
         step = stage(step, "labels")
         far = step.select(F.col("node").alias("to"), F.col("to").alias("far"))
         new = stage(step.join(far, "to").select("node", F.least("to", "far").alias("label"), F.col("label").alias("old")), "labels")
+        release(labels, step)
         if new.where("label <> old").isEmpty():
+            release(edges)
             return new.select("node", "label")
-        labels = new.select("node", "label")
+        labels = new

@@ -20,6 +20,7 @@ and it is kept. Columns other than id and text are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql.window import Window
 
 from pedalytics.llm import repeats, scan
 from pedalytics.llm.components import components
-from pedalytics.session import stage
+from pedalytics.session import release, stage
 
 SHINGLE = 5
 PERCENT = 80
@@ -143,7 +144,7 @@ def near_duplicates(
     classes = rows.where("n > 0 AND _id IS NOT NULL").groupBy("a", "b").agg(
         F.min(F.struct("_id", "_mark")).alias("head"), F.first("n").alias("n"), F.first("lists").alias("lists"))
     classes = stage(classes, "classes")
-    posted = classes.select("head._id", "head._mark", F.explode("lists").alias("key"))
+    posted = classes.select("head._id", "head._mark", "n", F.explode("lists").alias("key"))
     long_ = stage(posted.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "coordinate-lists")
     posted = stage(posted.join(long_, "key"), "postings")
     among = stage(
@@ -153,20 +154,26 @@ def near_duplicates(
     length = stage(length.withColumnRenamed("m", "total"), "list-lengths")
     pivots = posted.join(length, ["_id", "_mark"]).groupBy("key").agg(
         F.max(F.struct("total", (-F.col("_id")).alias("back"), "_mark")).alias("p"))
-    pivots = stage(pivots, "pivots").select("key", (-F.col("p.back")).alias("y"), F.col("p._mark").alias("ym"))
+    pivot_table = stage(pivots, "pivots")
+    pivots = pivot_table.select("key", (-F.col("p.back")).alias("y"), F.col("p._mark").alias("ym"))
     hits = posted.join(pivots, "key").where("_id <> y").groupBy("_id", "_mark", "y", "ym").count()
     best = hits.groupBy("_id", "_mark").agg(F.max(F.struct("count", "y", "ym")).alias("p"))
     best = best.select(F.col("_id").alias("x"), F.col("_mark").alias("xm"), "p.y", "p.ym")
-    links = stage(confirmed(best, among, k, percent), "pivot-links")
+    first_links = stage(confirmed(best, among, k, percent), "pivot-links")
+    release(long_, length, pivot_table)
 
-    found = components(links)
+    found = components(first_links)
+    # Sets that may be linked are of one size band, or of neighbouring ones: band b + 1 begins 100 / percent times higher.
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent + 1e-9)).cast("int")
     labelled = posted.join(found, posted["_id"] == found["node"], "left").select(
-        "key", "_id", "_mark", F.coalesce("label", "_id").alias("label"))
-    open_ = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    open_ = stage(open_.select("key"), "open-lists")
-    active = stage(labelled.join(open_, "key").select("_id", "_mark", "label").distinct(), "open-classes")
+        "key", "_id", "_mark", F.coalesce("label", "_id").alias("label"), F.explode(F.array(band, band + 1)).alias("band"))
+    open_ = labelled.groupBy("key", "band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    open_ = stage(open_.select("key", "band"), "open-lists")
+    active = stage(labelled.join(open_, ["key", "band"]).select("_id", "_mark", "label").distinct(), "open-classes")
+    release(posted)
     links = stage(
-        confirmed(prefix_pairs(among, active, k, percent), among, k, percent).unionByName(links), "all-links")
+        confirmed(prefix_pairs(among, active, k, percent), among, k, percent).unionByName(first_links), "all-links")
+    release(among, open_, active, first_links)
     found = components(links)
 
     class_ids = classes.select("a", "b", F.col("head._id").alias("low"))

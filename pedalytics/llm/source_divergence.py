@@ -2,7 +2,7 @@
 
 Within a language every source has a column: its count of each term of the vocabulary. The vocabulary
 is ordered so that equal counts stand together (terms of one profile, that is with the same count in
-every source, are neighbours, and profiles are sorted), dealt out in blocks of that order, and each
+every source, are neighbours, and profiles are sorted by total and count), dealt out in blocks of that order, and each
 column of a block is run-length encoded. For two sources the run boundaries are intersected: between
 two boundaries both counts stay, so the divergence of one term counts as often as the stretch is long.
 Block sums of a pair are added up.
@@ -143,8 +143,10 @@ def intersected(size: int, a: tuple, whole_a: int, b: tuple, whole_b: int) -> in
 
 def pair_sums(kept: DataFrame, groups: DataFrame, block: int = BLOCK) -> DataFrame:
     """(lang, a, b, value) for a < b with vocabulary; ``groups``: (lang, source, whole)."""
-    clusters = kept.groupBy("lang", "profile").agg(F.count(F.lit(1)).alias("terms"))
-    ordered = clusters.repartitionByRange("lang", "profile").sortWithinPartitions("lang", "profile")
+    clusters = kept.groupBy("lang", "profile").agg(F.count(F.lit(1)).alias("terms"), F.first("total").alias("total"))
+    # Dealt out by total count, so that the driver samples narrow keys; ordered by profile within.
+    clusters = clusters.repartitionByRange("lang", "total", F.xxhash64("profile"))
+    ordered = clusters.drop("total").sortWithinPartitions("lang", "profile")
     # The low 33 bits are the place in the partition; a block never leaves its partition.
     ordered = ordered.withColumn("at", F.monotonically_increasing_id())
     first = F.col("at") - F.pmod(F.col("at").bitwiseAND((1 << 33) - 1), F.lit(block))
