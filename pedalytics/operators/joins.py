@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pedalytics.schemas import LINEAGE
+from pedalytics.session import stage
 
 
 def unseen(source: DataFrame, target: DataFrame | None, keys: Sequence[str] = LINEAGE) -> DataFrame:
@@ -22,6 +23,41 @@ def unseen(source: DataFrame, target: DataFrame | None, keys: Sequence[str] = LI
     return source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
 
 
+def open_files(source: DataFrame, target: DataFrame, file: str, row: str) -> DataFrame:
+    """(file, partly): files whose rows are not the same in both; ``partly`` if the target has some of them.
+
+    A file's rows are compared by their number and the exclusive or of their hashes, which both sides
+    combine before the shuffle: of a target of any size one small row a file moves.
+    """
+    def digest(df: DataFrame) -> DataFrame:
+        return df.filter(F.col(file).isNotNull()).groupBy(file).agg(
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(row)).alias("rows"), F.count_if(F.col(row).isNull()).alias("nulls"))
+
+    there = digest(target).select(F.col(file).alias("_file"), F.col("n").alias("_n"), F.col("rows").alias("_rows"))
+    both = digest(source).join(there, F.col(file) == F.col("_file"), "left")
+    same = (F.col("n") == F.col("_n")) & (F.col("rows") == F.col("_rows")) & (F.col("nulls") == 0)
+    return both.filter(~F.coalesce(same, F.lit(False))).select(file, F.col("_n").isNotNull().alias("partly"))
+
+
+def unseen_by_file(source: DataFrame, target: DataFrame | None, file: str = LINEAGE[0], row: str = LINEAGE[1]) -> DataFrame:
+    """As ``unseen`` on (file, row), for loads that touch few of the target's files.
+
+    Files the target holds already are left out as a whole, the rows of new files need no join with
+    the target at all, and only of files that are partly there the target's keys are read and shuffled.
+    The list of files is a stored table, so the planner broadcasts it by its true size.
+    """
+    if target is None:
+        return source
+    files = stage(open_files(source, target, file, row), "open-files")
+    partly, new = files.filter("partly").select(file), files.filter("NOT partly").select(file)
+    out = source.join(new, file, "left_semi").select(*source.columns)
+    if not partly.isEmpty():
+        known = target.select(file, row).join(partly, file, "left_semi")
+        some = source.join(partly, file, "left_semi").select(*source.columns)
+        out = out.unionByName(unseen(some, known, (file, row)))
+    return out.unionByName(source.filter(F.col(file).isNull()))
+
+
 def attach_key(
     df: DataFrame, dim: DataFrame, name: Column, dim_name: str, dim_key: str, out: str
 ) -> DataFrame:

@@ -119,16 +119,23 @@ def pending_files(manifest: DataFrame, log: DataFrame, region: str = "all") -> D
 
 
 def work_queue(
-    manifest: DataFrame, log: DataFrame, region: str = "all", max_attempts: int | None = None
+    manifest: DataFrame,
+    log: DataFrame,
+    region: str = "all",
+    max_attempts: int | None = None,
+    reset_failed: bool = False,
+    force: bool = False,
 ) -> DataFrame:
     """Parts to load now, each with the number of its next attempt.
 
-    With ``max_attempts``, a part that failed so often is given up.
+    With ``max_attempts``, a part that failed so often is given up, unless ``reset_failed``. ``force``
+    takes parts that were loaded before, too.
     """
-    again = F.lit(True) if max_attempts is None else next_attempt(F.col("last_attempt")) <= max_attempts
+    within = F.lit(True) if max_attempts is None else next_attempt(F.col("last_attempt")) <= max_attempts
+    pending = is_pending(F.col("last_status")) & (F.lit(reset_failed) | within)
     return (
         _with_last_attempt(for_region(manifest, region), log)
-        .filter(is_pending(F.col("last_status")) & again)
+        .filter(F.lit(force) | pending)
         .select(
             "output_file",
             "region",

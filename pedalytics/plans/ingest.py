@@ -1,12 +1,25 @@
-"""Batch ingest: pending parts to staging tables, with one log row per attempt."""
+"""Batch ingest: pending parts to staging tables, with one log row per attempt.
+
+The log is the commit. A run writes the rows of its parts to a folder of its own in the staging table
+(``_load=<start of the run in microseconds>``), and only then the log rows, as one file. Rows count
+only if the log has a success of that run for their part (``committed``); so what a run that broke
+off has left behind, or what belongs to a part that failed, is never seen, and the parts are simply
+taken up again. Of several successes of a part the last one counts.
+
+All parts of a table are read in one scan. If it breaks, each part is opened by itself in a
+distributed check, parts that cannot be read are logged as failed, and the rest is scanned once
+more; a failure that no part explains (a full disk, lost permissions) ends the run and blames none.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import itertools
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,17 +28,11 @@ from pedalytics.config import LAYOUT_OF_TABLE
 from pedalytics.functions import text, time
 from pedalytics.plans import audit
 from pedalytics.schemas import INGEST_LOG
-from pedalytics.sources import csv_parts
+from pedalytics.session import release, stage
+from pedalytics.sources import csv_parts, files
 
+SLICE = 5_000  # parts whose names the driver holds at a time
 TRIGGERED_BY = "ingest"
-_OUTCOME = T.StructType(
-    [
-        T.StructField("output_file", T.StringType()),
-        T.StructField("rows_loaded", T.LongType()),
-        T.StructField("errors_seen", T.LongType()),
-        T.StructField("load_error", T.StringType()),
-    ]
-)
 
 
 @dataclass(frozen=True)
@@ -45,54 +52,115 @@ class IngestResult:
         )
 
 
-def batch_id(parts: Sequence[Row]) -> str:
-    """Name of a load: the same parts at the same attempt always give the same name."""
-    names = sorted(f"{r['output_file']}#{r['attempt']}" for r in parts)
-    return hashlib.md5("\n".join(names).encode()).hexdigest()[:16]
+def load_id(started: dt.datetime) -> int:
+    """Name of a run: its start in microseconds, which its log rows carry as well."""
+    return (started - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
+def committed(log: DataFrame) -> DataFrame:
+    """(_load, _source_file) of the last success of each part."""
+    done = log.filter(F.col("status") == "SUCCESS").groupBy("output_file").agg(F.max("started_at_utc").alias("at"))
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', at)")
+    return done.select(micros.alias("_load"), _label().alias("_source_file"))
+
+
+def _label():
+    return csv_parts.source_label(F.concat(F.lit("/"), F.col("output_file")))
+
+
+def visible(staged: DataFrame, log: DataFrame) -> DataFrame:
+    """Good rows of a staging table that the log has committed; ``_load`` prunes the folders of other runs."""
+    good = staged.filter(~F.col("_rejected"))
+    return good.join(committed(log), ["_load", "_source_file"], "left_semi").drop("_rejected", "_load")
+
+
+def unreadable(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Parts that cannot be opened or unpacked to their end, with the reason; one task opens some of them.
+
+    Only what is wrong with the part itself counts: it is not there, or its bytes are no gzip stream.
+    Any other failure is raised.
+    """
+
+    def fault(path: str) -> str | None:
+        try:
+            with files.open_stream(path) as stream:
+                if not path.endswith(".gz"):
+                    return None
+                packed, empty = zlib.decompressobj(31), True
+                while block := stream.read(1 << 20):
+                    empty = False
+                    while block:
+                        packed.decompress(block)
+                        block = packed.unused_data
+                        if packed.eof and block:
+                            packed = zlib.decompressobj(31)
+                return None if packed.eof or empty else "the part ends within its gzip stream"
+        except FileNotFoundError:
+            return "the part is not there"
+        except zlib.error as e:
+            return f"the part is no gzip stream: {e}"
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fault(n) for n in names], pa.string())], names=["path", "fault"])
+
+    tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks)
+    found = listed.mapInArrow(check, "path string, fault string").filter("fault IS NOT NULL")
+    return {r["path"]: r["fault"] for r in found.collect()}  # at most the parts of a slice
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def load_layout(
-    spark: SparkSession, parts: Sequence[Row], inbox: str, table_path: str, layout: str
-) -> Iterator[tuple[DataFrame | None, str | None, Sequence[Row]]]:
-    """Load parts of one layout in a single scan; yields (rows written, error, parts) per batch.
+    spark: SparkSession, parts: Sequence[Row], inbox: str, table_path: str, layout: str, load: int
+) -> DataFrame:
+    """Write the rows of ``parts`` of one layout to the run's folder; what became of each part.
 
-    Good and rejected rows go to the table in one pass, apart by the partition ``_rejected``. A
-    batch writes to a folder named after it, so repeating one that broke off replaces its own rows.
-    If the scan fails, the batch is halved until the unreadable part stands alone.
+    Good and rejected rows are written in one pass, apart by the partition ``_rejected``.
     """
-    folder = f"{table_path}/_batch={batch_id(parts)}"
-    try:
-        typed = csv_parts.read_parts(spark, [f"{inbox}/{r['output_file']}" for r in parts], layout)
+    folder = f"{table_path}/_load={load}"
+    faults: dict[str, str] = {}
+
+    def scan(names: Sequence[str]) -> DataFrame:
+        typed = csv_parts.read_parts(spark, [f"{inbox}/{n}" for n in names], layout)
         rejected = F.col("_error").isNotNull().alias("_rejected")
-        typed.select("*", rejected).write.mode("overwrite").partitionBy("_rejected").parquet(folder)
-        yield spark.read.schema(typed.schema).parquet(folder), None, parts
-    except Exception as failure:  # noqa: BLE001 - whatever broke is written to the log
-        if len(parts) == 1:
-            yield None, str(failure), parts
-            return
-        middle = len(parts) // 2
-        for half in (parts[:middle], parts[middle:]):
-            yield from load_layout(spark, half, inbox, table_path, layout)
-
-
-def _outcomes(
-    spark: SparkSession, written: DataFrame | None, error: str | None, parts: Sequence[Row]
-) -> DataFrame:
-    names = spark.createDataFrame([(r["output_file"],) for r in parts], "output_file string")
+        typed.select("*", rejected).write.mode("append").partitionBy("_rejected").parquet(folder)
+        return spark.read.schema(typed.schema).parquet(folder)
+
+    names = [r["output_file"] for r in parts]
+    written = None
+    try:
+        written = scan(names)
+    except Exception:
+        root = _qualified(spark, inbox)
+        found = unreadable(spark, [f"{root}/{n}" for n in names])
+        faults = {n: found[f"{root}/{n}"] for n in names if f"{root}/{n}" in found}
+        if not faults:
+            raise  # no part is to blame
+        names = [n for n in names if n not in faults]
+        if names:
+            written = scan(names)
+    bad = _outcomes(spark, None, [(n, e) for n, e in faults.items()])
+    return bad if written is None else bad.unionByName(_outcomes(spark, written, [(n, None) for n in names]))
+
+
+def _outcomes(spark: SparkSession, written: DataFrame | None, parts: Sequence[tuple[str, str | None]]) -> DataFrame:
+    """One row for each of ``parts`` (name, error): rows loaded and rejected."""
+    names = spark.createDataFrame(parts, "output_file string, load_error string")
+    none = F.lit(0).cast("long")
     if written is None:
-        return names.select(
-            "output_file",
-            F.lit(0).cast("long").alias("rows_loaded"),
-            F.lit(0).cast("long").alias("errors_seen"),
-            F.lit(error).alias("load_error"),
-        )
-    label = csv_parts.source_label(F.concat(F.lit("/"), F.col("output_file")))
-    counts = csv_parts.load_counts(written).withColumnRenamed("_source_file", "_label")
+        return names.select("output_file", none.alias("rows_loaded"), none.alias("errors_seen"), "load_error")
+    counts = csv_parts.load_counts(written).withColumnRenamed("_source_file", "_counted")
     misnumbered = F.when(~F.col("numbered"), "rows of the file are not numbered from 1")
-    return names.join(counts, label == F.col("_label"), "left").select(
+    return names.join(counts, _label() == F.col("_counted"), "left").select(
         "output_file",
-        F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
-        F.coalesce("errors_seen", F.lit(0)).alias("errors_seen"),
+        F.coalesce("rows_loaded", none).alias("rows_loaded"),
+        F.coalesce("errors_seen", none).alias("errors_seen"),
         misnumbered.alias("load_error"),
     )
 
@@ -143,45 +211,85 @@ def ingest(
     log_path: str,
     region: str = "all",
     max_attempts: int | None = None,
+    reset_failed: bool = False,
+    force: bool = False,
 ) -> IngestResult:
     """Load all pending parts of ``region`` found below ``inbox``.
 
-    ``max_attempts`` leaves out parts that failed so often; without it every pending part is tried.
+    ``max_attempts`` leaves out parts that failed so often, unless ``reset_failed``; without it every
+    pending part is tried. ``force`` loads parts again that were loaded before: their new rows take
+    the place of the old ones once they are loaded.
 
     ``table_path(schema, table)`` names the folder of a staging table. Parts are scanned together
-    per target table, not one by one; only their names pass through the driver, to build the scans.
+    per target table, in slices of which the driver holds the names; each slice is committed alone.
     """
-    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    queue = audit.work_queue(manifest, log, region, max_attempts)
-    parts = queue.orderBy("region", "sf_table", "output_file").collect()
-    skipped = audit.for_region(manifest, region).count() - len(parts)
-    if not parts:
-        return IngestResult(region, 0, 0, 0, skipped)
-
-    outcomes = spark.createDataFrame([], _OUTCOME)
-    targets = sorted({(r["sf_schema"] or "", r["sf_table"] or "") for r in parts})
-    for schema, table in targets:
-        mine = [r for r in parts if (r["sf_schema"] or "", r["sf_table"] or "") == (schema, table)]
-        layout = LAYOUT_OF_TABLE.get(table)
-        if layout is None:
-            message = f"no column layout for table '{table}'"
-            outcomes = outcomes.unionByName(_outcomes(spark, None, message, mine))
-            continue
-        for written, error, batch in load_layout(
-            spark, mine, inbox, table_path(schema, table), layout
-        ):
-            outcomes = outcomes.unionByName(_outcomes(spark, written, error, batch))
+    queue = audit.work_queue(manifest, log, region, max_attempts, reset_failed, force)
+    queue = stage(queue, "work-queue")
+    total = queue.count()
+    skipped = audit.for_region(manifest, region).count() - total
+    done = dict.fromkeys(("SUCCESS", "FAILED"), 0)
+    pending = queue.orderBy("region", "sf_schema", "sf_table", "output_file").toLocalIterator()
+    for target, rows in itertools.groupby(pending, lambda r: (r["sf_schema"] or "", r["sf_table"] or "")):
+        while parts := list(itertools.islice(rows, SLICE)):
+            for r in _load_slice(spark, parts, queue.schema, target, inbox, table_path, log_path):
+                done[r["status"]] += r["count"]
+    release(queue)
+    return IngestResult(region, total, done["SUCCESS"], done["FAILED"], skipped)
+
 
-    numbered = T.StructType([*queue.schema.fields, T.StructField("_position", T.LongType())])
+def _load_slice(
+    spark: SparkSession, parts: list[Row], schema: T.StructType, target: tuple[str, str], inbox: str, table_path, log_path: str
+) -> list[Row]:
+    """Load and commit ``parts`` of one table; how many succeeded and failed."""
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    layout = LAYOUT_OF_TABLE.get(target[1])
+    if layout is None:
+        message = f"no column layout for table '{target[1]}'"
+        outcomes = _outcomes(spark, None, [(r["output_file"], message) for r in parts])
+    else:
+        outcomes = load_layout(spark, parts, inbox, table_path(*target), layout, load_id(started))
+    numbered = T.StructType([*schema.fields, T.StructField("_position", T.LongType())])
     attempts = spark.createDataFrame([(*r, n) for n, r in enumerate(parts)], numbered)
-    first_id = int(started.timestamp() * 1_000_000)
-    rows = log_rows(attempts, outcomes, started, first_id)
-    rows.write.mode("append").parquet(log_path)
-    done = (
-        spark.read.schema(INGEST_LOG)
-        .parquet(log_path)
-        .filter(F.col("started_at_utc") == F.lit(started))
-        .agg(F.count_if(F.col("status") == "SUCCESS").alias("ok"), F.count(F.lit(1)).alias("all"))
-        .first()
-    )
-    return IngestResult(region, done["all"], done["ok"], done["all"] - done["ok"], skipped)
+    rows = stage(log_rows(attempts, outcomes, started, load_id(started)), "log-rows")
+    rows.coalesce(1).write.mode("append").parquet(log_path)  # one file: the commit
+    counts = rows.groupBy("status").count().collect()
+    release(rows)
+    return counts
+
+
+def uncommitted(spark: SparkSession, table_path: str, log: DataFrame) -> list[str]:
+    """Folders of runs that the log does not know: what is left of runs that broke off, or is being written."""
+    known = {r["_load"] for r in committed_loads(log).collect()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [str(x.getPath().toString()) for x in store.listStatus(root)] if store.exists(root) else []
+    loads = [p for p in found if p.rpartition("/")[2].startswith("_load=")]
+    return [p for p in loads if int(p.rpartition("=")[2]) not in known]
+
+
+def committed_loads(log: DataFrame) -> DataFrame:
+    """(_load) of all runs in the log."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', started_at_utc)")
+    return log.select(micros.alias("_load")).distinct()
+
+
+def archive_loaded(spark: SparkSession, log: DataFrame, inbox: str, archive: str | None = None) -> int:
+    """Move parts whose last attempt was a success from ``inbox`` to ``archive`` (None: delete them).
+
+    It goes by the log, so it can be repeated after a crash: parts already moved are not there any more.
+    """
+    done = audit.latest_status(log).filter(F.col("status") == "SUCCESS").select("output_file")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    store, moved = path(inbox).getFileSystem(conf), 0
+    for (name,) in done.toLocalIterator():
+        part = path(f"{inbox}/{name}")
+        if not store.exists(part):
+            continue
+        if archive is None:
+            moved += bool(store.delete(part, False))
+            continue
+        to = path(f"{archive}/{name}")
+        store.mkdirs(to.getParent())
+        moved += bool(store.rename(part, to))
+    return moved

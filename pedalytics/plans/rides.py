@@ -17,7 +17,7 @@ from pedalytics.config import (
     Compat,
 )
 from pedalytics.functions import ride, text, time
-from pedalytics.operators.joins import attach_key, unseen
+from pedalytics.operators.joins import attach_key, unseen_by_file
 from pedalytics.operators.unify import trip_key
 
 
@@ -47,7 +47,7 @@ def fact_ride(
     compat: Compat = Compat(),
 ) -> DataFrame:
     """Rides not yet in ``existing``; trips at unknown stations stay, with a null station key."""
-    rows = unseen(qualifying(trips, start, end), existing)
+    rows = unseen_by_file(qualifying(trips, start, end), existing)
     for side in ("start", "end"):
         name = text.canonical_name(F.col(f"{side}_station_name"))
         rows = attach_key(

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 
 from pedalytics import config, schemas
 from pedalytics.config import LAYOUTS, NYC, REGIONS, TABLE_OF_LAYOUT, Compat, Region
-from pedalytics.operators.joins import unseen
+from pedalytics.operators.joins import unseen_by_file
 from pedalytics.operators.unify import to_unified, union_layouts
 from pedalytics.plans import audit, calendar, reports, rides, stations
-from pedalytics.plans.ingest import IngestResult, ingest
+from pedalytics.plans.ingest import IngestResult, archive_loaded, ingest, uncommitted, visible
+from pedalytics.session import delete
 from pedalytics.sinks import tables as sink
 from pedalytics.sinks.tables import Written
 
@@ -47,16 +48,19 @@ class Warehouse:
         return None if columns is None else self.spark.createDataFrame([], columns)
 
     def staging(self, region: Region, layout: str) -> DataFrame:
-        """Good rows of a staging table."""
+        """Good rows of a staging table that the log has committed."""
         columns = T.StructType(
             [
                 *schemas.LAYOUT_SCHEMA[layout].fields,
                 *schemas.STAGING_META.fields,
+                T.StructField("_load", T.LongType()),
                 T.StructField("_rejected", T.BooleanType()),
             ]
         )
-        rows = self._read(region.staging_schema, TABLE_OF_LAYOUT[layout], columns)
-        return rows.filter(~F.col("_rejected")).drop("_rejected", "_batch")
+        table = TABLE_OF_LAYOUT[layout]
+        rows = self._read(region.staging_schema, table, columns)
+        mine = (F.col("sf_schema") == region.staging_schema) & (F.col("sf_table") == table)
+        return visible(rows, self.log().filter(mine))
 
     def manifest(self) -> DataFrame:
         return self._read("LOGGING", "STAGE_MANIFEST", schemas.STAGE_MANIFEST)
@@ -87,7 +91,12 @@ class Warehouse:
         return sink.write(audit.new_manifest_rows(rows, known), path, "STAGE_MANIFEST", mode)
 
     def ingest(
-        self, inbox: str, region: str = "all", max_attempts: int | None = None
+        self,
+        inbox: str,
+        region: str = "all",
+        max_attempts: int | None = None,
+        reset_failed: bool = False,
+        force: bool = False,
     ) -> IngestResult:
         result = ingest(
             self.spark,
@@ -98,10 +107,24 @@ class Warehouse:
             self.path("LOGGING", "INGEST_LOG"),
             region,
             max_attempts,
+            reset_failed,
+            force,
         )
         self._refresh_views()
         return result
 
+    def archive_loaded(self, inbox: str, archive: str | None = None) -> int:
+        """Move the parts that are loaded out of ``inbox`` (None: delete them); how many there were."""
+        return archive_loaded(self.spark, self.log(), inbox, archive)
+
+    def drop_uncommitted(self, region: Region, layout: str) -> int:
+        """Delete what runs that broke off have left in a staging table; not while an ingest runs."""
+        path = self.path(region.staging_schema, TABLE_OF_LAYOUT[layout])
+        left = uncommitted(self.spark, path, self.log())
+        for folder in left:
+            delete(self.spark, folder)
+        return len(left)
+
     def load_layout(
         self, region: Region, layout: str, files: Sequence[str] | None = None
     ) -> Written:
@@ -109,7 +132,7 @@ class Warehouse:
         return self._load(to_unified(self._of_files(self.staging(region, layout), files), layout), region)
 
     def load_trips(self, region: Region, files: Sequence[str] | None = None) -> Written:
-        """Append the new trips of all three layouts in one pass over the target's keys."""
+        """Append the new trips of all three layouts ; of the target only one row a file is shuffled."""
         staged = {x: self._of_files(self.staging(region, x), files) for x in LAYOUTS}
         return self._load(union_layouts(staged), region)
 
@@ -124,7 +147,7 @@ class Warehouse:
     def _load(self, trips: DataFrame, region: Region) -> Written:
         target = self._read(region.staging_schema, "TRIPS_ALL")
         path = self.path(region.staging_schema, "TRIPS_ALL")
-        return sink.append(unseen(trips, target), path, "TRIPS_ALL")
+        return sink.append(unseen_by_file(trips, target), path, "TRIPS_ALL")
 
     def build_dates(self) -> Written:
         """Rebuild the calendar and give every region the same one."""

@@ -56,7 +56,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return staged
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -67,13 +68,13 @@ def release(*frames: DataFrame) -> None:
         path = getattr(df, "staged_at", None)
         if path in _STAGED:
             _STAGED.remove(path)
-            _delete(df.sparkSession, path)
+            delete(df.sparkSession, path)
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete the tables staged by this process; frames built on them can no longer be read."""
     while _STAGED:
-        _delete(spark, _STAGED.pop())
+        delete(spark, _STAGED.pop())
 
 
 def one_file_per_task(spark: SparkSession) -> SparkSession:

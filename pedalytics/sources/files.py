@@ -83,20 +83,21 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return found.select("path", F.col("length").alias("size_bytes"), "modificationTime")
 
 
-def _open(path: str):
+def open_stream(path: str):
+    """The bytes of a file as they are stored."""
     from pyarrow import fs
 
     if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_stream(path.removeprefix("file:").replace("//", "/"))
+        return fs.LocalFileSystem().open_input_stream(path.removeprefix("file:").replace("//", "/"), compression=None)
     store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return store.open_input_stream(inner)
+    return store.open_input_stream(inner, compression=None)
 
 
 def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     csv.field_size_limit(1 << 31)
 
     def head(path: str) -> list[str] | None:
-        with _open(path) as stream:
+        with open_stream(path) as stream:
             lines = io.TextIOWrapper(stream, "utf-8", errors="replace", newline="")
             return next(csv.reader(lines), None) or None
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pedalytics.functions import text
-from pedalytics.operators.joins import unseen
+from pedalytics.functions import text, time
+from pedalytics.operators.joins import unseen_by_file
 from pedalytics.operators.unify import to_unified
 from pedalytics.schemas import LAYOUT_SCHEMA, TRIPS_ALL
-from pedalytics.session import one_file_per_task
+from pedalytics.session import one_file_per_task, release, stage
 from pedalytics.sources import csv_parts
 
 
@@ -36,15 +37,19 @@ def stream_parts(spark: SparkSession, folder: str, layout: str, archive: str | N
     return reader.csv(folder).select("*", F.col("_metadata.file_path").alias("_path"))
 
 
-def load_batch(layout: str, target: str, rejected: str) -> Callable[[DataFrame, int], None]:
+def load_batch(
+    layout: str, target: str, rejected: str, log: str, stream: str = "0"
+) -> Callable[[DataFrame, int], None]:
     """Batch function: number, type and unify the rows, then append those the target lacks.
 
-    Rows with fields that do not read go to ``rejected``, with the names of these fields in ``_error``.
-    A batch that is repeated after a failure, or a whole stream restarted without its checkpoint,
-    adds nothing twice: the anti-join on lineage decides, not the stream's own progress.
+    The files of a batch are parsed once, to a stored table that is gone when the batch is done. Rows
+    with fields that do not read go to ``rejected``, with the names of these fields in ``_error``. A batch
+    that is repeated after a failure, or a whole stream restarted without its checkpoint, adds nothing
+    twice: the anti-join on lineage decides, not the stream's own progress. Last, one row a file goes to
+    ``log``, in a folder named by stream and batch, so a repeat replaces it.
     """
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
+    def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         position = F.monotonically_increasing_id().bitwiseAND((1 << csv_parts.ROW_BITS) - 1) + 1
         raw = batch.select(
@@ -52,13 +57,19 @@ def load_batch(layout: str, target: str, rejected: str) -> Callable[[DataFrame,
             csv_parts.source_label(F.col("_path")).alias("_source_file"),
             position.alias("_source_row_number"),
         )
-        typed = csv_parts.typed_parts(raw, layout)
+        typed = stage(csv_parts.typed_parts(raw, layout), "stream-batch")
         bad = typed.filter(F.col("_error").isNotNull())
         known = spark.read.schema(typed.schema).option("ignoreMissingFiles", True).parquet(rejected)
-        unseen(bad, known).write.mode("append").parquet(rejected)
+        unseen_by_file(bad, known).write.mode("append").parquet(rejected)
         trips = to_unified(csv_parts.good_rows(typed), layout)
         existing = spark.read.schema(TRIPS_ALL).option("ignoreMissingFiles", True).parquet(target)
-        unseen(trips, existing).write.mode("append").parquet(target)
+        unseen_by_file(trips, existing).write.mode("append").parquet(target)
+        nothing = (F.col("rows_loaded") == 0) & (F.col("errors_seen") > 0)
+        files = csv_parts.load_counts(typed).select(
+            "_source_file", F.when(nothing, "FAILED").otherwise("SUCCESS").alias("status"), "rows_loaded", "errors_seen",
+            time.now().alias("ended_at_utc"))
+        files.coalesce(1).write.mode("overwrite").parquet(f"{log}/_stream={stream}/_batch={batch_id}")
+        release(typed)
 
     return load
 
@@ -71,18 +82,22 @@ def start_incremental_load(
     checkpoint: str,
     archive: str | None = None,
     rejected: str | None = None,
+    log: str | None = None,
 ) -> StreamingQuery:
     """Load whatever is new in ``folder`` into ``target`` and stop; run it again for the next files.
 
-    Rejected rows are kept in ``rejected``, by default the folder ``<target>_rejected``.
+    Rejected rows are kept in ``rejected``, by default the folder ``<target>_rejected``, and one row a
+    file and batch in ``log``, by default ``<target>_log``.
     """
     rejected = rejected or f"{target.rstrip('/')}_rejected"
+    log = log or f"{target.rstrip('/')}_log"
     none = csv_parts.typed_parts(spark.createDataFrame([], csv_parts.raw_schema(layout)), layout)
     none.write.mode("append").parquet(rejected)
     spark.createDataFrame([], TRIPS_ALL).write.mode("append").parquet(target)
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
     return (
         stream_parts(spark, folder, layout, archive)
-        .writeStream.foreachBatch(load_batch(layout, target, rejected))
+        .writeStream.foreachBatch(load_batch(layout, target, rejected, log, stream))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -360,6 +360,13 @@ _PENDING = """SELECT m.output_file, m.region, m.sf_schema, m.sf_table, m.gzip_si
   l.ended_at_utc AS last_attempt_at
 FROM manifest m LEFT JOIN latest l USING (output_file) WHERE coalesce(l.status, 'PENDING') <> 'SUCCESS'"""
 
+_COUNTED = """counted AS (
+          SELECT CASE WHEN l_partkey % 3 = 0 THEN 'STAGING_JC' ELSE 'STAGING_NYC' END AS sf_schema,
+            'TRIPS_LEGACY_V2' AS sf_table, count(*) AS n FROM lineitem GROUP BY 1
+          UNION ALL
+          SELECT CASE WHEN event_id % 3 = 0 THEN 'STAGING_JC' ELSE 'STAGING_NYC' END, 'TRIPS_MODERN', count(*)
+          FROM events GROUP BY 1)"""
+
 _DIM_COLUMNS = "SELECT * FROM dim"
 _STATION_COLUMNS = """SELECT station_name, station_lat, station_lng, availability, total_departures,
   total_arrivals, total_activity, net_flow, flow_type, avg_departure_duration_min, departure_rank,
@@ -548,4 +555,56 @@ ORACLE: dict[str, str] = {
           CAST(sum(n) OVER (PARTITION BY sf_schema) AS BIGINT) AS unified, 0::BIGINT AS added_again FROM counted""",
     "incremental_stream": f"""WITH {_trips()} SELECT member_casual, count(*) AS trips, count(*) AS expected_trips,
         CAST(sum(date_diff('second', started_at, ended_at)) AS BIGINT) AS seconds FROM modern GROUP BY 1""",
+    "ingest_recovery": f"""WITH {_COUNTED} SELECT sf_schema, sf_table, n AS log_rows_loaded, n AS actual_row_count,
+          0::BIGINT AS discrepancy, CAST(sum(n) OVER (PARTITION BY sf_schema) AS BIGINT) AS unified,
+          0::BIGINT AS rows_before_commit, 1::BIGINT AS failed_first, 1::BIGINT AS tried_again, 1::BIGINT AS failed_again,
+          1::BIGINT AS left_behind, 1::BIGINT AS dropped, 0::BIGINT AS added_again FROM counted""",
+    "ingest_forced": f"""WITH {_COUNTED} SELECT sf_schema, sf_table, n AS actual_row_count, 2::BIGINT AS attempts,
+          0::BIGINT AS failed, 0::BIGINT AS skipped, 0::BIGINT AS added FROM counted""",
+    "ingest_archive": f"""WITH {_COUNTED} SELECT CASE sf_schema WHEN 'STAGING_JC' THEN 'jersey_city' ELSE 'nyc' END AS region,
+          CASE sf_table WHEN 'TRIPS_MODERN' THEN 'dc497b4333c4' ELSE 'e24ee8457e0e' END AS schema_key, n AS archived_rows,
+          TRUE AS all_moved, 0::BIGINT AS moved_again, 0::BIGINT AS left_in_inbox FROM counted""",
+    "stream_rejects": """SELECT count(*) FILTER (o_custkey % 50 <> 0) AS trips,
+          CAST(sum(o_custkey) FILTER (o_custkey % 50 <> 0) AS BIGINT) AS bikes,
+          count(*) FILTER (o_custkey % 50 = 0) AS rejected, 1::BIGINT AS kinds_of_error, 2::BIGINT AS streams,
+          count(*) FILTER (o_custkey % 50 <> 0) AS logged_least, count(*) FILTER (o_custkey % 50 <> 0) AS logged_most,
+          count(*) FILTER (o_custkey % 50 = 0) AS logged_errors, 0::BIGINT AS logged_twice FROM orders""",
+    "incremental_loads": f"""WITH {_trips()}, qualified AS (
+          SELECT * FROM trips WHERE trip_duration BETWEEN 60 AND 86400
+            AND started_at >= TIMESTAMP '2013-01-01' AND started_at < TIMESTAMP '2031-01-01'),
+        done AS (
+          SELECT {_LABEL} AS loaded, count(*) FILTER (year(started_at) < 2014) AS first,
+            count(*) FILTER (year(started_at) >= 2014) AS second, 0::BIGINT AS third FROM trips GROUP BY 1
+          UNION ALL SELECT 'FACT', count(*), 0, count(*) FROM qualified)
+        SELECT *, TRUE AS same_calendar FROM done""",
+    "read_manifest_file": f"""WITH {_PARTS} SELECT output_file, region, schema_key, gzip_size_bytes, source_file_count,
+        TRUE AS undated FROM part_manifest WHERE region = 'jersey_city'""",
+    "read_load_log_file": f"""WITH {_PARTS}, ordered AS (
+          SELECT *, row_number() OVER (PARTITION BY output_file ORDER BY attempt DESC, ended_at_utc DESC) AS nth FROM log)
+        SELECT output_file, region, attempt, status, strftime(ended_at_utc, '%Y-%m-%d %H:%M:%S') AS ended_at_utc
+        FROM ordered WHERE nth = 1""",
+    "read_index_file": """WITH entries AS (
+          SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'csv' ELSE 'zip' END AS file_format, strftime(o_orderdate, '%Y-%m') AS month,
+            CAST(round(o_totalprice * 100) AS BIGINT) AS size FROM orders)
+        SELECT file_format, month, count(*) AS archives, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS addressed,
+          count(*) AS named FROM entries GROUP BY 1, 2""",
+    "ridership_in_order": f"""WITH {_monthly()} SELECT row_number() OVER (ORDER BY year_month, member_casual NULLS FIRST) AS place,
+        year_month, member_casual, total_rides FROM monthly""",
+    "stations_in_order": f"""WITH {_flows(NYC)}, placed AS (
+          SELECT total_activity, row_number() OVER (ORDER BY total_activity DESC) AS place FROM flows)
+        SELECT total_activity, min(place) AS first_place, max(place) AS last_place FROM placed GROUP BY 1""",
+    "routes_in_order": f"""WITH {_routes(NYC)}, placed AS (
+          SELECT total_trips, row_number() OVER (ORDER BY total_trips DESC) AS place FROM routes)
+        SELECT total_trips, min(place) AS first_place, max(place) AS last_place FROM placed GROUP BY 1""",
+    "pending_in_order": f"""WITH {_PARTS} SELECT row_number() OVER (ORDER BY region, sf_table, output_file) AS place, output_file
+        FROM ({_PENDING})""",
+    "failed_in_order": f"""WITH {_PARTS}, placed AS (
+          SELECT ended_at_utc, row_number() OVER (ORDER BY ended_at_utc DESC) AS place FROM latest WHERE status = 'FAILED')
+        SELECT ended_at_utc, min(place) AS first_place, max(place) AS last_place FROM placed GROUP BY 1""",
+    "rides_by_hour": f"""WITH {_PLAIN_RIDES} SELECT hour(started_at) AS start_hour, rider AS member_casual,
+        count(*) AS rides FROM rides GROUP BY 1, 2""",
+    "load_stamps": f"""WITH {_trips()} SELECT _source_file, count(*) AS rows, 1::BIGINT AS stamps, count(*) AS of_now
+        FROM trips GROUP BY 1""",
+    "repeated_inventory": f"""WITH {_INVENTORY} SELECT file_type, region, count(*) AS files,
+        count(DISTINCT columns) AS schema_ids, count(DISTINCT schema_key) AS schema_keys FROM inventory GROUP BY 1, 2""",
 }

@@ -559,6 +559,102 @@ def incremental_stream(spark, sf_dir):
     return round_trips.stream_parts_twice(spark, sf_dir, MODERN)
 
 
+def ingest_recovery(spark, sf_dir):
+    """Ingest after a run that broke off between its rows and its log."""
+    return round_trips.ingest_after_a_crash(spark, sf_dir)
+
+
+def ingest_forced(spark, sf_dir):
+    """Ingest of all parts again by force; the last load takes the place of the first."""
+    return round_trips.ingest_by_force(spark, sf_dir)
+
+
+def ingest_archive(spark, sf_dir):
+    """Loaded parts moved out of the inbox, and read from the archive."""
+    return round_trips.archive_after_ingest(spark, sf_dir)
+
+
+def stream_rejects(spark, sf_dir):
+    """Rejected rows and the log of a stream, over a repeat and a fresh checkpoint."""
+    return round_trips.stream_with_rejects(spark, sf_dir)
+
+
+def read_manifest_file(spark, sf_dir):
+    return round_trips.manifest_file(spark, sf_dir)
+
+
+def read_load_log_file(spark, sf_dir):
+    return round_trips.load_log_file(spark, sf_dir)
+
+
+def read_index_file(spark, sf_dir):
+    return round_trips.index_file(spark, sf_dir)
+
+
+def incremental_loads(spark, sf_dir):
+    """Each layout and the fact loaded in two steps, repeated, and reloaded."""
+    return round_trips.loads_by_layout(spark, sf_dir)
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    """A report's rows with their place in its order."""
+    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def ridership_in_order(spark, sf_dir):
+    return in_order(ridership_over_time(spark, sf_dir)).select("place", "year_month", "member_casual", "total_rides")
+
+
+def stations_in_order(spark, sf_dir):
+    """The place of each activity figure in the report's order; stations that tie may stand in any order."""
+    rows = in_order(_top_stations(spark, sf_dir))
+    return rows.groupBy("total_activity").agg(F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+
+
+def routes_in_order(spark, sf_dir):
+    rows = in_order(_routes(spark, sf_dir))
+    return rows.groupBy("total_trips").agg(F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+
+
+def pending_in_order(spark, sf_dir):
+    return in_order(pending_files(spark, sf_dir)).select("place", "output_file")
+
+
+def failed_in_order(spark, sf_dir):
+    """Failed parts from the last on; those of one moment may stand in any order."""
+    rows = in_order(failed_files(spark, sf_dir))
+    return rows.groupBy("ended_at_utc").agg(F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+
+
+def rides_by_hour(spark, sf_dir):
+    """Rides of the fact by starting hour and rider type."""
+    trips = rides.qualifying(_trips(spark, sf_dir))
+    return trips.groupBy(
+        F.hour("started_at").alias("start_hour"), text.rider_type(F.col("member_casual")).alias("member_casual")
+    ).agg(F.count(F.lit(1)).alias("rides"))
+
+
+def load_stamps(spark, sf_dir):
+    """Load stamps are of now, in UTC, and one for all rows of a load."""
+    before = F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    after = F.current_timestamp() + F.expr("INTERVAL 1 HOUR")
+    stamp = F.to_timestamp(F.concat(F.col("_loaded_at_tbl").cast("string"), F.lit("Z")))
+    rows = _trips(spark, sf_dir).groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("_loaded_at_tbl").alias("stamps"),
+        F.count_if((stamp > before) & (stamp < after)).alias("of_now"))
+    return rows
+
+
+def repeated_inventory(spark, sf_dir):
+    """Files listed several times count once; equal headers have equal ids."""
+    files = source.raw_files(spark, sf_dir)
+    twice = files.unionByName(files.filter(F.col("size_bytes") % 3 == 0)).dropDuplicates(["relative_path"])
+    found = describe_files(twice)
+    return found.groupBy("file_type", "region").agg(
+        F.count(F.lit(1)).alias("files"), F.count_distinct("schema_id").alias("schema_ids"),
+        F.count_distinct("schema_key").alias("schema_keys"))
+
+
 def _named(*functions: Query) -> dict[str, Query]:
     return {f.__name__: f for f in functions}
 
@@ -582,6 +678,10 @@ QUERIES: dict[str, Query] = {
         schema_fingerprint, schema_signatures, common_schemas, bundle_structure, file_groups,
         size_audit, size_tolerance, missing_members,
         csv_ingest, csv_row_numbers, part_writer, staged_ingest, incremental_stream,
+        ingest_recovery, ingest_forced, ingest_archive, stream_rejects, incremental_loads,
+        read_manifest_file, read_load_log_file, read_index_file,
+        ridership_in_order, stations_in_order, routes_in_order, pending_in_order, failed_in_order,
+        rides_by_hour, load_stamps, repeated_inventory,
     ),
 }
 
