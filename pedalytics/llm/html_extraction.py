@@ -3,13 +3,18 @@
 A page is read as a sequence of text pieces and tags. Words score positive and tags negative; both
 weights come from labelled pages, those that mark their content with one ``article`` element: an
 element (name and first class) is worth the log odds that words below it are content, a tag the share
-in which it stands outside of content. One linear scan (the running sum, cut where it falls below
-zero) finds the best contiguous region; text under elements that are furniture by name (menus,
-adverts, forms, comments of readers and the like) neither counts nor is given out.
+in which it stands outside of content. Elements below one that is nearly never content are not blamed
+for it: a list in a menu says nothing of lists. Standing beside the page's one article is a feature
+like an element. What labels do not know gets a prior: ``PRIOR`` words outside for elements that HTML
+itself defines as other than content, else none. One linear scan (the running sum, cut where it falls
+below zero) finds the best contiguous region; of it, text below an element of log odds ``OUT`` or less
+is not given out.
 
-The training sample is bounded (``TRAIN`` pages); every page is extracted whole. Null and empty HTML
-give an empty text; a page without words too. Unclosed elements, comments and scripts end with the
-page. Repeated rows give the same text. Columns other than id, URL and HTML are ignored.
+The training sample is bounded (``TRAIN`` pages); every page is extracted whole, in time linear in its
+length however broken it is. Null and empty HTML give an empty text; a page without words too. Unclosed
+elements, comments and scripts end with the page; a tag that no ``>`` ends is text, and quotes that
+are never closed do not count. Of equally good regions the first is taken. Repeated rows give the same
+text. An empty table gives no rows. Columns other than id, URL and HTML are ignored.
 """
 
 from __future__ import annotations
@@ -17,33 +22,32 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pedalytics.session import release, stage
+
 TRAIN = 1000
-_PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)",
-    re.S | re.I,
-)
-_ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+PRIOR = 20  # words outside of content that an element of OTHER has before any label
+OUT = -1.0
+BESIDE = "beside the article"
+_NAME = re.compile(r"/?([A-Za-z][A-Za-z0-9:-]*)")
+_STOP = re.compile(r"[>\"']")
 _CLASS = re.compile(r"""\bclass\s*=\s*["']?\s*([^\s"'>]+)""", re.I)
+_ARTICLE = re.compile(r"<article\b", re.I)
 
-# Element names and name parts that mark page furniture, and the inline elements.
-FURNITURE = frozenset("nav footer header aside form button select option dialog menu head title noscript".split())
-FURNITURE_NAMES = frozenset(
-    "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus"
-    " footer form login menu modal nav navbar navigation newsletter notice notices pagination popup promo"
-    " related reply replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
-)
+# Elements that hold no text of the page, elements other than content, inline elements.
+RAW = frozenset("script style noscript template textarea svg iframe".split())
+OTHER = frozenset("nav footer header aside form button select option dialog menu head title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small"
     " span strike strong sub sup time tt u var wbr".split()
 )
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SELF_CLOSING = {"p": {"p"}, "li": {"li", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"},
                 "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}}
@@ -51,75 +55,155 @@ CLOSES_P = frozenset("article aside blockquote div dl fieldset footer form h1 h2
                      " pre section table ul".split())
 
 
-def _furniture(name: str, attributes: str) -> bool:
-    if name in FURNITURE:
-        return True
-    if name in ("html", "body", "article", "main") or "=" not in attributes:
-        return False
-    for found in _ATTRIBUTE.findall(attributes):
-        if any(w in FURNITURE_NAMES for w in re.split(r"[^a-z0-9]+", "".join(found).lower())):
-            return True
-    return False
-
-
-def pieces(page: str) -> Iterator[tuple]:
-    """("text", text, open elements, furniture?) and ("tag", name, block?, furniture?) in page order."""
-    stack: list[tuple[str, str, bool]] = []
-    below = 0
-    for m in _PIECE.finditer(page):
-        text = m[5]
-        if text is not None:
-            yield "text", text, stack, below > 0
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", text, ""), ("open", name, attributes) and ("close", name, "") in page order.
+
+    The scanner only moves forward: what is not found once to the end of the page is not looked for again.
+    """
+    at, size, more, quotes = 0, len(page), True, {'"', "'"}
+    while at < size:
+        start = page.find("<", at)
+        if start < 0 or not more:
+            yield "text", page[at:], ""
+            return
+        if start > at:
+            yield "text", page[at:start], ""
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = size if end < 0 else end + 3
             continue
-        name = m[3]
-        if name is None:
+        named = _NAME.match(page, start + 1)
+        if named is None and page[start + 1 : start + 2] not in ("!", "?"):
+            yield "text", "<", ""
+            at = start + 1
             continue
-        name = name.lower()
-        if not m[2]:
-            shut = SELF_CLOSING.get(name) or (("p",) if name in CLOSES_P else ())
-            while stack and stack[-1][0] in shut:
-                below -= stack.pop()[2]
-            marked = _furniture(name, m[4])
-            yield "tag", name, name not in INLINE, marked or below > 0
-            if name not in VOID and not m[4].endswith("/") and (name not in INLINE or "=" in m[4]):
-                if name not in INLINE or marked:
-                    kind = _CLASS.search(m[4]) if "=" in m[4] else None
-                    stack.append((name, f"{name}.{kind[1].lower()}" if kind else name, marked))
-                    below += marked
+        first = page.find(">", start)
+        if first < 0:  # no tag ends any more
+            more, at = False, start
+            continue
+        end = first
+        if named and quotes:
+            end, mark = -1, named.end()
+            while stop := _STOP.search(page, mark):
+                mark = stop.end()
+                if stop[0] == ">":
+                    end = stop.start()
+                    break
+                if stop[0] in quotes:
+                    close = page.find(stop[0], mark)
+                    if close < 0:
+                        quotes.discard(stop[0])
+                    else:
+                        mark = close + 1
+            if end < 0:
+                end, quotes = first, set()
+        at = end + 1
+        if named is None:
+            continue
+        name = named[1].lower()
+        if page[start + 1] == "/":
+            yield "close", name, ""
+        elif name in RAW:
+            found = _ENDS[name].search(page, at)
+            at = found.end() if found else size
         else:
-            yield "tag", "/" + name, name not in INLINE, below > 0
-            if any(name == s[0] for s in stack):
-                while stack:
-                    last = stack.pop()
-                    below -= last[2]
-                    if last[0] == name:
-                        break
-
-
-def count_labels(page: str, seen: dict[str, list[int]]) -> None:
-    """Words below each element, and each tag, inside and outside of the page's one article."""
-    if len(re.findall(r"<article\b", page, re.I)) != 1:
+            yield "open", name, page[named.end() : end]
+
+
+class Walk:
+    """The open elements of a page; ``enter`` and ``leave`` are called for each, with what it has inherited."""
+
+    def __init__(self, page: str, enter, leave=lambda element: None):
+        self.page, self.enter, self.leave = page, enter, leave
+        self.stack: list[tuple[str, object]] = []
+        self.names: Counter = Counter()
+        self.only = len(_ARTICLE.findall(page)) == 1
+
+    def top(self, default):
+        return self.stack[-1][1] if self.stack else default
+
+    def pop(self) -> str:
+        name, element = self.stack.pop()
+        self.names[name] -= 1
+        self.leave(element)
+        return name
+
+    def pieces(self) -> Iterator[tuple[str, str, bool]]:
+        """("text", text, False) or ("tag", name, block?); the stack is as of that piece."""
+        for kind, name, attributes in tokens(self.page):
+            if kind == "text":
+                yield "text", name, False
+            elif kind == "close":
+                yield "tag", name, name not in INLINE
+                if self.names[name] > 0:
+                    while self.pop() != name:
+                        pass
+            else:
+                shut = SELF_CLOSING.get(name) or (("p",) if name in CLOSES_P else ())
+                while self.stack and self.stack[-1][0] in shut:
+                    self.pop()
+                yield "tag", name, name not in INLINE
+                if name not in VOID and name not in INLINE and not attributes.endswith("/"):
+                    self.names[name] += 1
+                    self.stack.append((name, self.enter(self.key(name, attributes))))
+        while self.stack:
+            self.pop()
+
+    def key(self, name: str, attributes: str) -> str:
+        """Name and first class; a header or footer of the article itself is another thing than the page's."""
+        if name in ("header", "footer") and self.names["article"] > 0:
+            name = "article " + name
+        found = _CLASS.search(attributes) if "=" in attributes else None
+        return f"{name}.{found[1].lower()}" if found else name
+
+
+def count_labels(page: str, seen: dict[str, list[int]], weights: dict[str, float]) -> None:
+    """Words below each element, and each tag, inside and outside of the page's one article.
+
+    Elements and tags below one that ``weights`` holds for other than content are left out.
+    """
+
+    def shielded() -> bool:
+        above = walk.top(None)
+        return above is not None and (above[3] or weights.get(above[0], 0.0) <= OUT)
+
+    def enter(key: str) -> list:
+        return [key, 0, 0, shielded()]  # key, words inside, words outside, shielded
+
+    def leave(element: list) -> None:
+        above = walk.top(None)
+        if above is not None:
+            above[1] += element[1]
+            above[2] += element[2]
+        if not element[3] and element[0] not in ("html", "body"):  # these hold all there is
+            seen[element[0]][0] += element[1]
+            seen[element[0]][1] += element[2]
+
+    walk = Walk(page, enter, leave)
+    if not walk.only:
         return
-    depth = 0
-    for piece in pieces(page):
-        if piece[0] == "tag":
-            depth += (piece[1] == "article") - (piece[1] == "/article")
-            if not piece[3] and piece[1].strip("/") not in ("article", "html", "body", "main"):
-                seen["<" + piece[1].strip("/")][depth <= 0] += 1
+    for kind, text, _ in walk.pieces():
+        outside = not walk.names["article"]
+        if kind == "tag":
+            if text not in ("article", "html", "body", "main") and not shielded():
+                seen["<" + text][outside] += 1
             continue
-        words = len(piece[1].split())
-        if words and not piece[3]:
-            for key in {s[1] for s in piece[2]} - {"html", "body"}:
-                seen[key][depth <= 0] += words
+        words = len(text.split())
+        if words and walk.stack:
+            walk.stack[-1][1][1 + outside] += words
+            if outside:
+                seen[BESIDE][1] += words
 
 
 def weigh(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     """Element: log odds of content, within -3 and 3; tag (key with <): minus its share outside."""
     out = {}
-    for key, (inside, outside) in counts.items():
+    for key in {*counts, *OTHER}:
+        inside, outside = counts.get(key, (0, 0))
         if key[0] == "<":
             out[key] = -outside / (inside + outside)
         else:
+            outside += PRIOR * (key.partition(".")[0] in OTHER)
             out[key] = max(-3.0, min(3.0, math.log((inside + 1) / (outside + 1))))
     return out
 
@@ -128,26 +212,32 @@ def extract(page: str | None, weights: dict[str, float], tag: float = -0.5) -> s
     """Main text: blocks joined by a line feed."""
     if not page:
         return ""
+
+    def enter(key: str) -> float:
+        """The least log odds of an element and those it stands in; an unknown class counts as its plain element."""
+        known = weights.get(key)
+        if known is None:
+            known = weights.get(key.partition(".")[0], 0.0) if key.partition(".")[0] in OTHER else 0.0
+        return min(walk.top(0.0), known)
+
+    walk = Walk(page, enter)
+    beside = weights.get(BESIDE, 0.0) if walk.only else 0.0
     blocks: list[list[str]] = [[]]
     worth = [0.0]
-    for piece in pieces(page):
-        if piece[0] == "tag":
-            if not piece[3]:
-                worth[-1] += weights.get("<" + piece[1].strip("/"), tag)
-            if piece[2]:
+    for kind, text, block in walk.pieces():
+        if kind == "tag":
+            worth[-1] += weights.get("<" + text, tag)
+            if block:
                 blocks.append([])
                 worth.append(0.0)
-            elif piece[1] == "br":
+            elif text == "br":
                 blocks[-1].append(" ")
             continue
-        if piece[3]:
-            continue
-        text = entities.unescape(piece[1])
-        words = len(text.split())
-        blocks[-1].append(text)
-        if words:
-            least = min((weights.get(s[1], 0.0) for s in piece[2]), default=0.0)
-            worth[-1] += words * (least if least < 0 else 1.0)
+        text = entities.unescape(text)
+        least = min(walk.top(0.0), 0.0 if walk.names["article"] else beside)
+        worth[-1] += len(text.split()) * (least if least < 0 else 1.0)
+        if least > OUT:
+            blocks[-1].append(text)
     best = run = 0.0
     begin = first = last = 0
     for i, s in enumerate(worth):
@@ -169,19 +259,25 @@ def learned_weights(pages: DataFrame, html_col: str = "html", train: int = TRAIN
         sample = sample.where(F.col("h").bitwiseAND((1 << 40) - 1) < int((1 << 40) * 2.0 * train / n))
     sample = sample.select("page").limit(train).repartition(8) if n <= train else sample.orderBy("h").limit(train).select("page")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-        for batch in batches:
-            for page in batch.column(0):
-                count_labels(page.as_py() or "", seen)
-        rows = [(k, a, b) for k, (a, b) in seen.items()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.int64())], names=["key", "inside", "outside"])
-
-    counted = sample.mapInArrow(count, "key string, inside long, outside long")
-    counted = counted.groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-    return weigh({r["key"]: (r["inside"], r["outside"]) for r in counted.collect()})  # elements of the sample only
+    sample = stage(sample, "labelled-pages")
+    weights: dict[str, float] = {}
+    for _ in range(2):  # the second time, what stands below a menu is not blamed for it
+
+        def count(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
+            seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+            for batch in batches:
+                for page in batch.column(0):
+                    count_labels(page.as_py() or "", seen, weights)
+            rows = [(k, a, b) for k, (a, b) in seen.items() if a + b]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([r[2] for r in rows], pa.int64())], names=["key", "inside", "outside"])
+
+        counted = sample.mapInArrow(count, "key string, inside long, outside long")
+        counted = counted.groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+        weights = weigh({r["key"]: (r["inside"], r["outside"]) for r in counted.collect()})  # elements of the sample only
+    release(sample)
+    return weights
 
 
 def main_text(
