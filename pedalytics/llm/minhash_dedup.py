@@ -185,6 +185,24 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
+def one_of_each(
+    docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component of ``docs``, with all columns.
+
+    Rows are told apart by id and text, so another text under the same id, or under none, is judged by
+    itself; rows that agree in both are one. Texts without words are linked with nothing.
+    """
+    text = F.col(f"`{text_col}`")
+    key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{id_col}`").isNull(), repeats.mark(text))
+    found = near_duplicates(docs.select(key.alias("key"), text.alias("text")), k, percent, "key", "text")
+    kept = stage(found.where("kept").select("key").distinct(), "kept-keys")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+    one = rows.join(kept, "key", "left_semi").withColumn("copy", first).where("copy = 1")
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def prefix_pairs(texts: DataFrame, active: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (x, xm, y, ym) of classes with different labels that may agree to ``percent``."""
     each = exploded_sets(texts.join(active.select("_id", "_mark"), ["_id", "_mark"], "left_semi"), k)

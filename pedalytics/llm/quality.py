@@ -126,12 +126,13 @@ class Resampler:
                  train: int = TRAIN):
         self.id_col, self.text_col = id_col, text_col
         labels = labels.select(F.col("doc_id").cast("long").alias("i"), F.col("quality").alias("q"))
-        labels = labels.where("i IS NOT NULL AND q IS NOT NULL")
+        labels = labels.where("i IS NOT NULL AND q IS NOT NULL").groupBy("i").agg(F.min("q").alias("q"))
         n = labels.count()
         share = F.pmod(F.xxhash64("i", F.lit(SEED)), F.lit(1 << 40)) < int((1 << 40) * min(1.0, 0.9 * train / max(1, n)))
-        few = F.broadcast(labels.where(share).limit(train).dropDuplicates(["i"]))  # at most ``train`` rows
+        few = F.broadcast(labels.where(share).limit(train))  # at most ``train`` rows
         text = F.coalesce(F.col(text_col), F.lit("")).alias("t")
-        sample = stage(docs.select(F.col(id_col).cast("long").alias("i"), text).join(few, "i").select("i", "t", "q"), "labelled")
+        sample = stage(docs.select(F.col(id_col).cast("long").alias("i"), text).join(few, "i").groupBy("i", "q").agg(
+            F.min_by("t", F.xxhash64("t")).alias("t")), "labelled")  # one text of each id
         kinds = {r["q"] for r in sample.select("q").distinct().limit(3).collect()}
         self.ratio, self.cut = np.zeros(BUCKETS), None
         if not {0, 1} <= kinds:
