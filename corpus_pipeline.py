@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pedalytics.llm import decontamination, minhash_dedup, quality, sentencepiece, suffix_dedup
 from pedalytics.session import stage
@@ -16,12 +14,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8); documents without an id stay."""
-    kept = minhash_dedup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    found = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    found = found.withColumn("_copy", F.row_number().over(one)).where("_copy = 1")
-    return found.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of near duplicates (five words, 0.8), whatever its id."""
+    return minhash_dedup.one_of_each(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
