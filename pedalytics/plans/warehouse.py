@@ -14,11 +14,12 @@ from pedalytics import config, schemas
 from pedalytics.config import LAYOUTS, NYC, REGIONS, TABLE_OF_LAYOUT, Compat, Region
 from pedalytics.operators.joins import unseen_by_file
 from pedalytics.operators.unify import to_unified, union_layouts
-from pedalytics.plans import audit, calendar, reports, rides, stations
+from pedalytics.plans import audit, calendar, reports, rides, stations, views
 from pedalytics.plans.ingest import IngestResult, archive_loaded, ingest, uncommitted, visible
 from pedalytics.session import delete
 from pedalytics.sinks import tables as sink
 from pedalytics.sinks.tables import Written
+from pedalytics.sources import csv_parts
 
 
 @dataclass
@@ -38,11 +39,14 @@ class Warehouse:
     def path(self, schema: str, table: str) -> str:
         return f"{self.root}/{schema}/{table}"
 
+    def _exists(self, path: str) -> bool:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
+
     def _read(self, schema: str, table: str, columns: T.StructType | None = None) -> DataFrame | None:
         """The table, or ``None`` (an empty frame if its columns are given) before its first load."""
         path = self.path(schema, table)
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
+        if self._exists(path):
             reader = self.spark.read if columns is None else self.spark.read.schema(columns)
             return reader.parquet(path)
         return None if columns is None else self.spark.createDataFrame([], columns)
@@ -204,22 +208,34 @@ class Warehouse:
         if self._published:
             self.publish_views()
 
+    def _folder(self, schema: str, table: str) -> str | None:
+        """The table's folder, or ``None`` before its first load."""
+        return self.path(schema, table) if self._exists(self.path(schema, table)) else None
+
     def publish_views(self) -> None:
-        """Reports and audit views of all regions as temporary views.
+        """Reports and audit views of all regions as stored views.
 
-        A view shows the tables as they were when it was published. ``ingest`` and ``build_fact``
-        publish the views again; after writes by other means, call this once more.
+        A view shows the tables as they are when it is read, whatever wrote them. A view is made once
+        its tables exist; after that, ``ingest`` and ``build_fact`` add those that were not there yet.
         """
         self._published = True
         for region in REGIONS.values():
             suffix = region.staging_schema.removeprefix("STAGING_").lower()
-            if self.fact(region) is not None:
-                sink.publish(self.ridership_over_time(region), f"rpt_ridership_over_time_{suffix}")
-                sink.publish(self.top_stations(region), f"rpt_top_stations_{suffix}")
-                sink.publish(self.top_routes(region), f"rpt_top_routes_{suffix}")
-        sink.publish(audit.latest_status(self.log()), "v_latest_ingest_status")
-        sink.publish(self.pending_files(), "v_pending_files")
-        sink.publish(self.row_count_check(), "v_table_row_counts")
+            fact, dim, dates = (self._folder(_star(region), t) for t in ("FACT_RIDE", "DIM_STATION", "DIM_DATES"))
+            if fact and dates:
+                sink.create_view(self.spark, f"rpt_ridership_over_time_{suffix}", views.ridership_over_time(fact, dates))
+            if fact and dim:
+                sink.create_view(self.spark, f"rpt_top_stations_{suffix}", views.top_stations(fact, dim))
+                sink.create_view(self.spark, f"rpt_top_routes_{suffix}", views.top_routes(fact, dim, region))
+        manifest, log = (self._folder("LOGGING", t) for t in ("STAGE_MANIFEST", "INGEST_LOG"))
+        if manifest:
+            sink.create_view(self.spark, "v_pending_files", views.pending_files(manifest, log))
+        if log:
+            sink.create_view(self.spark, "v_latest_ingest_status", views.latest_ingest_status(log))
+            names = [(r.staging_schema, t) for r in REGIONS.values() for t in TABLE_OF_LAYOUT.values()]
+            staged = {n: path for n in names if (path := self._folder(*n))}
+            if staged:
+                sink.create_view(self.spark, "v_table_row_counts", views.table_row_counts(log, staged, csv_parts.LABEL_SQL))
 
 
 def _star(region: Region) -> str:

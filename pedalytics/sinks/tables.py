@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -62,6 +62,6 @@ def append_bucketed(df: DataFrame, table: str, buckets: int, *keys: str) -> None
     df.write.mode("append").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
-def publish(view: DataFrame, name: str) -> None:
-    """Make a frame queryable by name; it sees the files that its tables had when it was built."""
-    view.createOrReplaceTempView(name)
+def create_view(spark: SparkSession, name: str, query: str) -> None:
+    """Store a query under a name in the catalog; every reader plans it anew."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

@@ -23,6 +23,12 @@ def source_label(path: Column) -> Column:
     return F.when(path.contains("/schema_key="), in_folders).otherwise(text.basename(path))
 
 
+# ``source_label`` of the column output_file, in SQL.
+LABEL_SQL = r"""CASE WHEN concat('/', output_file) LIKE '%/schema_key=%' THEN replace(regexp_replace(concat('/', output_file),
+  r'^.*region=([^/]+)/schema_key=([^/]+)/part=', '$1_$2_part'), '/', '-')
+  ELSE element_at(split(output_file, '/'), -1) END"""
+
+
 def raw_parts(spark: SparkSession, paths: str | Sequence[str], layout: str) -> DataFrame:
     """Parts as text columns bound by position, with null tokens removed and lineage added.
 
