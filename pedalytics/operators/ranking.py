@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from pedalytics.operators.prefix import ordinals
+
 
 def with_dense_ranks(df: DataFrame, **ranks: str) -> DataFrame:
     """Dense ranks over count columns, largest first, with no partition keys: ``rank=count, ...``.
@@ -27,23 +29,8 @@ def with_dense_ranks(df: DataFrame, **ranks: str) -> DataFrame:
 
 
 def with_position(df: DataFrame, count: str, tie: str, out: str) -> DataFrame:
-    """Row number by a count column, largest first, ties by ``tie``.
-
-    Rows are only sorted among those of equal count; how many rows have a larger count is summed
-    over the distinct counts, of which there are few (see ``with_dense_ranks``).
-    """
-    larger = W.orderBy(F.desc(count)).rowsBetween(W.unboundedPreceding, -1)
-    before = (
-        df.groupBy(count)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(count, F.coalesce(F.sum("_rows").over(larger), F.lit(0)).alias("_before"))
-    )
-    within = F.row_number().over(W.partitionBy(count).orderBy(tie))
-    return (
-        df.join(before, count)
-        .withColumn(out, F.col("_before") + within)
-        .drop("_before")
-    )
+    """Row number by a count column, largest first, ties by ``tie``; rows of one count may be in many tasks."""
+    return ordinals(df, [F.desc(count), F.asc(tie)], out)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:

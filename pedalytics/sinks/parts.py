@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window as W
 
 from pedalytics import config
 from pedalytics.functions import text, time
-from pedalytics.session import stage
+from pedalytics.operators.prefix import running_total
+from pedalytics.session import delete, one_file_per_task, stage
 from pedalytics.sources.csv_parts import source_label
 from pedalytics.sources.files import list_files
 
-# Text shrinks at least this much under gzip; used to size parts from uncompressed bytes.
+# Text shrinks about this much under gzip; a first guess at part sizes, which are looked at once they are written.
 GZIP_RATIO = 3
 # Written as read: quoted where needed, and no trimming.
 CSV_OUT = {
@@ -27,13 +27,16 @@ CSV_OUT = {
 
 def plan_parts(inventory: DataFrame, max_bytes: int = config.MAX_PART_BYTES) -> DataFrame:
     """Which part each file goes to: files of a (region, fingerprint) group, smallest first, are
-    added until the part is full."""
-    by_size = W.partitionBy("region", "schema_key").orderBy("size_bytes", "relative_path")
-    before = F.sum("size_bytes").over(by_size.rowsBetween(W.unboundedPreceding, -1))
-    number = F.floor(F.coalesce(before, F.lit(0)) / F.lit(max_bytes * GZIP_RATIO)) + 1
-    return inventory.filter("schema_key is not null").withColumn(
-        "part", F.lpad(number.cast("string"), 4, "0")
-    )
+    added until the part is full.
+
+    The bytes before a file are a running total over ranges of files, so a group of any size is planned
+    by many tasks.
+    """
+    files = inventory.filter("schema_key is not null")
+    by_size = [F.asc("size_bytes"), F.asc("relative_path")]
+    placed = running_total(files, ["region", "schema_key"], by_size, F.col("size_bytes"), "_before")
+    number = (F.floor(F.col("_before") / F.lit(max_bytes * GZIP_RATIO)) + 1).cast("string")
+    return placed.withColumn("part", F.lpad(number, F.greatest(F.lit(4), F.length(number)), F.lit("0"))).drop("_before")
 
 
 def write_parts(
@@ -48,7 +51,8 @@ def write_parts(
 
     One write per layout, since columns differ. Rows meet their part through a join with the plan
     (one row per file, broadcast if small) and a rebalance that splits an outsized part, so a single
-    huge file is compressed by many tasks. Parts land in ``region=/schema_key=/part=`` folders.
+    huge file is compressed by many tasks. Parts land in ``region=/schema_key=/part=`` folders. A part whose
+    bytes as written are above ``max_bytes`` is cut up, until each is within it or holds one row.
     """
     chosen = inventory if region == "all" else inventory.filter(F.col("region") == region)
     plan = stage(plan_parts(chosen, max_bytes), "part-plan")
@@ -67,6 +71,7 @@ def _write_layout(
     max_bytes: int,
 ) -> None:
     base = root.rstrip("/")
+    parts = f"{out.rstrip('/')}/region=*/schema_key={schema_key}/part=*"
     files = plan.filter(F.col("schema_key") == schema_key).select("relative_path", "region", "part")
     paths = [f"{base}/{r['relative_path']}" for r in files.select("relative_path").toLocalIterator()]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -79,18 +84,54 @@ def _write_layout(
     width = sum(F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)) + 1 for c in columns)
     average = rows.agg(F.avg(width)).first()[0] or 1.0
     per_file = max(1, int(max_bytes * GZIP_RATIO / average))
+    placed = rows.join(files, "relative_path").drop("relative_path").withColumn("schema_key", F.lit(schema_key))
+    _write_csv(placed.hint("rebalance", "region", "part"), out, per_file)
+    while _cut_oversized(spark, parts, schema, out, max_bytes):
+        pass
+
+
+def _write_csv(rows: DataFrame, out: str, per_file: int) -> None:
     (
-        rows.join(files, "relative_path")
-        .drop("relative_path")
-        .withColumn("schema_key", F.lit(schema_key))
-        .hint("rebalance", "region", "part")
-        .write.mode("append")
+        rows.write.mode("append")
         .partitionBy("region", "schema_key", "part")
         .options(compression="gzip", maxRecordsPerFile=per_file, **CSV_OUT)
         .csv(out)
     )
 
 
+def _cut_oversized(spark: SparkSession, parts: str, schema: T.StructType, out: str, max_bytes: int) -> bool:
+    """Write written parts above ``max_bytes`` anew in files of fewer rows; whether there were any.
+
+    The new files are there before the old ones go. Each part is read by one task, and all of them are
+    cut by the same number of rows, the least that one of them needs.
+    """
+    sizes = list_files(spark, parts, "*.csv.gz").filter(F.col("size_bytes") > max_bytes).select("path", "size_bytes")
+    paths = [r["path"] for r in sizes.toLocalIterator()]  # names of the parts to write anew
+    if not paths:
+        return False
+    path = text.decoded(F.col("_metadata.file_path"))
+    found = (
+        one_file_per_task(spark)
+        .read.schema(schema)
+        .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=True)
+        .csv(paths)
+        .withColumns({c: F.regexp_extract(path, rf"/{c}=([^/]+)/", 1) for c in ("region", "schema_key", "part")})
+        .withColumn("_path", text.basename(path))
+    )
+    counts = found.groupBy("_path").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.select(text.basename(F.col("path")).alias("_path"), "size_bytes").join(counts.filter("n > 1"), "_path")
+    fits = large.select(F.min(F.floor(F.col("n") * (0.9 * max_bytes) / F.col("size_bytes")))).first()[0]
+    if fits is None:
+        return False  # what is left are single rows
+    several = counts.filter("n > 1").select("_path")
+    _write_csv(found.join(several, "_path", "left_semi").drop("_path"), out, max(1, int(fits)))
+    several = {r["_path"] for r in several.toLocalIterator()}
+    for old in paths:
+        if old.rpartition("/")[2] in several:
+            delete(spark, old)
+    return True
+
+
 def parts_manifest(spark: SparkSession, out: str, plan: DataFrame) -> DataFrame:
     """One manifest row per written part: folder path, region, key, bytes, source files, time."""
     path = F.col("path")

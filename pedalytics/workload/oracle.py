@@ -607,4 +607,17 @@ ORACLE: dict[str, str] = {
         FROM trips GROUP BY 1""",
     "repeated_inventory": f"""WITH {_INVENTORY} SELECT file_type, region, count(*) AS files,
         count(DISTINCT columns) AS schema_ids, count(DISTINCT schema_key) AS schema_keys FROM inventory GROUP BY 1, 2""",
+    "part_plan": f"""WITH {_INVENTORY}, placed AS (
+          SELECT relative_path, region, left(schema_key, 1) AS schema_key, coalesce(sum(size_bytes) OVER (
+            PARTITION BY region, left(schema_key, 1) ORDER BY size_bytes, relative_path
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM inventory WHERE schema_key IS NOT NULL)
+        SELECT relative_path, region, schema_key, lpad(CAST(CAST(before // 120000 + 1 AS BIGINT) AS VARCHAR), 4, '0') AS part FROM placed""",
+    "part_writer_capped": f"""WITH {_trips()} SELECT CASE WHEN o_custkey % 3 = 0 THEN 'jersey_city' ELSE 'nyc' END AS region,
+          count(*) AS good_rows, 0::BIGINT AS bad_rows, CAST(sum(o_custkey) AS BIGINT) AS bikes,
+          CAST(sum(secs) AS BIGINT) AS seconds, count(*) FILTER (o_custkey % 7 = 5) AS broken_names,
+          count(DISTINCT (began, o_custkey)) AS different, 0::BIGINT AS oversized, TRUE AS several_parts FROM v2 GROUP BY 1""",
 }
+ORACLE["view_ridership_jc"] = ORACLE["ridership_over_time"]
+ORACLE["view_top_routes"] = ORACLE["top_routes"]
+ORACLE["view_top_stations"] = ORACLE["top_stations"]

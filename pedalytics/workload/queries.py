@@ -23,6 +23,7 @@ from pedalytics.operators.joins import attach_key, unseen
 from pedalytics.operators.unify import repeated_trips, union_layouts
 from pedalytics.plans import audit, calendar, reports, rides, stations
 from pedalytics.session import stage
+from pedalytics.sinks.parts import plan_parts
 from pedalytics.sources import csv_parts
 from pedalytics.sources import driver_tables as source
 from pedalytics.sources.files import describe_files
@@ -596,6 +597,36 @@ def incremental_loads(spark, sf_dir):
     return round_trips.loads_by_layout(spark, sf_dir)
 
 
+def part_plan(spark, sf_dir):
+    """Which part each raw file goes to, with parts of 40 kB."""
+    files = _inventory(spark, sf_dir).filter("schema_key IS NOT NULL").withColumn("schema_key", F.left("schema_key", F.lit(1)))
+    return plan_parts(files, 40_000).select("relative_path", "region", "schema_key", "part")
+
+
+def part_writer_capped(spark, sf_dir):
+    """Parts of at most 20,000 bytes as written, line breaks and quotes included."""
+    return round_trips.capped_parts(spark, sf_dir, 20_000)
+
+
+def view_ridership_jc(spark, sf_dir):
+    """The stored view of Jersey City's ridership, read after the fact has grown."""
+    round_trips.fact_in_two_steps(spark, sf_dir, JERSEY_CITY)
+    return spark.table("rpt_ridership_over_time_jc")
+
+
+def view_top_routes(spark, sf_dir):
+    """The stored view of the routes, read after the fact has grown."""
+    round_trips.fact_in_two_steps(spark, sf_dir, NYC)
+    routes = spark.table("rpt_top_routes_nyc")
+    return routes.withColumns({c: F.round(c, 8) for c in routes.columns if c.endswith(("_lat", "_lng"))})
+
+
+def view_top_stations(spark, sf_dir):
+    """The stored view of the stations, read after the fact has grown."""
+    round_trips.fact_in_two_steps(spark, sf_dir, NYC)
+    return spark.table("rpt_top_stations_nyc").selectExpr(*_STATIONS)
+
+
 def in_order(df: DataFrame) -> DataFrame:
     """A report's rows with their place in its order."""
     return df.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
@@ -681,7 +712,8 @@ QUERIES: dict[str, Query] = {
         ingest_recovery, ingest_forced, ingest_archive, stream_rejects, incremental_loads,
         read_manifest_file, read_load_log_file, read_index_file,
         ridership_in_order, stations_in_order, routes_in_order, pending_in_order, failed_in_order,
-        rides_by_hour, load_stamps, repeated_inventory,
+        rides_by_hour, load_stamps, repeated_inventory, part_plan, part_writer_capped,
+        view_ridership_jc, view_top_routes, view_top_stations,
     ),
 }
 

@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalytics.config import JERSEY_CITY, LAYOUTS, LEGACY_V1, MODERN, NYC, REGIONS, TABLE_OF_LAYOUT
+from pedalytics.config import JERSEY_CITY, LAYOUTS, LEGACY_V1, MODERN, NYC, REGIONS, TABLE_OF_LAYOUT, Region
 from pedalytics.operators.unify import to_unified
-from pedalytics.plans import audit, ingest
+from pedalytics.plans import audit, ingest, rides
 from pedalytics.plans.warehouse import Warehouse
 from pedalytics.schemas import LAYOUT_SCHEMA, LEGACY_V2, MANIFEST_FILE, RAW_HEADER
 from pedalytics.session import scratch_dir, stage
+from pedalytics.sinks import tables
 from pedalytics.sinks.parts import CSV_OUT, write_manifest, write_parts, write_report
 from pedalytics.sources import csv_parts, files
 from pedalytics.sources import driver_tables as source
@@ -280,6 +281,39 @@ def loads_by_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(*r, calendars == {6574}) for r in rows], "loaded string, first long, second long, third long, same_calendar boolean")
 
 
+def capped_parts(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataFrame:
+    """Orders as plain CSV with quotes and line breaks, written as parts of at most ``max_bytes``, and read back."""
+    root, out = _folder(spark, "raw-files"), _folder(spark, "capped-parts")
+    bike, name = F.col("bike_id"), F.col("start_station_name")
+    odd = F.when(bike % 7 == 5, F.lit('5 Av, "North"\nside')).otherwise(name)
+    rows = source.legacy_v2_staging(spark, sf_dir).withColumn("start_station_name", odd)
+    for folder, mine in (("trips", bike % 3 != 0), ("JC-trips", bike % 3 == 0)):
+        _raw(rows.filter(mine), LEGACY_V2).write.options(**CSV_OUT).csv(f"{root}/{folder}/2014")
+    manifest = stage(write_parts(spark, root, stage(files.inventory(spark, root, tasks=8), "inventory"), out, max_bytes=max_bytes), "manifest")
+    read = csv_parts.read_parts(spark, f"{out}/region=*/schema_key=473144999085/part=*", LEGACY_V2)
+    values = read.groupBy(F.regexp_extract("_source_file", r"^(.+)_[0-9a-f]{12}_part", 1).alias("region")).agg(
+        F.count_if(F.col("_error").isNull()).alias("good_rows"), F.count_if(F.col("_error").isNotNull()).alias("bad_rows"),
+        F.sum("bike_id").alias("bikes"), F.sum("trip_duration").alias("seconds"),
+        F.count_if(F.col("start_station_name") == '5 Av, "North"\nside').alias("broken_names"),
+        F.count_distinct("start_time", "bike_id").alias("different"))
+    sizes = manifest.groupBy("region").agg(
+        F.count_if(F.col("gzip_size_bytes") > max_bytes).alias("oversized"), (F.count(F.lit(1)) > 1).alias("several_parts"))
+    return values.join(sizes, "region")
+
+
+def fact_in_two_steps(spark: SparkSession, sf_dir: str, region: Region) -> None:
+    """Views over a fact of early rides; later rides are then added by another warehouse object, which knows of no view."""
+    root = _folder(spark, "warehouse")
+    first, second = Warehouse(spark, root), Warehouse(spark, root)
+    first.build_dates()
+    first.load_trips_from(source.staging(spark, sf_dir, region), region)
+    first.build_stations(region)
+    early = rides.fact_ride(first.trips(region).filter(F.year("started_at") < 2014), first.stations(region))
+    tables.write_fact(early, first.path(region.staging_schema.replace("STAGING_", "INT_UDM_"), "FACT_RIDE"), "FACT_RIDE")
+    first.publish_views()
+    second.build_fact(region)
+
+
 def stream_parts_twice(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     """The stream run to the end with one checkpoint, with it again, and with a new one."""
     inbox, target = _folder(spark, "inbox"), _folder(spark, "stream-trips")

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pedalytics.config import NYC
 from pedalytics.operators.joins import unseen
@@ -107,3 +108,46 @@ def test_fact_is_laid_out_by_month(spark, house):
     pruned = house.fact(NYC).filter("start_year = 2014 and start_month = 3")
     assert "PartitionFilters: [isnotnull(start_year" in plan(pruned)
     assert pruned.filter("start_date_sk not between 20140301 and 20140331").count() == 0
+
+
+def test_running_totals_and_ordinals_use_many_tasks(spark):
+    from pedalytics.operators.prefix import ordinals, running_total
+    from pedalytics.operators.ranking import with_position
+
+    rows = [(k, n, (n * 7) % 11 if n % 13 else None) for k in ("a", None) for n in range(400)]
+    df = spark.createDataFrame(rows, "k string, n int, v int")
+    got = {(r["k"], r["n"]): r["t"] for r in running_total(df, ["k"], [F.asc("n")], F.col("v"), "t", 7).collect()}
+    for k in ("a", None):
+        total = 0
+        for key, n, v in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):
+            assert got[k, n] == total
+            total += v or 0
+    assert [r["n"] for r in ordinals(df.filter("k = 'a'"), [F.desc("n")], "o", 5).orderBy("o").collect()] == list(range(399, -1, -1))
+    tied = spark.range(1000).select(F.lit(3).alias("c"), F.col("id").cast("string").alias("name"))
+    placed = with_position(tied, "c", "name", "p")
+    assert [r["name"] for r in placed.orderBy("p").collect()] == sorted(str(i) for i in range(1000))
+    many = ordinals(tied, [F.desc("c"), F.asc("name")], "p", 6)
+    assert many.select("p").distinct().count() == 1000
+    ranges = tied.repartitionByRange(6, F.desc("c"), F.asc("name")).select(F.spark_partition_id().alias("r")).distinct().count()
+    assert ranges == 6  # one tie, six tasks
+
+
+def test_views_scan_the_fact_once(spark, tmp_path):
+    from pedalytics.config import NYC
+    from pedalytics.plans import reports, views
+
+    fact = spark.range(3000).selectExpr(
+        "id % 7 AS start_station_sk", "nullif(id % 5, 4) AS end_station_sk", "CAST(20140101 + id % 28 AS INT) AS start_date_sk",
+        "CASE id % 3 WHEN 0 THEN 'member' WHEN 1 THEN 'casual' END AS member_casual", "CAST(id % 50 AS DECIMAL(10,2)) AS trip_duration_min")
+    dim = spark.range(9).selectExpr("id AS station_sk", "concat('S', id) AS station_name", "1.5D AS station_lat", "2.5D AS station_lng", "'BOTH' AS availability")
+    fact.write.parquet(str(tmp_path / "fact"))
+    dim.write.parquet(str(tmp_path / "dim"))
+    fact, dim = spark.read.parquet(str(tmp_path / "fact")), spark.read.parquet(str(tmp_path / "dim"))
+    for sql, frame in ((views.top_routes(str(tmp_path / "fact"), str(tmp_path / "dim"), NYC), reports.top_routes(fact, dim)),
+                       (views.top_stations(str(tmp_path / "fact"), str(tmp_path / "dim")), reports.top_stations(fact, dim))):
+        view = spark.sql(sql)
+        assert view.columns == frame.columns
+        assert sorted(map(str, view.collect())) == sorted(map(str, frame.collect()))
+        plan = view._jdf.queryExecution().executedPlan().toString()
+        final = plan[: plan.find("Initial Plan")] if "Initial Plan" in plan else plan
+        assert final.count("/fact]") <= 1, final
