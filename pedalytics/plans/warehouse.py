@@ -182,6 +182,10 @@ class Warehouse:
         self._refresh_views()
         return done
 
+    def compact_fact(self, region: Region, most_files: int = 4) -> int:
+        """Write months that lie in more than ``most_files`` files anew; how many there were."""
+        return sink.compact_fact(self.spark, self.path(_star(region), "FACT_RIDE"), most_files)
+
     # ---- reports --------------------------------------------------------------------------
 
     def ridership_over_time(self, region: Region) -> DataFrame:

@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pedalytics.session import release, stage
+from pedalytics.sources.files import list_files
+
 
 @dataclass(frozen=True)
 class Written:
@@ -57,6 +60,32 @@ def write_fact(fact: DataFrame, path: str, table: str, full_reload: bool = False
     return write(clustered_by_start(fact), path, table, mode, ("start_year", "start_month"))
 
 
+def crowded_months(spark: SparkSession, path: str, most_files: int) -> DataFrame:
+    """(start_year, start_month, files) of the fact's months that lie in more than ``most_files`` files."""
+    place = [F.regexp_extract("path", rf"/{c}=(\d+)/", 1).cast("int").alias(c) for c in ("start_year", "start_month")]
+    files = list_files(spark, path, "*.parquet").select(*place)
+    return files.groupBy("start_year", "start_month").agg(F.count(F.lit(1)).alias("files")).filter(F.col("files") > most_files)
+
+
+def compact_fact(spark: SparkSession, path: str, most_files: int = 4) -> int:
+    """Write the crowded months of a fact anew, clustered; other months are not read. How many there were.
+
+    Appends leave a file or more a month each, and days overlap between them. The months are copied to a
+    stored table first; then each month's folder is replaced. Run it while nothing else writes to the fact.
+    """
+    months = crowded_months(spark, path, most_files).collect()  # months of the calendar at most
+    if not months:
+        return 0
+    inside = F.struct("start_year", "start_month").isin([F.struct(F.lit(r[0]), F.lit(r[1])) for r in months])
+    years = F.col("start_year").isin(sorted({r[0] for r in months}))  # prunes folders on its own
+    rows = stage(spark.read.parquet(path).filter(years & inside), "crowded-months")
+    clustered = clustered_by_start(rows.drop("start_year", "start_month"))
+    writer = clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("start_year", "start_month").parquet(path)
+    release(rows)
+    return len(months)
+
+
 def append_bucketed(df: DataFrame, table: str, buckets: int, *keys: str) -> None:
     """Append to a catalog table bucketed by ``keys``: anti-joins on them then need no shuffle."""
     df.write.mode("append").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)

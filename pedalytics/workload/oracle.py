@@ -607,6 +607,13 @@ ORACLE: dict[str, str] = {
         FROM trips GROUP BY 1""",
     "repeated_inventory": f"""WITH {_INVENTORY} SELECT file_type, region, count(*) AS files,
         count(DISTINCT columns) AS schema_ids, count(DISTINCT schema_key) AS schema_keys FROM inventory GROUP BY 1, 2""",
+    "fact_compaction": f"""WITH {_trips()}, qualified AS (
+          SELECT *, year(started_at) * 10000 + month(started_at) * 100 + day(started_at) AS sk FROM trips
+          WHERE trip_duration BETWEEN 60 AND 86400
+            AND started_at >= TIMESTAMP '2013-01-01' AND started_at < TIMESTAMP '2031-01-01')
+        SELECT year(started_at) AS start_year, month(started_at) AS start_month, count(*) AS rides,
+          CAST(sum(trip_duration) AS BIGINT) AS seconds, min(sk) AS first_day, max(sk) AS last_day, TRUE AS was_crowded,
+          TRUE AS all_compacted, 0::BIGINT AS crowded_left FROM qualified GROUP BY 1, 2""",
     "part_plan": f"""WITH {_INVENTORY}, placed AS (
           SELECT relative_path, region, left(schema_key, 1) AS schema_key, coalesce(sum(size_bytes) OVER (
             PARTITION BY region, left(schema_key, 1) ORDER BY size_bytes, relative_path

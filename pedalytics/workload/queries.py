@@ -627,6 +627,11 @@ def view_top_stations(spark, sf_dir):
     return spark.table("rpt_top_stations_nyc").selectExpr(*_STATIONS)
 
 
+def fact_compaction(spark, sf_dir):
+    """A fact of many appends whose crowded months are written anew."""
+    return round_trips.fact_in_many_appends(spark, sf_dir)
+
+
 def in_order(df: DataFrame) -> DataFrame:
     """A report's rows with their place in its order."""
     return df.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
@@ -713,7 +718,7 @@ QUERIES: dict[str, Query] = {
         read_manifest_file, read_load_log_file, read_index_file,
         ridership_in_order, stations_in_order, routes_in_order, pending_in_order, failed_in_order,
         rides_by_hour, load_stamps, repeated_inventory, part_plan, part_writer_capped,
-        view_ridership_jc, view_top_routes, view_top_stations,
+        fact_compaction, view_ridership_jc, view_top_routes, view_top_stations,
     ),
 }
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalytics.config import JERSEY_CITY, LAYOUTS, LEGACY_V1, MODERN, NYC, REGIONS, TABLE_OF_LAYOUT, Region
-from pedalytics.operators.unify import to_unified
+from pedalytics.functions import time
+from pedalytics.operators.unify import to_unified, union_layouts
 from pedalytics.plans import audit, ingest, rides
 from pedalytics.plans.warehouse import Warehouse
 from pedalytics.schemas import LAYOUT_SCHEMA, LEGACY_V2, MANIFEST_FILE, RAW_HEADER
@@ -314,6 +315,24 @@ def fact_in_two_steps(spark: SparkSession, sf_dir: str, region: Region) -> None:
     second.build_fact(region)
 
 
+def fact_in_many_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides appended in five loads by hour, then compacted: rides, first and last day of each month, and files left."""
+    path = _folder(spark, "fact")
+    trips = rides.qualifying(union_layouts(source.staging(spark, sf_dir)))
+    fact = stage(trips.select(
+        time.date_key(F.col("started_at")).alias("start_date_sk"), F.hour("started_at").alias("start_hour"), "trip_duration"), "rides")
+    for n in range(5):
+        tables.write_fact(fact.filter(F.col("start_hour") % 5 == n), path, "FACT_RIDE")
+    crowded = tables.crowded_months(spark, path, 3).count()
+    done = tables.compact_fact(spark, path, 3)
+    left = tables.crowded_months(spark, path, 3).count()
+    months = spark.read.parquet(path).groupBy("start_year", "start_month").agg(
+        F.count(F.lit(1)).alias("rides"), F.sum("trip_duration").alias("seconds"),
+        F.min("start_date_sk").alias("first_day"), F.max("start_date_sk").alias("last_day"))
+    return months.select(
+        "*", F.lit(crowded > 0).alias("was_crowded"), F.lit(done == crowded).alias("all_compacted"), F.lit(left).cast("long").alias("crowded_left"))
+
+
 def stream_parts_twice(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     """The stream run to the end with one checkpoint, with it again, and with a new one."""
     inbox, target = _folder(spark, "inbox"), _folder(spark, "stream-trips")

@@ -168,3 +168,22 @@ def test_new_files_are_not_joined_with_the_target(spark, tmp_path):
     text = partly._jdf.queryExecution().executedPlan().toString()
     scan = text[: text.index("/target")]
     assert "BroadcastHashJoin" in scan and partly.count() == 1
+
+
+def test_compaction_bounds_the_files_of_a_month(spark, tmp_path):
+    from pedalytics.sinks import tables
+
+    path = str(tmp_path / "fact")
+    for n in range(6):
+        days = spark.range(200).selectExpr(
+            f"CAST(20140101 + 100 * (id % {9 if n < 2 else 3}) + id % 28 AS INT) AS start_date_sk",
+            f"id + {n * 1000} AS ride_sk")
+        tables.write_fact(days, path, "FACT_RIDE")
+    before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    crowded = {(r["start_year"], r["start_month"]) for r in tables.crowded_months(spark, path, 4).collect()}
+    assert crowded == {(2014, 1), (2014, 2), (2014, 3)}
+    untouched = {f for f in os.listdir(f"{path}/start_year=2014/start_month=5")}
+    assert tables.compact_fact(spark, path, 4) == 3 and tables.compact_fact(spark, path, 4) == 0
+    assert tables.crowded_months(spark, path, 2).count() == 0
+    assert {f for f in os.listdir(f"{path}/start_year=2014/start_month=5")} == untouched
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
