@@ -1,9 +1,10 @@
-"""Substring dedup by seed and extend: anchors, extension to both sides, maximal repeats.
+"""Substring dedup by seed and extend: anchors, what lies over them on both sides, maximal repeats.
 
-``repeats`` joins documents on winnowed anchors (the seeds). Around each anchor that occurs again the
-match is extended word by word to both sides as far as a window over the anchor reaches; stretches
-that agree as a whole are settled at once, the others window by window with 128-bit hashes, counted
-before the shuffle. Overlapping repeats of a document unite to its maximal repeats.
+``repeats`` joins documents on winnowed anchors (the seeds). A stretch reaches as far to both sides of
+its anchor as windows have it for theirs. In place of extending two texts against each other word by
+word, stretches are compared by hashes: those that agree as a whole are settled at once, the others
+window by window with 128-bit hashes, counted before the shuffle. Overlapping repeats of a document
+unite to its maximal repeats. A very long text is held by one task with some arrays of its length.
 
 Nulls are empty texts and have no words. A repeated row is another place, so its windows repeat. A
 null id is an id like others. Columns other than id and text are ignored, whatever their names.
