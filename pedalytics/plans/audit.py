@@ -14,6 +14,13 @@ from pedalytics.functions import text, time
 from pedalytics.operators.ranking import latest_per_key, top_n, with_position
 from pedalytics.sources.files import for_region
 
+# Classes of bundles, and the reasons a file audit gives.
+ONLY_ZIPS, CSV_AND_ZIPS, CSV_FILES, OTHER_BUNDLE = (
+    "nested_zip_only", "mixed_csv_and_nested_zip", "csv_present", "empty_or_other")
+COMPLETE, MISSING_FILE, SIZE_DIFFERS, NO_LOG_ENTRY, LOG_STATUS, NO_LOGGED_SIZE, LOGGED_SIZE_DIFFERS = (
+    "complete", "missing_local_file", "size_mismatch ", "no_log_entry", "log_status=", "log_missing_size",
+    "log_size_mismatch ")
+
 
 # ---- manifest ---------------------------------------------------------------------------------
 
@@ -280,10 +287,10 @@ def row_count_check(log: DataFrame, actual: DataFrame) -> DataFrame:
 
 def bundle_class(csv_files: Column, zips: Column) -> Column:
     return (
-        F.when((zips > 0) & (csv_files == 0), "nested_zip_only")
-        .when((zips > 0) & (csv_files > 0), "mixed_csv_and_nested_zip")
-        .when(csv_files > 0, "csv_present")
-        .otherwise("empty_or_other")
+        F.when((zips > 0) & (csv_files == 0), ONLY_ZIPS)
+        .when((zips > 0) & (csv_files > 0), CSV_AND_ZIPS)
+        .when(csv_files > 0, CSV_FILES)
+        .otherwise(OTHER_BUNDLE)
     )
 
 
@@ -295,7 +302,7 @@ def bundle_structure(inventory: DataFrame) -> DataFrame:
     )
     kind = bundle_class(F.col("csv_file_count"), F.col("nested_zip_count"))
     return counts.withColumn("structure_type", kind).withColumn(
-        "needs_nested_extract", F.col("structure_type") == "nested_zip_only"
+        "needs_nested_extract", F.col("structure_type") == ONLY_ZIPS
     )
 
 
@@ -359,16 +366,16 @@ def size_audit(index: DataFrame, observed: DataFrame, log: DataFrame) -> DataFra
         return F.concat(*[c.cast("string") for c in shown])
 
     reason = (
-        F.when(local.isNull(), "missing_local_file")
-        .when(local != expected, F.concat(F.lit("size_mismatch "), sizes("local", local)))
-        .when(~F.coalesce("logged_once", F.lit(False)), "no_log_entry")
+        F.when(local.isNull(), MISSING_FILE)
+        .when(local != expected, F.concat(F.lit(SIZE_DIFFERS), sizes("local", local)))
+        .when(~F.coalesce("logged_once", F.lit(False)), NO_LOG_ENTRY)
         .when(
             ~status.eqNullSafe("SUCCESS"),
-            F.concat(F.lit("log_status="), F.coalesce(status, F.lit("None"))),
+            F.concat(F.lit(LOG_STATUS), F.coalesce(status, F.lit("None"))),
         )
-        .when(logged.isNull(), "log_missing_size")
-        .when(logged != expected, F.concat(F.lit("log_size_mismatch "), sizes("logged", logged)))
-        .otherwise("complete")
+        .when(logged.isNull(), NO_LOGGED_SIZE)
+        .when(logged != expected, F.concat(F.lit(LOGGED_SIZE_DIFFERS), sizes("logged", logged)))
+        .otherwise(COMPLETE)
     )
     entries = log.select(
         "file_name",
@@ -381,5 +388,5 @@ def size_audit(index: DataFrame, observed: DataFrame, log: DataFrame) -> DataFra
         .join(observed, "file_name", "left")
         .join(entries, "file_name", "left")
         .select("file_name", "file_size_bytes", reason.alias("reason"))
-        .withColumn("is_complete", F.col("reason") == "complete")
+        .withColumn("is_complete", F.col("reason") == COMPLETE)
     )
