@@ -39,5 +39,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
     return df.groupBy(*keys).agg(newest).select("_row.*")
 
 
+def latest_by_number(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The row with the greatest ``order``, a long such as a log id, per key; nothing is sorted.
+
+    The greatest number is found by a hash aggregate and joined back by hash, so ``df`` is read twice:
+    stage it where it is not a stored table. Of rows that tie one is taken by a hash of its columns, which
+    stands behind the number in one decimal. Rows equal in every column are one; a null number is the least.
+    """
+    tie = F.pmod(F.xxhash64(*df.columns), F.lit(10**18)).cast("decimal(18,0)")
+    number = F.coalesce(F.col(order).cast("decimal(19,0)"), F.lit("-9999999999999999999").cast("decimal(19,0)"))
+    place = number * F.lit(10**18).cast("decimal(19,0)") + tie
+    placed = df.withColumn("_place", place.cast("decimal(38,0)"))
+    newest = placed.groupBy(*keys).agg(F.max("_place").alias("_newest"))
+    newest = newest.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "_newest")
+    met = F.col("_place") == F.col("_newest")
+    for i, k in enumerate(keys):
+        met = met & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    found = placed.join(newest.hint("shuffle_hash"), met).select(*df.columns, "_place")
+    return found.distinct().select(*df.columns)
+
+
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)

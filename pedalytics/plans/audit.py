@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 
 from pedalytics import config
 from pedalytics.functions import text, time
-from pedalytics.operators.ranking import latest_per_key, top_n, with_position
+from pedalytics.operators.ranking import latest_by_number, top_n, with_position
 from pedalytics.sources.files import for_region
 
 # Classes of bundles, and the reasons a file audit gives.
@@ -83,7 +83,7 @@ def manifest_summary(manifest: DataFrame) -> DataFrame:
 
 def latest_status(log: DataFrame) -> DataFrame:
     """The last attempt of each file."""
-    return latest_per_key(log, ["output_file"], "log_id")
+    return latest_by_number(log, ["output_file"], "log_id")
 
 
 def _with_last_attempt(manifest: DataFrame, log: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pedalytics.config import LAYOUT_OF_KEY, LEGACY_LAYOUTS, MODERN, Compat, Region
 from pedalytics.functions import ride, text, time
 from pedalytics.operators import quantile
+from pedalytics.session import stage
 
 
 def observations(
@@ -47,54 +48,54 @@ def station_key(name: Column) -> Column:
     return F.xxhash64(name)
 
 
-def dim_station(
-    trips: DataFrame,
-    region: Region,
-    layout_of_key: Mapping[str, str] = LAYOUT_OF_KEY,
-    compat: Compat = Compat(),
-) -> DataFrame:
-    """One row per canonical name: ids per era, median coordinates, spread and sightings."""
-    seen = observations(trips, region, layout_of_key, compat)
+def station_stats(seen: DataFrame) -> DataFrame:
+    """One row per canonical name: ids per era, spread, sightings and a bracket for each median.
 
-    # Ids are grouping keys first, as a string maximum cannot be hash-aggregated; what is left per
-    # station is a handful of rows.
-    per_id = seen.groupBy("station_name", "station_id", "source_schema").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("lat").alias("lat_lo"),
-        F.max("lat").alias("lat_hi"),
-        F.min("lng").alias("lng_lo"),
-        F.max("lng").alias("lng_hi"),
-    )
+    One aggregate over one scan; a string maximum and the sketches are combined map-side by hash.
+    """
     legacy, modern = F.col("source_schema").isin(*LEGACY_LAYOUTS), F.col("source_schema") == MODERN
-    stats = per_id.groupBy("station_name").agg(
+    sketched = seen.groupBy("station_name").agg(
         F.max(F.when(legacy, F.col("station_id"))).alias("legacy_station_id"),
         F.max(F.when(modern, F.col("station_id"))).alias("modern_station_id"),
         F.bool_or(legacy).alias("in_legacy"),
         F.bool_or(modern).alias("in_modern"),
-        F.sum("n").alias("trip_observations"),
-        F.round(F.max("lat_hi") - F.min("lat_lo"), 6).alias("lat_variance"),
-        F.round(F.max("lng_hi") - F.min("lng_lo"), 6).alias("lng_variance"),
+        F.count(F.lit(1)).alias("trip_observations"),
+        F.round(F.max("lat") - F.min("lat"), 6).alias("lat_variance"),
+        F.round(F.max("lng") - F.min("lng"), 6).alias("lng_variance"),
+        quantile.sketch("lat").alias("lat_sketch"),
+        quantile.sketch("lng").alias("lng_sketch"),
     )
+    return sketched.withColumns(
+        {"lat": quantile.bracket("lat_sketch"), "lng": quantile.bracket("lng_sketch")}
+    ).drop("lat_sketch", "lng_sketch")
 
-    # Latitude and longitude go through one median pass, told apart by the axis.
-    is_lat = F.col("axis") == "lat"
-    positions = seen.select(
-        "station_name",
-        F.explode(F.create_map(F.lit("lat"), F.col("lat"), F.lit("lng"), F.col("lng"))).alias(
-            "axis", "position"
-        ),
+
+def by_axis(rows: DataFrame, value: str) -> DataFrame:
+    """Rows (station_name, lat, lng) as two of (station_name, axis, value): both axes go through one pass."""
+    axes = F.create_map(F.lit("lat"), F.col("lat"), F.lit("lng"), F.col("lng"))
+    return rows.select("station_name", F.explode(axes).alias("axis", value))
+
+
+def dim_station(
+    trips: DataFrame,
+    region: Region,
+    layout_of_key: Mapping[str, str] = LAYOUT_OF_KEY,
+    compat: Compat = Compat(),
+) -> DataFrame:
+    """One row per canonical name: ids per era, median coordinates, spread and sightings.
+
+    Trips are scanned twice: for the aggregates with their sketches, and for the exact medians.
+    """
+    seen = observations(trips, region, layout_of_key, compat)
+    stats = stage(station_stats(seen), "station-stats")
+    brackets = by_axis(stats, "b").select("station_name", "axis", "b.lo", "b.hi")
+    median = quantile.median_in_brackets(
+        by_axis(seen, "position"), ["station_name", "axis"], "position", brackets, "median"
     )
-    low = F.when(is_lat, region.lat[0]).otherwise(region.lng[0])
-    high = F.when(is_lat, region.lat[1]).otherwise(region.lng[1])
-    medians = (
-        quantile.median_of_doubles(
-            positions, ["station_name", "axis"], "position", low, high, "median"
-        )
-        .groupBy("station_name")
-        .agg(
-            F.max(F.when(is_lat, F.col("median"))).alias("station_lat"),
-            F.max(F.when(~is_lat, F.col("median"))).alias("station_lng"),
-        )
+    is_lat = F.col("axis") == "lat"
+    medians = median.groupBy("station_name").agg(
+        F.max(F.when(is_lat, F.col("median"))).alias("station_lat"),
+        F.max(F.when(~is_lat, F.col("median"))).alias("station_lng"),
     )
     now = time.now()
     return stats.join(medians, "station_name").select(

@@ -85,6 +85,38 @@ def test_station_build_shuffles_counts_only(house):
         assert "Aggregate" in before.split("\n")[1]
 
 
+def test_stations_are_built_by_two_scans(house):
+    from pedalytics.operators import quantile
+    from pedalytics.plans import stations
+
+    seen = stations.observations(house.trips(NYC), NYC)
+    stats = stations.station_stats(seen)
+    brackets = house.spark.createDataFrame([], "station_name string, axis string, lo double, hi double")
+    keys = ["station_name", "axis"]
+    counts = quantile.counts_in_brackets(stations.by_axis(seen, "position"), keys, "position", brackets)
+    for one in (stats, counts):
+        text = plan(one)
+        assert scans(text, "start_station_name") == 1
+        for before in text.split("Exchange hashpartitioning")[1:]:
+            assert "HashAggregate" in before.split("\n")[1]
+    assert "FileScan" in plan(stations.dim_station(house.trips(NYC), NYC))
+    assert scans(plan(stations.dim_station(house.trips(NYC), NYC)), "start_station_name") == 0
+
+
+def test_latest_log_rows_are_found_without_a_sort(spark):
+    from pedalytics.plans import audit
+
+    log = spark.createDataFrame(
+        [(1, "a", "FAILED"), (2, "a", "SUCCESS"), (3, "b", "SUCCESS"), (3, "b", "FAILED"), (None, "c", "FAILED"),
+         (5, None, "FAILED"), (5, None, "FAILED"), ((1 << 63) - 1, "d", "SUCCESS"), (-(1 << 63), "d", "FAILED")],
+        "log_id long, output_file string, status string")
+    latest = audit.latest_status(log)
+    assert not re.search(r"\bSort\b|SortAggregate|SortMergeJoin", plan(latest))
+    rows = latest.collect()
+    assert len(rows) == 5 and {r["output_file"] for r in rows} == {"a", "b", "c", None, "d"}
+    assert {r["output_file"]: r["status"] for r in rows if r["output_file"] in ("a", "d")} == {"a": "SUCCESS", "d": "SUCCESS"}
+
+
 def test_bucketed_tables_are_antijoined_without_a_shuffle(spark, house):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     keys = ("_source_file", "_source_row_number")

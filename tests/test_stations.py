@@ -79,6 +79,46 @@ def test_median_of_doubles_is_exact_for_hot_and_odd_groups(spark, threshold):
     assert {r["k"]: r["m"] for r in got} == {k: statistics.median(v) for k, v in groups.items()}
 
 
+def sketched_brackets(df, k="k", v="v"):
+    found = df.groupBy(k).agg(quantile.sketch(v).alias("s")).select(k, quantile.bracket("s").alias("b"))
+    return found.select(k, "b.lo", "b.hi")
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_median_in_brackets_is_exact_for_hot_and_odd_groups(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rng = random.Random(7)
+    groups = {k: make(rng) for k, make in GROUPS.items()}
+    df = spark.createDataFrame([(k, v) for k, values in groups.items() for v in values], "k string, v double")
+    got = quantile.median_in_brackets(df, ["k"], "v", sketched_brackets(df), "m").collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r["k"]: r["m"] for r in got} == {k: statistics.median(v) for k, v in groups.items()}
+
+
+def test_brackets_that_miss_are_made_good(spark):
+    groups = {"below": (0.0, 1.0), "above": (50.0, 60.0), "between": (3.4, 3.6), "none": (None, None)}
+    values = {k: [1.0, 2.0, 3.0, 4.0, 5.0, 40.0] for k in groups}
+    df = spark.createDataFrame([(k, v) for k in groups for v in values[k]], "k string, v double")
+    brackets = spark.createDataFrame([(k, *b) for k, b in groups.items()], "k string, lo double, hi double")
+    got = quantile.median_in_brackets(df, ["k"], "v", brackets, "m").collect()
+    assert {r["k"]: r["m"] for r in got} == dict.fromkeys(groups, 3.5)
+
+
+def test_median_in_brackets_leaves_nulls_out_and_puts_nan_last(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", v) for v in (None, None, 1.0, 2.0, 3.0, 100.0)] + [("b", v) for v in (1.0, 2.0, nan)]
+    rows += [("c", None), ("d", -inf), ("d", -inf), ("d", 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = quantile.median_in_brackets(df, ["k"], "v", sketched_brackets(df), "m").collect()
+    assert {r["k"]: r["m"] for r in got} == {"a": 2.5, "b": 2.0, "d": -inf}
+
+
+def test_a_bracket_leaves_few_values_to_count(spark):
+    df = spark.range(200_000).selectExpr("'k' AS k", "double(id) AS v")
+    counts = quantile.counts_in_brackets(df, ["k"], "v", sketched_brackets(df)).collect()
+    assert len(counts) < 16_000 and sum(r[quantile.COUNT] for r in counts) == 200_000
+
+
 def test_median_leaves_nulls_out_and_puts_nan_last(spark):
     nan = float("nan")
     rows = [("a", v) for v in (None, None, None, 1.0, 2.0, 3.0, 100.0)] + [("b", v) for v in (1.0, 2.0, nan)]
