@@ -7,6 +7,7 @@ from pedalytics.llm import (
     fingerprints,
     html_extraction,
     minhash_dedup,
+    oracle,
     quality,
     sentencepiece,
     simhash_dedup,
@@ -38,6 +39,10 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op5_decontamination": oracle.DECONTAMINATION,
+    "op6_minhash_dedup": oracle.MINHASH_DEDUP,
+    "op10_suffix_dedup": oracle.SUFFIX_DEDUP,
     "op11_vector_codes": vector_codes.ORACLE,
     "op13_source_divergence": source_divergence.ORACLE,
 }
