@@ -39,10 +39,9 @@ def features(texts: scan.Texts) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(texts)), np.diff(tokens.bounds))
     first = texts.data[tokens.start]
-    last = texts.data[tokens.end - 1]
     upper = lambda b: (b >= 0x41) & (b <= 0x5A)
     mark = scan.WORD_OR_MARK[first] == 2
-    shape = np.where(mark, 3 + np.minimum(tokens.end - tokens.start, 4), upper(first) + (upper(first) & upper(last)))
+    shape = np.where(mark, 3 + np.minimum(tokens.end - tokens.start, 4), upper(first))
     follows = np.append(False, owner[1:] == owner[:-1])
     before = np.append(tokens.value[:1], tokens.value[:-1])
     same = follows & (before == tokens.value)

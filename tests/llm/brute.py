@@ -181,3 +181,89 @@ def source_divergence(rows, least=10, ranks=10):
                 found = sorted(found, key=lambda r: (-r[1], r[0].encode()))[:most]
                 out += [(lang, s, part, item, v, n) for n, (item, v) in enumerate(found, 1)]
     return out
+
+
+FULL = (1 << 64) - 1
+
+
+def spread(x):
+    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & FULL
+    x = (x ^ x >> 29) * 0xBF58476D1CE4E5B9 & FULL
+    return x ^ x >> 32
+
+
+def byte_hash(data, values, base):
+    total, power = len(data), 1
+    for b in data:
+        total, power = (total + values[b] * power) & FULL, power * base & FULL
+    return spread(total)
+
+
+def quality_grams(text, values, base):
+    """Buckets of the n-grams of a text: tokens, pairs of them and pairs of their shapes."""
+    out, before = [], None
+    for token in re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0d]+", (text or "").encode()):
+        word = re.match(rb"[0-9A-Za-z\x80-\xff]", token)
+        shape = int(0x41 <= token[0] <= 0x5A) if word else 3 + min(len(token), 4)
+        h = byte_hash(re.sub(rb"[A-Z]", lambda m: m[0].lower(), token), values, base)
+        out.append(h)
+        if before:
+            shape += 10 * (before[0] == h)
+            out += [spread((before[0] * 3 + h) & FULL), spread(before[1] * 1000 + shape + (1 << 40))]
+        before = (h, shape)
+    return [spread(x) >> 52 for x in out]
+
+
+def quality_weights(rows, labels, values, bases, seed, buckets=1 << 12, shrink=20.0):
+    """rows: (id, text), ids apart; labels: {id: 0 or 1}. (id, log weight, n-grams, kept)."""
+    grams = {i: quality_grams(t, values, bases[0]) for i, t in rows}
+    raw = Counter(g for x in grams.values() for g in x)
+    half = {i: xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), 42) % 2 for i in labels}
+
+    def ratio(target):
+        p = {b: (raw[b] + 1) / (raw.total() + buckets) for b in range(buckets)}
+        return [math.log((target[b] + shrink * buckets * p[b]) / (target.total() + shrink * buckets)) - math.log(p[b])
+                for b in range(buckets)]
+
+    good = [Counter(g for i, x in grams.items() if labels.get(i) == 1 and half[i] == h for g in x) for h in (0, 1)]
+    other, whole = [ratio(good[1]), ratio(good[0])], ratio(good[0] + good[1])
+    weight = lambda i, r: round(sum(r[g] for g in grams[i]), 6)
+    seen = sorted((weight(i, other[half[i]]), q) for i, q in labels.items() if i in grams)
+    n_good = sum(q for _, q in seen)
+    best, cut, lost, gone = 0.0, -math.inf, 0, 0
+    for w, q in seen:
+        lost, gone = lost + q, gone + 1 - q
+        gain = gone / (len(seen) - n_good) - 4 * lost / n_good
+        if gain > best + 1e-12:
+            best, cut = gain, w
+    noisy = {}
+    for i, t in rows:
+        u = spread(byte_hash((t or "").encode(), values, bases[1]) ^ spread(i + seed & FULL)) >> 11
+        noisy[i] = weight(i, whole) - math.log(-math.log((u + 0.5) / 2**53))
+    k = sum(weight(i, whole) > cut for i, _ in rows)
+    least = sorted(noisy.values(), reverse=True)[k - 1] if 0 < k < len(rows) else -math.inf
+    return {i: (weight(i, whole), len(grams[i]), noisy[i] >= least) for i, _ in rows}
+
+
+def url_rule(url, rules):
+    """(host, path, rule, verdict or None) of a URL."""
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest)[0]
+    path = re.split(r"[?#]", rest[len(host):])[0]
+    host = lower_ascii(host)
+    fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, *max(fits)[1:]) if fits else (host, path, None, None)
+
+
+def url_features(url, host, path):
+    share = Counter(url)
+    query = re.search(r"\?([^#]*)", url)
+    query = query[1] if query else ""
+    return {
+        "n_chars": len(url), "depth": path.count("/"), "digits": sum(c in "0123456789" for c in url) / max(1, len(url)),
+        "entropy": -sum(n / len(url) * math.log2(n / len(url)) for n in share.values()),
+        "params": query.count("&") + 1 if query else 0, "labels": host.count(".") + 1 if host else 0,
+        "hyphens": host.count("-"),
+    }
