@@ -3,8 +3,9 @@
 Documents come as batches of changes: inserts count +1, deletes -1, a revised text is its old count
 taken back and its new one added. Each batch is reduced to signed sums by source, language and tokenizer
 version and committed as one folder; totals are the sum of all committed folders, so they never need
-the documents again. A batch that was committed before is left alone, one that broke off is replaced:
-committing is idempotent by its id.
+the documents again. A batch is written aside and renamed to its id, which takes effect as a whole or not
+at all and for one of several writers of the same id: committing is idempotent by its id, and a batch that
+broke off is never seen. (The file system's renames must be atomic.)
 
 Null source or language is a group of its own. Null and empty texts have no tokens but are documents.
 Repeated rows count as often as they occur. Groups whose documents and tokens are all taken back
@@ -16,6 +17,7 @@ from __future__ import annotations
 import base64
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -65,18 +67,23 @@ class TokenRollup:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _committed(self, batch: str) -> bool:
-        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={batch}/_SUCCESS")
-        return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
-
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add ``changes`` (the group's columns, tokens, sign 1 or -1); False if the batch was in before."""
-        if self._committed(batch):
+        to_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        aside = f"_writing-{uuid.uuid4().hex}"  # names that begin with _ are not read
+        source, target = to_path(f"{self.path}/{aside}"), to_path(f"{self.path}/batch={quote(batch, safe='')}")
+        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if fs.exists(target):
             return False
         sums = changes.groupBy(*GROUP).agg(
             F.sum("sign").cast("long").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).cast("long").alias("tokens"))
-        sums.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
-        return True
+        sums.write.parquet(f"{self.path}/{aside}")
+        if fs.rename(source, target) and not fs.exists(to_path(target, aside)):
+            return True
+        # Another writer was first: the folder is left where it was, or was moved into the other's.
+        fs.delete(source, True)
+        fs.delete(to_path(target, aside), True)
+        return False
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over all committed batches."""

@@ -217,6 +217,25 @@ def test_rollup_is_idempotent(spark, docs, tmp_path):
     assert rollup.totals().collect() == []
 
 
+def test_batch_ids_and_writers(spark, docs, tmp_path):
+    rows = token_counts.counted(docs.limit(3), "v1")
+    rollup = token_counts.TokenRollup(spark, str(tmp_path / "r"))
+    names = ["a/b", "a=b", "50%", "a%2Fb", "ä *{x}", "..", "1", "01"]
+    assert [rollup.commit(b, token_counts.inserts(rows)) for b in names + names] == [True] * 8 + [False] * 8
+    assert rollup.totals().first()["n_docs"] == 3 * len(names)
+
+    class Slow:
+        """Changes that another writer commits under the same id while they are being written."""
+
+        def groupBy(self, *group):
+            assert rollup.commit("both", token_counts.deletes(rows))
+            return token_counts.deletes(rows).groupBy(*group)
+
+    assert not rollup.commit("both", Slow())
+    assert rollup.totals().first()["n_docs"] == 3 * (len(names) - 1)
+    assert not [p for p in (tmp_path / "r").rglob("_writing-*")]
+
+
 def test_token_totals_are_over_all_rows(spark, tmp_path):
     texts = ["One two", "Only these words", "", None]
     data = [(i if i % 7 else None, texts[i % 4], ["en", "fr", None][i % 3], "ab"[i % 2], 0) for i in range(60)]
