@@ -64,3 +64,9 @@ def test_urls_of_empty_and_clashing_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x", "s", "h")], "page_id long, url string, suffix string, host string")
     assert [tuple(r)[:5] for r in url_filters.judge(pages).collect()] == [(1, "a.com", "/x", "com/", "allow")]
     assert url_filters.judge(pages.limit(0)).count() == 0
+
+
+def test_trees_score_urls_that_no_rule_decides(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    got = [r for r in url_filters.judge(pages).collect() if r["rule"] is None]
+    assert len({r["score"] for r in got}) > 1 and all(0 < r["score"] < 1 for r in got)
