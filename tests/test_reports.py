@@ -93,3 +93,15 @@ def test_ranks_and_positions(spark):
     assert {r["k"]: r["rank"] for r in ranked} == {"c": 1, "a": 2, "b": 2, "d": 3}
     placed = ranking.with_position(df, "n", "k", "at").collect()
     assert {r["k"]: r["at"] for r in placed} == {"c": 1, "a": 2, "b": 3, "d": 4}
+
+
+def test_ranks_are_broadcast_whatever_the_threshold(spark):
+    df = spark.range(1000).selectExpr("id", "id % 3 AS n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = ranking.with_dense_ranks(df, rank="n")
+        assert "BroadcastHashJoin" in ranked._jdf.queryExecution().executedPlan().toString()
+        assert {(r["n"], r["rank"]) for r in ranked.collect()} == {(2, 1), (1, 2), (0, 3)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
