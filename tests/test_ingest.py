@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_files import HEADER, modern, part
 
 from pedalytics.config import MODERN, NYC
-from pedalytics.operators.joins import unseen, unseen_by_file
+from pedalytics.operators.joins import row_bitmaps, unseen, unseen_by_file, without_rows
 from pedalytics.plans import audit, ingest
 from pedalytics.plans.warehouse import Warehouse
 from pedalytics.schemas import MANIFEST_FILE
@@ -187,3 +187,11 @@ def test_compaction_bounds_the_files_of_a_month(spark, tmp_path):
     assert tables.crowded_months(spark, path, 2).count() == 0
     assert {f for f in os.listdir(f"{path}/start_year=2014/start_month=5")} == untouched
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
+
+
+def test_rows_are_left_out_by_bitmaps(spark):
+    numbers = [-40_000, -1, 0, 1, 7, 8, 32_767, 32_768, 32_769, 65_536, 1 << 40]
+    target = keyed(spark, *[("a", n, "old") for n in numbers], ("b", 2, "old"), ("a", None, "old"))
+    source = keyed(spark, *[(f, n + d, "new") for f in ("a", "b") for n in numbers for d in (0, 0, 1)], (None, 1, "new"), ("a", None, "new"))
+    left = without_rows(source, row_bitmaps(target, "_source_file", "_source_row_number"), "_source_file", "_source_row_number")
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(map(tuple, unseen(source, target).collect()), key=repr)
