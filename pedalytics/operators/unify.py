@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pedalytics.config import LEGACY_V1, LEGACY_V2, MODERN
 from pedalytics.functions import text, time
 from pedalytics.schemas import TRIPS_ALL
+from pedalytics.session import stage
 
 # Unified name of each staging column that goes by another name there.
 _LEGACY_NAMES = {
@@ -81,19 +82,21 @@ def drop_repeated_trips(trips: DataFrame) -> DataFrame:
 def repeated_trips(trips: DataFrame) -> DataFrame:
     """Natural keys that occur more than once, with the number of source files they come from.
 
-    Counted per file first, so a key repeated very often is spread over its files and tasks.
+    Hashes of the keys are counted first, a few bytes a trip; only trips whose hash occurs again are
+    grouped by the keys themselves. These are counted per file first, so a key repeated very often is spread
+    over its files and tasks.
     """
     keys = ["ride_id", "bikeid", "started_at"]
-    per_file = (
-        trips.select(
-            "ride_id",
-            F.when(F.col("ride_id").isNull(), F.col("bikeid")).alias("bikeid"),
-            F.when(F.col("ride_id").isNull(), F.col("started_at")).alias("started_at"),
-            "_source_file",
-        )
-        .groupBy(*keys, "_source_file")
-        .agg(F.count(F.lit(1)).alias("n"))
+    keyed = trips.select(
+        "ride_id",
+        F.when(F.col("ride_id").isNull(), F.col("bikeid")).alias("bikeid"),
+        F.when(F.col("ride_id").isNull(), F.col("started_at")).alias("started_at"),
+        "_source_file",
     )
+    hashed = F.xxhash64(*keys)
+    often = keyed.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_hash")
+    again = keyed.join(stage(often, "repeated-hashes"), hashed == F.col("_hash"), "left_semi")
+    per_file = again.groupBy(*keys, "_source_file").agg(F.count(F.lit(1)).alias("n"))
     return (
         per_file.groupBy(*keys)
         .agg(F.sum("n").alias("trips"), F.count(F.lit(1)).alias("source_files"))

@@ -80,3 +80,12 @@ def test_rides_by_year_counts_each_ride(spark):
     )
     years = rides.rides_by_year(fact, calendar.dim_dates(spark)).collect()
     assert [tuple(r) for r in years] == [(2016, 2), (2022, 1)]
+
+
+def test_only_trips_whose_hash_repeats_are_grouped_by_their_keys(spark):
+    trips = spark.range(1000).selectExpr(
+        "CAST(if(id < 3, 'twice', id) AS STRING) AS ride_id", "id AS bikeid", "TIMESTAMP_NTZ'2014-01-01' AS started_at",
+        "concat('f', id % 2) AS _source_file")
+    found = repeated_trips(trips)
+    assert "LeftSemi" in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r["ride_id"], r["trips"], r["source_files"]) for r in found.collect()] == [("twice", 3, 2)]
