@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+SLICE_ROWS = 500
 _BASES = (0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4F & ~7 | 3, 0xD6E8FEB86659FD93 & ~7 | 5)
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -91,6 +92,15 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
         i = j
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``rows`` rows, so that what a task derives from one stays small beside it."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 @dataclass
 class Tokens:
     """Tokens of a chunk: their byte ranges and hashes; ``bounds`` are the token bounds of each text."""

@@ -129,7 +129,7 @@ def _spans(length: int, longer: int, crowd: int):
     """Stretches of texts with their bytes; those of crowded seeds are parted by longer seeds."""
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.slices(batches):
             ids, marks, open_runs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
             rows: list[tuple] = []
             for texts in scan.chunks(batch.column(2)):
@@ -165,7 +165,7 @@ def _windows(length: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_id", pa.int64()), ("_mark", pa.int64()), ("start", pa.int64())])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.slices(batches):
             for texts in scan.chunks(batch.column(2)):
                 runs = [(i, int(texts.bounds[i]), r["start"], r["n"]) for i in range(len(texts))
                         for r in batch.column(3)[texts.first + i].as_py()]
@@ -316,7 +316,7 @@ def remove_earlier(
     joined = repeats.with_texts(texts, found, "left").select("_id", "_text", "starts", "lengths")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.slices(batches):
             texts = batch.column(1).cast(pa.large_binary())
             n_bytes, removed, spans, kept = [], [], [], []
             for i in range(batch.num_rows):
@@ -357,7 +357,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     count = docs_columns.index("n_chars") if "n_chars" in docs_columns else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.slices(batches):
             texts, keep = [], []
             columns = batch.column(0).flatten()
             for text, starts, lengths in zip(columns[at], batch.column(1), batch.column(2)):

@@ -272,3 +272,11 @@ def test_empty_tables(spark, docs):
 
 def test_digest_is_of_utf8():
     assert hashlib.sha256("é".encode()).hexdigest() == brute.edited_texts([(1, "é")])[0][2]
+
+
+def test_slices_hold_all_rows_in_order():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n))], names=["n"]) for n in (0, 3, 7)]
+    got = list(scan.slices(iter(batches), 3))
+    assert [b.column(0).to_pylist() for b in got] == [[0, 1, 2], [0, 1, 2], [3, 4, 5], [6]]
