@@ -84,7 +84,7 @@ def test_rides_by_year_counts_each_ride(spark):
 
 def test_only_trips_whose_hash_repeats_are_grouped_by_their_keys(spark):
     trips = spark.range(1000).selectExpr(
-        "CAST(if(id < 3, 'twice', id) AS STRING) AS ride_id", "id AS bikeid", "TIMESTAMP_NTZ'2014-01-01' AS started_at",
+        "if(id < 3, 'twice', CAST(id AS STRING)) AS ride_id", "id AS bikeid", "TIMESTAMP_NTZ'2014-01-01' AS started_at",
         "concat('f', id % 2) AS _source_file")
     found = repeated_trips(trips)
     assert "LeftSemi" in found._jdf.queryExecution().executedPlan().toString()
