@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from pedalytics import config
 from pedalytics.functions import text, time
 from pedalytics.operators.prefix import running_total
-from pedalytics.session import delete, one_file_per_task, stage
+from pedalytics.session import delete, one_file_per_task, release, stage, unsorted_writes
 from pedalytics.sources.csv_parts import source_label
-from pedalytics.sources.files import list_files
+from pedalytics.sources.files import list_files, plain_uri, scanned_file
 
 # Text shrinks about this much under gzip; a first guess at part sizes, which are looked at once they are written.
 GZIP_RATIO = 3
@@ -75,17 +75,22 @@ def _write_layout(
     files = plan.filter(F.col("schema_key") == schema_key).select("relative_path", "region", "part")
     paths = [f"{base}/{r['relative_path']}" for r in files.select("relative_path").toLocalIterator()]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
-        spark.read.schema(schema)
+    scan = (
+        unsorted_writes(spark)
+        .read.schema(schema)
         .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=True)
         .csv(paths)
-        .withColumn("relative_path", text.below(text.decoded(F.col("_metadata.file_path")), base))
     )
-    width = sum(F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)) + 1 for c in columns)
-    average = rows.agg(F.avg(width)).first()[0] or 1.0
+    # Addresses are decoded once a file; rows are joined by them as they are.
+    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "_path string").select(plain_uri(F.col("_path")).alias("_path"))
+    named = listed.withColumn("relative_path", text.below(text.decoded(F.col("_path")), base))
+    placed_files = stage(named.join(files, "relative_path"), "placed-files")
+    rows = scan.withColumn("_path", scanned_file())
+    average = spark.read.text(paths).agg(F.avg(F.octet_length("value") + 1)).first()[0] or 1.0  # of a line
     per_file = max(1, int(max_bytes * GZIP_RATIO / average))
-    placed = rows.join(files, "relative_path").drop("relative_path").withColumn("schema_key", F.lit(schema_key))
+    placed = rows.join(placed_files, "_path").drop("_path", "relative_path").withColumn("schema_key", F.lit(schema_key))
     _write_csv(placed.hint("rebalance", "region", "part"), out, per_file)
+    release(placed_files)
     while _cut_oversized(spark, parts, schema, out, max_bytes):
         pass
 

@@ -11,15 +11,22 @@ from pyspark.sql import types as T
 from pedalytics.functions import text, time
 from pedalytics.schemas import LAYOUT_SCHEMA
 from pedalytics.session import one_file_per_task
+from pedalytics.sources.files import scanned_file
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, position in the partition below
 
 
+_FOLDERS = r"region=([^/]+)/schema_key=([^/]+)/part="
+
+
 def source_label(path: Column) -> Column:
-    """Lineage name of a part: its file name, led by region and key when it lies in their folders."""
-    in_folders = F.regexp_replace(
-        F.regexp_replace(path, r"^.*region=([^/]+)/schema_key=([^/]+)/part=", "$1_$2_part"), "/", "-"
-    )
+    """Lineage name of a part: its file name, led by region and key when it lies in their folders.
+
+    It is made for every row, so the pattern looks at the last folders alone where they are these.
+    """
+    tail = F.substring_index(path, "/", -4)
+    folders = F.when(tail.rlike("^" + _FOLDERS), tail).otherwise(path)
+    in_folders = F.replace(F.regexp_replace(folders, "^.*" + _FOLDERS, "$1_$2_part"), F.lit("/"), F.lit("-"))
     return F.when(path.contains("/schema_key="), in_folders).otherwise(text.basename(path))
 
 
@@ -45,11 +52,19 @@ def raw_parts(spark: SparkSession, paths: str | Sequence[str], layout: str) -> D
         .csv(paths if isinstance(paths, str) else list(paths))
     )
     position = F.monotonically_increasing_id().bitwiseAND((1 << ROW_BITS) - 1) + 1
-    return scan.select(
+    rows = scan.select(
         *[text.null_if_token(F.col(n)).alias(n) for n in names],
-        source_label(F.col("_metadata.file_path")).alias("_source_file"),
+        F.xxhash64(scanned_file()).alias("_file"),
         position.alias("_source_row_number"),
     )
+    # Names are made once a file, from the scan's own listing, and reach the rows by a hash of the address.
+    listed = {f.replace("file:///", "file:/") for f in scan.inputFiles()}
+    path = F.col("path")
+    labels = spark.createDataFrame([(f,) for f in sorted(listed)], "path string").select(
+        F.xxhash64(path).alias("_file"), source_label(path).alias("_label"))
+    unknown = F.raise_error(F.lit("a row comes from a file that the scan did not list"))
+    return rows.join(F.broadcast(labels), "_file", "left").select(
+        *names, F.coalesce("_label", unknown).alias("_source_file"), "_source_row_number")
 
 
 def raw_schema(layout: str) -> T.StructType:

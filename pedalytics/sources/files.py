@@ -83,6 +83,16 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return found.select("path", F.col("length").alias("size_bytes"), "modificationTime")
 
 
+def scanned_file() -> Column:
+    """Address of the file that a row is read from, as ``_metadata.file_path`` spells it, but not copied into each row."""
+    return plain_uri(F.input_file_name())
+
+
+def plain_uri(uri: Column) -> Column:
+    """Local addresses with one slash, as in ``_metadata.file_path``."""
+    return F.replace(uri, F.lit("file:///"), F.lit("file:/"))
+
+
 def open_stream(path: str):
     """The bytes of a file as they are stored."""
     from pyarrow import fs

@@ -94,14 +94,15 @@ def regroup_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (MODERN, "dc497b4333c4", F.lit(None).cast("long")),
     ):
         rows = csv_parts.read_parts(spark, f"{out}/region=*/schema_key={key}/part=*", layout)
-        per_region = rows.groupBy(
-            F.regexp_extract(label, r"^(.+)_[0-9a-f]{12}_part", 1).alias("region"),
-            F.regexp_extract(label, r"_([0-9a-f]{12})_part", 1).alias("schema_key"),
-        ).agg(
+        per_file = rows.groupBy(label).agg(
             F.count_if(F.col("_error").isNull()).alias("good_rows"),
             F.count_if(F.col("_error").isNotNull()).alias("bad_rows"),
             F.sum(seconds).alias("seconds"),
         )
+        per_region = per_file.groupBy(
+            F.regexp_extract(label, r"^(.+)_[0-9a-f]{12}_part", 1).alias("region"),
+            F.regexp_extract(label, r"_([0-9a-f]{12})_part", 1).alias("schema_key"),
+        ).agg(*[F.sum(c).alias(c) for c in ("good_rows", "bad_rows", "seconds")])
         counts = per_region if counts is None else counts.unionByName(per_region)
     lineage = manifest.groupBy("region", "schema_key").agg(
         F.count_if(F.coalesce(F.size("source_files"), F.lit(0)) == 0).alias("parts_without_source"),
@@ -197,8 +198,9 @@ def archive_after_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = None
     for layout, key in ((LEGACY_V1, "e24ee8457e0e"), (MODERN, "dc497b4333c4")):
         rows = csv_parts.read_parts(spark, f"{archive}/region=*/schema_key={key}/part=*", layout)
-        mine = rows.groupBy(F.regexp_extract("_source_file", r"^(.+)_[0-9a-f]{12}_part", 1).alias("region")).agg(
-            F.count(F.lit(1)).alias("archived_rows")).withColumn("schema_key", F.lit(key))
+        per_file = rows.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"))
+        mine = per_file.groupBy(F.regexp_extract("_source_file", r"^(.+)_[0-9a-f]{12}_part", 1).alias("region")).agg(
+            F.sum("n").alias("archived_rows")).withColumn("schema_key", F.lit(key))
         counts = mine if counts is None else counts.unionByName(mine)
     left = files.list_files(spark, out, "*.csv.gz").count()
     return counts.select(

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pedalytics.config import JERSEY_CITY, LEGACY_V2, MODERN, NYC
 from pedalytics.plans.warehouse import Warehouse
 from pedalytics.schemas import MANIFEST_FILE, RAW_HEADER
-from pedalytics.session import stage
+from pedalytics.session import one_file_per_task, stage
+from pedalytics.sinks import parts
 from pedalytics.sinks.parts import write_manifest, write_parts, write_report
 from pedalytics.sources import csv_parts, files
 from pedalytics.streaming.incremental import start_incremental_load
@@ -235,3 +236,37 @@ def test_stream_loads_each_part_once(spark, tmp_path):
         ("nyc_dc497b4333c4_part0002.csv.gz", 1, 600),
         ("nyc_dc497b4333c4_part0002.csv.gz", 2, 600),
     ]
+
+
+def test_parts_of_odd_names_keep_label_and_numbers(spark, tmp_path):
+    """Names are made once a file: no row of the scan carries the address or goes through a pattern."""
+    folder = f"{tmp_path}/a b+c%20/region=nyc/schema_key=dc497b4333c4/part=0001"
+    part(folder, "x 1+%41.csv.gz", [modern(1), modern(2)])
+    part(folder, "y.csv.gz", [modern(3)])
+    rows = csv_parts.raw_parts(spark, f"{tmp_path}/a b+c%20/region=*/schema_key=*/part=*", MODERN)
+    found = sorted((r["_source_file"], r["_source_row_number"]) for r in rows.collect())
+    assert found == [
+        ("nyc_dc497b4333c4_part0001-x%201+%2541.csv.gz", 1), ("nyc_dc497b4333c4_part0001-x%201+%2541.csv.gz", 2),
+        ("nyc_dc497b4333c4_part0001-y.csv.gz", 1)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan[: plan.index("Join ")] and "file_path" not in plan
+
+
+def test_parts_are_written_without_a_sort(spark, tmp_path):
+    """Rows go to the files of a few folders as they come; addresses are not decoded row by row."""
+    root, out = f"{tmp_path}/raw d+%41", f"{tmp_path}/parts"
+    for folder in ("2021", "JC-2021", "2021 b%20+"):
+        write(f"{root}/{folder}/x.csv", HEADER + "\n".join(modern(n) for n in range(20)) + "\n")
+    inventory = stage(files.inventory(spark, root, tasks=2), "inventory-unsorted")
+    plans = []
+    real = parts._write_csv
+    parts._write_csv = lambda rows, *rest: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), real(rows, *rest))
+    try:
+        manifest = write_parts(spark, root, inventory, out).collect()
+        assert plans and "url_decode" not in plans[0] and "UrlCodec" not in plans[0]
+    finally:
+        parts._write_csv = real
+    read = csv_parts.read_parts(spark, f"{out}/region=*/schema_key=*/part=*", MODERN)
+    assert read.count() == 60 and read.filter("_error is not null").count() == 0
+    assert sorted(f for m in manifest for f in m["source_files"]) == ["2021 b%20+/x.csv", "2021/x.csv", "JC-2021/x.csv"]
+    assert int(one_file_per_task(spark).conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
