@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,7 +86,7 @@ def _write_layout(
     named = listed.withColumn("relative_path", text.below(text.decoded(F.col("_path")), base))
     placed_files = stage(named.join(files, "relative_path"), "placed-files")
     rows = scan.withColumn("_path", scanned_file())
-    average = spark.read.text(paths).agg(F.avg(F.octet_length("value") + 1)).first()[0] or 1.0  # of a line
+    average = spark.read.text(paths).agg(mean_record()).first()[0] or 1.0
     per_file = max(1, int(max_bytes * GZIP_RATIO / average))
     placed = rows.join(placed_files, "_path").drop("_path", "relative_path").withColumn("schema_key", F.lit(schema_key))
     _write_csv(placed.hint("rebalance", "region", "part"), out, per_file)
@@ -95,6 +95,16 @@ def _write_layout(
         pass
 
 
+def mean_record() -> Column:
+    """Mean bytes of a record over the lines ``value`` of CSV files, for a first guess without parsing them.
+
+    A record broken over lines begins and ends with a line of an odd number of quotes.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    records = F.count(F.lit(1)) - F.count_if(quotes % 2 == 1) / 2
+    return F.sum(F.octet_length("value") + 1) / F.greatest(records, F.lit(1))
+
+
 def _write_csv(rows: DataFrame, out: str, per_file: int) -> None:
     (
         rows.write.mode("append")

@@ -270,3 +270,9 @@ def test_parts_are_written_without_a_sort(spark, tmp_path):
     assert read.count() == 60 and read.filter("_error is not null").count() == 0
     assert sorted(f for m in manifest for f in m["source_files"]) == ["2021 b%20+/x.csv", "2021/x.csv", "JC-2021/x.csv"]
     assert int(one_file_per_task(spark).conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+
+
+def test_mean_record_counts_records_not_lines(spark):
+    lines = spark.createDataFrame([("a,b",), ('"x ""y"" z',), ('w",1',), ('"c,d",2',)], "value string")
+    assert lines.agg(parts.mean_record()).first()[0] == (4 + 11 + 5 + 8) / 3
+    assert lines.limit(0).agg(parts.mean_record()).first()[0] is None
