@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pedalytics.session import release, stage
 from pedalytics.sources.files import list_files
 
+FILE_ROWS = 1_000_000  # rows that a task of a compaction sorts and writes
+
 
 @dataclass(frozen=True)
 class Written:
@@ -71,7 +74,7 @@ def compact_fact(spark: SparkSession, path: str, most_files: int = 4) -> int:
     """Write the crowded months of a fact anew, clustered; other months are not read. How many there were.
 
     Appends leave a file or more a month each, and days overlap between them. The months are copied to a
-    stored table first; then each month's folder is replaced. Run it while nothing else writes to the fact.
+    stored table first; then each month's folder is replaced, by tasks of a bounded number of rows. Run it while nothing else writes to the fact.
     """
     months = crowded_months(spark, path, most_files).collect()  # months of the calendar at most
     if not months:
@@ -79,13 +82,42 @@ def compact_fact(spark: SparkSession, path: str, most_files: int = 4) -> int:
     inside = F.struct("start_year", "start_month").isin([F.struct(F.lit(r[0]), F.lit(r[1])) for r in months])
     years = F.col("start_year").isin(sorted({r[0] for r in months}))  # prunes folders on its own
     rows = stage(spark.read.parquet(path).filter(years & inside), "crowded-months")
-    clustered = clustered_by_start(rows.drop("start_year", "start_month"))
-    writer = clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = dealt_by_day(rows, most_files, FILE_ROWS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("start_year", "start_month").parquet(path)
     release(rows)
     return len(months)
 
 
+def dealt_by_day(rows: DataFrame, most_files: int, file_rows: int) -> DataFrame:
+    """Rows of a stored table dealt to tasks by month and day, by exact counts; sorted by start day in each task.
+
+    A task sorts what it writes, so it gets about ``file_rows`` rows: months in a row up to that many, or a piece of
+    a larger month, of which there are at most ``most_files``; of a month above eight times ``file_rows`` a file there
+    are more. Pieces are runs of days, and a day that goes beyond one is dealt over several.
+    """
+    month, day = ["start_year", "start_month"], "start_date_sk"
+    counts = rows.groupBy(*month, day).agg(F.count(F.lit(1)).alias("n"))
+    days = sorted(tuple(r) for r in counts.toLocalIterator())  # days of the calendar at most
+    placed, task, filled = [], 0, 0
+    for _, same in itertools.groupby(days, key=lambda r: r[:2]):
+        same = list(same)
+        total = sum(r[3] for r in same)
+        pieces = max(min(-(-total // file_rows), most_files), -(-total // (8 * file_rows)))
+        if filled and (pieces > 1 or filled + total > file_rows):
+            task, filled = task + 1, 0
+        before = 0
+        for r in same:
+            placed.append((*r[:3], task, pieces, before / total, r[3] / total))
+            before += r[3]
+        task, filled = (task + pieces, 0) if pieces > 1 else (task, filled + total)
+    table = rows.sparkSession.createDataFrame(
+        placed, f"{', '.join(f'{c} long' for c in [*month, day])}, _task long, _pieces long, _before double, _share double")
+    piece = F.floor((F.col("_before") + F.col("_share") * F.rand(0)) * F.col("_pieces"))
+    place = F.col("_task") + F.least(piece, F.col("_pieces") - 1)
+    dealt = rows.join(F.broadcast(table), [*month, day], "left").withColumn("_place", place.cast("int"))
+    return dealt.repartitionById(task + 1, "_place").select(*rows.columns).sortWithinPartitions(*month, day)
+
+
 def append_bucketed(df: DataFrame, table: str, buckets: int, *keys: str) -> None:
     """Append to a catalog table bucketed by ``keys``: anti-joins on them then need no shuffle."""
     df.write.mode("append").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)

@@ -189,6 +189,30 @@ def test_compaction_bounds_the_files_of_a_month(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
 
 
+def test_compaction_bounds_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from pedalytics.sinks import tables
+
+    path = str(tmp_path / "fact")
+    # January: all on one day; February: evenly over days; from March on small months.
+    for n in range(4):
+        january = spark.range(1500).selectExpr("20140105 AS start_date_sk", f"id + {n * 10_000} AS ride_sk")
+        february = spark.range(700).selectExpr("CAST(20140201 + id % 28 AS INT) AS start_date_sk", f"id + {n * 10_000 + 2000} AS ride_sk")
+        small = spark.range(200).selectExpr("CAST(20140301 + 100 * (id % 4) AS INT) AS start_date_sk", f"id + {n * 10_000 + 4000} AS ride_sk")
+        tables.write_fact(january.unionByName(february).unionByName(small), path, "FACT_RIDE")
+    before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    monkeypatch.setattr(tables, "FILE_ROWS", 1000, raising=False)
+    assert tables.compact_fact(spark, path, 3) == 6
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
+    files = spark.read.parquet(path).groupBy("start_month", F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("start_date_sk").alias("lo"), F.max("start_date_sk").alias("hi")).collect()
+    of = {m: sorted([r for r in files if r["start_month"] == m], key=lambda r: r["lo"]) for m in range(1, 7)}
+    assert [len(of[m]) for m in range(1, 7)] == [3, 3, 1, 1, 1, 1]  # 6,000, 2,800 and 200 rows
+    assert max(r["n"] for r in of[1]) < 2300 and max(r["n"] for r in of[2]) < 1100
+    assert all(a["hi"] <= b["lo"] for a, b in zip(of[2], of[2][1:]))  # runs of days
+
+
 def test_rows_are_left_out_by_bitmaps(spark):
     numbers = [-40_000, -1, 0, 1, 7, 8, 32_767, 32_768, 32_769, 65_536, 1 << 40]
     target = keyed(spark, *[("a", n, "old") for n in numbers], ("b", 2, "old"), ("a", None, "old"))
