@@ -11,7 +11,7 @@ from pedalytics.functions import text, time
 from pedalytics.operators.prefix import running_total
 from pedalytics.session import delete, one_file_per_task, release, stage, unsorted_writes
 from pedalytics.sources.csv_parts import source_label
-from pedalytics.sources.files import list_files, plain_uri, scanned_file
+from pedalytics.sources.files import file_key, file_keys, list_files
 
 # Text shrinks about this much under gzip; a first guess at part sizes, which are looked at once they are written.
 GZIP_RATIO = 3
@@ -81,14 +81,13 @@ def _write_layout(
         .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=True)
         .csv(paths)
     )
-    # Addresses are decoded once a file; rows are joined by them as they are.
-    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "_path string").select(plain_uri(F.col("_path")).alias("_path"))
-    named = listed.withColumn("relative_path", text.below(text.decoded(F.col("_path")), base))
-    placed_files = stage(named.join(files, "relative_path"), "placed-files")
-    rows = scan.withColumn("_path", scanned_file())
+    # Addresses are decoded once a file; rows are joined by a hash of them.
+    named = file_keys(spark, scan).withColumn("relative_path", text.below(text.decoded(F.col("path")), base))
+    placed_files = stage(named.join(files, "relative_path").select("_file", "region", "part"), "placed-files")
+    rows = scan.withColumn("_file", file_key())
     average = spark.read.text(paths).agg(mean_record()).first()[0] or 1.0
     per_file = max(1, int(max_bytes * GZIP_RATIO / average))
-    placed = rows.join(placed_files, "_path").drop("_path", "relative_path").withColumn("schema_key", F.lit(schema_key))
+    placed = rows.join(placed_files, "_file").drop("_file").withColumn("schema_key", F.lit(schema_key))
     _write_csv(placed.hint("rebalance", "region", "part"), out, per_file)
     release(placed_files)
     while _cut_oversized(spark, parts, schema, out, max_bytes):
@@ -100,8 +99,9 @@ def mean_record() -> Column:
 
     A record broken over lines begins and ends with a line of an odd number of quotes.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    records = F.count(F.lit(1)) - F.count_if(quotes % 2 == 1) / 2
+    line, quote = F.col("value"), F.lit('"')
+    odd = line.contains(quote) & ((F.octet_length(line) - F.octet_length(F.replace(line, quote))) % 2 == 1)
+    records = F.count(F.lit(1)) - F.count_if(odd) / 2
     return F.sum(F.octet_length("value") + 1) / F.greatest(records, F.lit(1))
 
 

@@ -83,9 +83,20 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return found.select("path", F.col("length").alias("size_bytes"), "modificationTime")
 
 
-def scanned_file() -> Column:
-    """Address of the file that a row is read from, as ``_metadata.file_path`` spells it, but not copied into each row."""
-    return plain_uri(F.input_file_name())
+def file_key() -> Column:
+    """Hash of the address of the file that a row is read from: eight bytes a row, and nothing is made of the text."""
+    return F.xxhash64(F.input_file_name())
+
+
+def file_keys(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """(path, _file) of the files of a scan: their addresses as ``plain_uri`` spells them, and their ``file_key``.
+
+    Local addresses are listed under both of their spellings, so it does not matter which one a scan gives.
+    """
+    listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "_uri string")
+    plain = plain_uri(F.col("_uri"))
+    spelled = F.array_distinct(F.array("_uri", plain, F.regexp_replace(plain, "^file:/(?!/)", "file:///")))
+    return listed.select(plain.alias("path"), F.explode(spelled).alias("_uri")).select("path", F.xxhash64("_uri").alias("_file")).distinct()
 
 
 def plain_uri(uri: Column) -> Column:

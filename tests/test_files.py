@@ -276,3 +276,28 @@ def test_mean_record_counts_records_not_lines(spark):
     lines = spark.createDataFrame([("a,b",), ('"x ""y"" z',), ('w",1',), ('"c,d",2',)], "value string")
     assert lines.agg(parts.mean_record()).first()[0] == (4 + 11 + 5 + 8) / 3
     assert lines.limit(0).agg(parts.mean_record()).first()[0] is None
+
+
+def test_parts_are_parsed_in_one_projection(spark, tmp_path):
+    from pedalytics.schemas import RAW_HEADER
+
+    lines = [",".join(RAW_HEADER[MODERN])]
+    times = ["2024-01-01 10:00:00", "1/2/2024 3:04", "NULL", "null", '""', "", " ", "soon"]
+    for n, t in enumerate(times):
+        row = dict.fromkeys(RAW_HEADER[MODERN], "NULL") | {"ride_id": f"r{n}", "started_at": t, "start_lat": "null" if n % 2 else "40.5x"}
+        lines.append(",".join(row[h] for h in RAW_HEADER[MODERN]))
+    folder = tmp_path / "region=nyc" / "schema_key=dc497b4333c4" / "part=0001"
+    folder.mkdir(parents=True)
+    (folder / "p.csv").write_text("\n".join(lines) + "\n")
+    rows = csv_parts.read_parts(spark, str(folder), MODERN)
+    found = {r["ride_id"]: r for r in rows.collect()}
+    assert [found[f"r{n}"]["started_at"] is None for n in range(8)] == [False, False] + 6 * [True]
+    bad = [found[f"r{n}"]["_error"] for n in range(8)]
+    assert bad == ["start_lat", None, "start_lat", None, "start_lat", None, "started_at,start_lat", "started_at"]
+    assert {r["_source_file"] for r in found.values()} == {"nyc_dc497b4333c4_part0001-p.csv"}
+    assert all(r["rideable_type"] is None and r["_source_row_number"] == int(k[1:]) + 1 for k, r in found.items())
+    # No row's address is rewritten, and rows meet the label of their file as typed values.
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace(input_file_name()" not in plan
+    below = plan[plan.index("Join LeftOuter") :]
+    assert "_unread" in below and "try_cast" in below.replace("TRY_CAST", "try_cast").replace("cast(", "try_cast(")
