@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import itertools
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pedalytics import config
 from pedalytics.functions import text, time
 from pedalytics.operators.prefix import running_total
-from pedalytics.session import delete, one_file_per_task, release, stage, unsorted_writes
+from pedalytics.session import delete, one_file_per_task, release, short_shuffles, stage, unsorted_writes
 from pedalytics.sources.csv_parts import source_label
 from pedalytics.sources.files import file_key, file_keys, list_files
 
 # Text shrinks about this much under gzip; a first guess at part sizes, which are looked at once they are written.
 GZIP_RATIO = 3
+# Text that one write of parts shuffles; its shuffle files, about as large, go before the next write begins.
+WRITE_BYTES = 12 << 30
 # Written as read: quoted where needed, and no trimming.
 CSV_OUT = {
     "header": True,
@@ -46,18 +51,21 @@ def write_parts(
     out: str,
     region: str = "all",
     max_bytes: int = config.MAX_PART_BYTES,
+    consume: bool = False,
 ) -> DataFrame:
     """Write the files of the inventory below ``root`` as gzip CSV parts; returns the manifest.
 
-    One write per layout, since columns differ. Rows meet their part through a join with the plan
+    One write per layout, since columns differ, and per ``WRITE_BYTES`` of its files, since a write keeps all
+    of its text on local disks once more. Rows meet their part through a join with the plan
     (one row per file, broadcast if small) and a rebalance that splits an outsized part, so a single
     huge file is compressed by many tasks. Parts land in ``region=/schema_key=/part=`` folders. A part whose
     bytes as written are above ``max_bytes`` is cut up, until each is within it or holds one row.
+    ``consume`` deletes raw files once their parts are written.
     """
     chosen = inventory if region == "all" else inventory.filter(F.col("region") == region)
     plan = stage(plan_parts(chosen, max_bytes), "part-plan")
     for layout in plan.groupBy("schema_key").agg(F.min("columns").alias("columns")).toLocalIterator():
-        _write_layout(spark, root, plan, layout["schema_key"], layout["columns"].split("|"), out, max_bytes)
+        _write_layout(spark, root, plan, layout["schema_key"], layout["columns"].split("|"), out, max_bytes, consume)
     return parts_manifest(spark, out, plan)
 
 
@@ -69,29 +77,57 @@ def _write_layout(
     columns: list[str],
     out: str,
     max_bytes: int,
+    consume: bool,
 ) -> None:
     base = root.rstrip("/")
     parts = f"{out.rstrip('/')}/region=*/schema_key={schema_key}/part=*"
-    files = plan.filter(F.col("schema_key") == schema_key).select("relative_path", "region", "part")
-    paths = [f"{base}/{r['relative_path']}" for r in files.select("relative_path").toLocalIterator()]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+    for files in slices_of_parts(plan.filter(F.col("schema_key") == schema_key), WRITE_BYTES):
+        _write_slice(spark, base, files, schema, schema_key, out, max_bytes)
+        for r in files if consume else ():
+            delete(spark, f"{base}/{r['relative_path']}")
+    while _cut_oversized(spark, parts, schema, out, max_bytes):
+        pass
+
+
+def slices_of_parts(plan: DataFrame, most: int) -> Iterator[list[Row]]:
+    """(relative_path, region, part, size_bytes) of planned files: whole parts of ``most`` bytes together, or one larger part."""
+    columns = ["relative_path", "region", "part", "size_bytes"]
+    ordered = plan.select(*columns).orderBy("region", "part", "relative_path").toLocalIterator()
+    files: list[Row] = []
+    filled = 0
+    for _, part in itertools.groupby(ordered, lambda r: (r["region"], r["part"])):
+        own = list(part)
+        size = sum(r["size_bytes"] or 0 for r in own)
+        if files and filled + size > most:
+            yield files
+            files, filled = [], 0
+        files, filled = files + own, filled + size
+    if files:
+        yield files
+
+
+def _write_slice(
+    spark: SparkSession, base: str, files: list[Row], schema: T.StructType, schema_key: str, out: str, max_bytes: int
+) -> None:
+    paths = [f"{base}/{r['relative_path']}" for r in files]
     scan = (
-        unsorted_writes(spark)
+        short_shuffles(unsorted_writes(spark))
         .read.schema(schema)
         .options(header=True, enforceSchema=True, quote='"', escape='"', multiLine=True)
         .csv(paths)
     )
     # Addresses are decoded once a file; rows are joined by a hash of them.
+    places = spark.createDataFrame([r[:3] for r in files], "relative_path string, region string, part string")
     named = file_keys(spark, scan).withColumn("relative_path", text.below(text.decoded(F.col("path")), base))
-    placed_files = stage(named.join(files, "relative_path").select("_file", "region", "part"), "placed-files")
+    placed_files = stage(named.join(places, "relative_path").select("_file", "region", "part"), "placed-files")
     rows = scan.withColumn("_file", file_key())
     average = spark.read.text(paths).agg(mean_record()).first()[0] or 1.0
     per_file = max(1, int(max_bytes * GZIP_RATIO / average))
     placed = rows.join(placed_files, "_file").drop("_file").withColumn("schema_key", F.lit(schema_key))
     _write_csv(placed.hint("rebalance", "region", "part"), out, per_file)
     release(placed_files)
-    while _cut_oversized(spark, parts, schema, out, max_bytes):
-        pass
 
 
 def mean_record() -> Column:

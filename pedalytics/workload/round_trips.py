@@ -13,7 +13,7 @@ from pedalytics.operators.unify import to_unified, union_layouts
 from pedalytics.plans import audit, ingest, rides
 from pedalytics.plans.warehouse import Warehouse
 from pedalytics.schemas import LAYOUT_SCHEMA, LEGACY_V2, MANIFEST_FILE, RAW_HEADER
-from pedalytics.session import scratch_dir, stage
+from pedalytics.session import delete, release, scratch_dir, stage
 from pedalytics.sinks import tables
 from pedalytics.sinks.parts import CSV_OUT, write_manifest, write_parts, write_report
 from pedalytics.sources import csv_parts, files
@@ -79,9 +79,12 @@ def write_raw_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _write_grouped(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The raw files as parts, and their manifest; the raw files, several times as large, go once their parts are written."""
     root, out = write_raw_files(spark, sf_dir), _folder(spark, "parts")
     inventory = stage(files.inventory(spark, root, tasks=8), "inventory")
-    manifest = stage(write_parts(spark, root, inventory, out), "manifest")
+    manifest = stage(write_parts(spark, root, inventory, out, consume=True), "manifest")
+    delete(spark, root)
+    release(inventory)
     return out, manifest
 
 

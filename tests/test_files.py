@@ -1,6 +1,8 @@
 import gzip
+import hashlib
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -301,3 +303,49 @@ def test_parts_are_parsed_in_one_projection(spark, tmp_path):
     assert "replace(input_file_name()" not in plan
     below = plan[plan.index("Join LeftOuter") :]
     assert "_unread" in below and "try_cast" in below.replace("TRY_CAST", "try_cast").replace("cast(", "try_cast(")
+
+
+def shuffle_files(spark):
+    """Sizes of the shuffle files on the executors' disks, by name."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = [blocks.apply(n) for n in range(blocks.size())]
+    return {f.getName(): f.length() for f in found if f.getName().startswith("shuffle_")}
+
+
+def test_parts_are_written_in_slices_that_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    root, out = f"{tmp_path}/raw", f"{tmp_path}/parts"
+    for n in range(9):
+        folder = "JC-2021" if n % 3 == 0 else "2021 trips"
+        names = [hashlib.sha256(f"{n} {i}".encode()).hexdigest() for i in range(1_000)]
+        write(f"{root}/{folder}/x {n}.csv", HEADER + "\n".join(modern(n, ride_id=x) for x in names) + "\n")
+    inventory = stage(files.inventory(spark, root, tasks=2), "inventory-slices")
+    plan = parts.plan_parts(inventory, 100_000)
+    slices = [[tuple(r)[:3] for r in s] for s in parts.slices_of_parts(plan, 600_000)]
+    assert len(slices) > 2 and sorted(f for s in slices for f in s) == sorted(tuple(r) for r in plan.select("relative_path", "region", "part").collect())
+    homes = [{f[1:] for f in s} for s in slices]
+    assert sum(map(len, homes)) == len(set.union(*homes))  # no part is in two slices
+    monkeypatch.setattr(parts, "WRITE_BYTES", 600_000)
+    before = shuffle_files(spark)
+    manifest = write_parts(spark, root, inventory, out, max_bytes=100_000).collect()
+    for _ in range(50):  # they are deleted in the background
+        left = sum(size for name, size in shuffle_files(spark).items() if name not in before)
+        if left < 300_000:
+            break
+        time.sleep(0.1)
+    assert left < 300_000  # of 1.7 MB
+    read = csv_parts.read_parts(spark, f"{out}/region=*/schema_key=*/part=*", MODERN)
+    assert (read.count(), read.select("ride_id").distinct().count()) == (9_000, 9_000)
+    assert {f for m in manifest for f in m["source_files"]} == {f"{'JC-2021' if n % 3 == 0 else '2021 trips'}/x {n}.csv" for n in range(9)}
+    assert os.path.exists(f"{root}/JC-2021/x 0.csv")
+
+
+def test_consumed_raw_files_go_with_their_parts(spark, tmp_path):
+    root, out = f"{tmp_path}/raw d+%41", f"{tmp_path}/parts"
+    for folder in ("2021 b%20+", "JC-2021"):
+        write(f"{root}/{folder}/x.csv", HEADER + "\n".join(modern(n) for n in range(20)) + "\n")
+    write(f"{root}/zips/in.zip", "zip")
+    inventory = stage(files.inventory(spark, root, tasks=2), "inventory-consumed")
+    write_parts(spark, root, inventory, out, region="nyc", consume=True)
+    assert not os.path.exists(f"{root}/2021 b%20+/x.csv")
+    assert os.path.exists(f"{root}/JC-2021/x.csv") and os.path.exists(f"{root}/zips/in.zip")
+    assert csv_parts.read_parts(spark, f"{out}/region=*/schema_key=*/part=*", MODERN).count() == 20
