@@ -1,3 +1,4 @@
+import glob
 import gzip
 import hashlib
 import json
@@ -7,14 +8,15 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pedalytics.config import JERSEY_CITY, LEGACY_V2, MODERN, NYC
+from pedalytics.config import JERSEY_CITY, LEGACY_V1, LEGACY_V2, MODERN, NYC
 from pedalytics.plans.warehouse import Warehouse
 from pedalytics.schemas import MANIFEST_FILE, RAW_HEADER
-from pedalytics.session import one_file_per_task, stage
+from pedalytics.session import one_file_per_task, scratch_dir, stage
 from pedalytics.sinks import parts
 from pedalytics.sinks.parts import write_manifest, write_parts, write_report
 from pedalytics.sources import csv_parts, files
 from pedalytics.streaming.incremental import start_incremental_load
+from pedalytics.workload import round_trips
 
 
 def write(path, text):
@@ -349,3 +351,28 @@ def test_consumed_raw_files_go_with_their_parts(spark, tmp_path):
     assert not os.path.exists(f"{root}/2021 b%20+/x.csv")
     assert os.path.exists(f"{root}/JC-2021/x.csv") and os.path.exists(f"{root}/zips/in.zip")
     assert csv_parts.read_parts(spark, f"{out}/region=*/schema_key=*/part=*", MODERN).count() == 20
+
+
+@pytest.fixture(scope="module")
+def few_rows(spark, tmp_path_factory):
+    """Line items and events of two regions in the columns that the layouts are made of."""
+    at = str(tmp_path_factory.mktemp("few-rows"))
+    k = F.col("id")
+    spark.range(300).select(
+        k.alias("l_orderkey"), (k % 9).alias("l_partkey"), (k % 7).alias("l_suppkey"), (k % 7 + 1).cast("int").alias("l_linenumber"),
+        (k * 1.5 + 100).alias("l_extendedprice"), F.lit("A").alias("l_returnflag"), F.lit("1996-02-03").cast("date").alias("l_shipdate"),
+    ).write.parquet(f"{at}/lineitem.parquet")
+    spark.range(90).select(
+        k.alias("event_id"), F.lit("ride").alias("event_type"), F.lit("2014-02-03 04:05:06").cast("timestamp_ntz").alias("ts"),
+        (k + 60.0).alias("value"), (k % 5).alias("user_id"),
+    ).write.parquet(f"{at}/events.parquet")
+    return at
+
+
+def test_round_trips_leave_no_raw_files(spark, few_rows):
+    before = set(glob.glob(f"{scratch_dir(spark)}/raw-files-*"))
+    out, manifest = round_trips._write_grouped(spark, few_rows)
+    assert set(glob.glob(f"{scratch_dir(spark)}/raw-files-*")) <= before
+    assert manifest.count() == 4 and all(m["source_files"] for m in manifest.collect())
+    rows = [csv_parts.read_parts(spark, f"{out}/region=*/schema_key={k}/part=*", x).count() for k, x in (("e24ee8457e0e", LEGACY_V1), ("dc497b4333c4", MODERN))]
+    assert rows == [300, 90]
